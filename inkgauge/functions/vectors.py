@@ -44,6 +44,11 @@ def cosine_similarity(a: Column, b: Column) -> Column:
     return F.when(norms == 0, F.lit(0.0)).otherwise(F.try_divide(dot(a, b), norms))
 
 
+def constant_array(values, kind: str) -> Column:
+    """Array constant of many numbers, as one literal the optimizer folds."""
+    return F.split(F.lit(",".join(repr(v) for v in values)), ",").cast(f"array<{kind}>")
+
+
 def matrix(vectors: pa.Array) -> np.ndarray:
     """Arrow list column without nulls -> (rows, dimensions) float64 matrix."""
     if isinstance(vectors, pa.ChunkedArray):

@@ -41,11 +41,12 @@ def chunk_by_tokens(
         )
 
     chunks = F.transform(F.sequence(F.lit(0), F.col("_n") - 1), chunk)
+    # no row for blank or null text: there is nothing to unfold
+    chunks = F.when(n_words > 0, chunks)
     kept = F.filter(chunks, lambda c: (c["_size"] >= min_tokens) | (F.col("_n") == 1))
     others = [c for c in df.columns if c != text]
     return (
         df.withColumn("_words", X.space_words(text))
-        .where(F.array_size("_words") > 0)
         .withColumn("_n", n_chunks)
         .select(*others, F.inline(kept))
         .select(*df.columns, "chunk_idx")

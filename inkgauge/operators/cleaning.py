@@ -19,10 +19,12 @@ def filter_word_count(
     """Keep rows of ``min_words`` to ``max_words`` space words, both included; null text goes.
 
     k words need at least 2k-1 characters, so the length test drops short texts
-    before the scan for words.
+    before the scan for words. The range test is written so that the words are
+    counted once; two comparisons would be two filters with a scan each.
     """
     long_enough = F.length(text) >= 2 * min_words - 1
-    return df.where(long_enough & X.ws_word_count(text).between(min_words, max_words))
+    from_middle = F.abs(2 * X.ws_word_count(text) - (min_words + max_words))
+    return df.where(long_enough & (from_middle <= max_words - min_words))
 
 
 def filter_blank(df: DataFrame, text: str = "text") -> DataFrame:
@@ -93,10 +95,13 @@ def distinct_texts(
     price of reading the input twice. Without it the winning row itself travels
     through the aggregation.
     """
-    order = F.struct(*([order_by] if isinstance(order_by, str) else order_by))
+    order_by = [order_by] if isinstance(order_by, str) else order_by
+    order = F.struct(*order_by)
     digest = F.sha2(F.col(text), 256)
     if unique_key:
-        first = F.min_by(F.col(unique_key), order)
+        # a plain minimum where it will do: it is aggregated by hash, without a sort
+        same = order_by == [unique_key]
+        first = F.min(unique_key) if same else F.min_by(F.col(unique_key), order)
         keep = df.groupBy(digest.alias("digest")).agg(first.alias(unique_key))
         return df.join(keep.select(unique_key), unique_key, "left_semi").select(df.columns)
     row = F.min_by(F.struct(*df.columns), order)

@@ -45,6 +45,7 @@ QUERY_BLOCK = 2048
 BASE_BLOCK = 131_072
 BASE_CHUNK = 2048
 HOT_SHARE = 1000  # a bucket with over 1/1000 of all entries is hot; there are < 1000
+HOT_ROWS = 2048  # smaller buckets never are
 NO_NEIGHBOUR_CLASS = 1
 NO_NEIGHBOUR_PROBABILITY = 0.75
 
@@ -91,8 +92,8 @@ def _ranked(row, tie, score, k):
 class _Cell:
     """Top-k search of one cell; queries arrive first, base rows after them in id order."""
 
-    def __init__(self, key, k: int, shifts: dict[int, int]):
-        self.key, self.k, self.shifts = key, k, shifts
+    def __init__(self, key, k: int, shifts: dict[int, int], chunk: int = BASE_CHUNK):
+        self.key, self.k, self.shifts, self.chunk = key, k, shifts, chunk
         self.parts: list = []
         self.queries = None
         self.best = {bits: [] for bits in shifts}
@@ -107,8 +108,8 @@ class _Cell:
             self.queries = [np.concatenate(column) for column in zip(*self.parts)]
         base = ~asks
         ids, hashes, labels, vectors = ids[base], hashes[base], labels[base], vectors[base]
-        for at in range(0, len(ids), BASE_CHUNK):
-            part = slice(at, at + BASE_CHUNK)
+        for at in range(0, len(ids), self.chunk):
+            part = slice(at, at + self.chunk)
             self._search(ids[part], hashes[part], labels[part], vectors[part])
 
     def _search(self, ids, hashes, labels, vectors):
@@ -254,7 +255,8 @@ class LshModel:
             .agg(F.count(F.lit(1)).alias("n"))
         )
         total = sizes.agg(F.sum("n")).scalar()
-        hits = _lookup(asked, sizes, ["table_idx", "key"], F.col("n") * HOT_SHARE > total)
+        hot = (F.col("n") > HOT_ROWS) & (F.col("n") * HOT_SHARE > total)
+        hits = _lookup(asked, sizes, ["table_idx", "key"], hot)
         return hits.select(
             "query_id", "table_idx", _key_text(F.col("key"), self.bits).alias("hash_key"), "n"
         )
@@ -293,7 +295,7 @@ class LshModel:
 
         def routed(side: DataFrame, size: str) -> DataFrame:
             total = sizes.agg(F.sum(size)).scalar()
-            hot = (F.col(size) > BASE_CHUNK) & (F.col(size) * HOT_SHARE > total)
+            hot = (F.col(size) > HOT_ROWS) & (F.col(size) * HOT_SHARE > total)
             return (
                 _lookup(side, sizes.where(F.col(size).isNotNull()), by, hot)
                 .where(F.col("n_base").isNotNull() & F.col("n_asked").isNotNull())

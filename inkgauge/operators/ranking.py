@@ -19,6 +19,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from inkgauge.functions.vectors import constant_array
+
 PREFIX = 4  # hex digits: 65,536 counters
 MAX_CLASSES = 1000
 
@@ -98,9 +100,10 @@ def cutoffs_by_class(cutoffs: DataFrame) -> Column:
 
 def _range_bucket(value: Column, bounds: list, fan: int) -> Column:
     """Number of bounds below ``value``: a coarse look-up, then one among ``fan`` fine bounds."""
-    coarse = F.array(*(F.lit(b) for b in bounds[fan - 1 :: fan]))
+    kind = "double" if isinstance(bounds[0], float) else "bigint"
+    coarse = constant_array(bounds[fan - 1 :: fan], kind) if len(bounds) >= fan else F.array()
     block = F.array_size(F.filter(coarse, lambda b: b < value))
-    fine = F.slice(F.array(*(F.lit(b) for b in bounds)), block * fan + 1, F.lit(fan))
+    fine = F.slice(constant_array(bounds, kind), block * fan + 1, F.lit(fan))
     return block * fan + F.array_size(F.filter(fine, lambda b: b < value))
 
 
@@ -119,28 +122,21 @@ def dense_ids(
     """
     if order_hash_hex is not None:
         key = order_hash_hex
-        bucket = F.conv(F.substring(key, 1, 3), 16, 10).cast("int")
-        buckets = 4096
+        bucket = F.conv(F.substring(key, 1, 3), 16, 10).cast("int")  # 4096 buckets
     else:
         key = F.col(order_by)
-        shares = [i / buckets for i in range(1, buckets)]
+        shares = constant_array([i / buckets for i in range(1, buckets)], "double")
         bounds = df.agg(F.percentile_approx(order_by, shares, 10_000)).first()[0] or []
         bounds = sorted(set(bounds))
         bucket = _range_bucket(key, bounds, fan=32) if bounds else F.lit(0)
     keyed = df.withColumns({"_key": key, "_bucket": bucket})
     sizes = keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n"))
-    size_of = F.map_from_entries(F.collect_list(F.struct("_bucket", "n")))
-    # sizes in bucket order -> running number of rows before each bucket
-    listed = F.transform(
-        F.sequence(F.lit(0), F.lit(buckets - 1)),
-        lambda b: F.coalesce(F.try_element_at(size_of, b), F.lit(0).cast("bigint")),
-    )
-    before = F.aggregate(
-        listed,
-        F.array(F.lit(0).cast("bigint")),
-        lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)),
-    )
-    offsets = sizes.agg(before).scalar()
+    # one row per bucket, so at most ``buckets`` rows: safe to sort and to broadcast
+    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_before"))
     within = F.row_number().over(Window.partitionBy("_bucket").orderBy("_key"))
-    position = F.element_at(offsets, F.col("_bucket") + 1) + within - 1
-    return keyed.withColumn(out, position.cast("bigint")).drop("_key", "_bucket")
+    return (
+        keyed.withColumn("_within", within)
+        .join(F.broadcast(offsets), "_bucket")
+        .select(*df.columns, (F.col("_before") + F.col("_within") - 1).cast("bigint").alias(out))
+    )

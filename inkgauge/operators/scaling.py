@@ -10,6 +10,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from inkgauge.functions.vectors import constant_array
+
 
 @dataclass(frozen=True)
 class StandardizerModel:
@@ -27,8 +29,8 @@ class StandardizerModel:
 
     def transform(self, df: DataFrame, features: str = "features", out: str | None = None):
         """Replace (or add as ``out``) the standardised vector."""
-        shift = F.array(*(F.lit(float(m)) for m in self.mean))
-        factor = F.array(*(F.lit(float(f)) for f in self.factor))
+        shift = constant_array(self.mean.tolist(), "double")
+        factor = constant_array(self.factor.tolist(), "double")
         centred = F.zip_with(features, shift, lambda x, m: x.cast("double") - m)
         return df.withColumn(out or features, F.zip_with(centred, factor, lambda x, f: x * f))
 

@@ -56,6 +56,8 @@ def exact_quantiles(
         F.max("value").alias("most"),
         F.percentile_approx("value", lows + highs, accuracy).alias("marks"),
     )
+    # in a small group a margin is less than one rank: take all of it
+    few = F.col("n") <= 2 * accuracy
     brackets = sketch.select(
         *keys,
         F.inline(
@@ -64,12 +66,12 @@ def exact_quantiles(
                     F.struct(
                         F.lit(name).alias("q"),
                         ((F.col("n") - 1) * F.lit(p)).alias("rank"),
-                        (F.col("least") if lows[i] == 0.0 else F.col("marks")[i]).alias("lo"),
-                        (
-                            F.col("most")
-                            if highs[i] == 1.0
-                            else F.col("marks")[len(probs) + i]
-                        ).alias("hi"),
+                        F.when(few | F.lit(lows[i] == 0.0), F.col("least"))
+                        .otherwise(F.col("marks")[i])
+                        .alias("lo"),
+                        F.when(few | F.lit(highs[i] == 1.0), F.col("most"))
+                        .otherwise(F.col("marks")[len(probs) + i])
+                        .alias("hi"),
                     )
                     for i, (name, p) in enumerate(probs.items())
                 )
@@ -250,15 +252,12 @@ def text_length_kde(df: DataFrame, grid: int = 200, text: str = "text") -> DataF
         )
     ).scalar()
     step = (shape["hi"] - shape["lo"]) / F.lit(float(grid - 1))
-    points = F.transform(
-        F.sequence(F.lit(0), F.lit(grid - 1)),
-        lambda i: F.struct(i.alias("point"), (shape["lo"] + i * step).alias("x")),
-    )
     z = (F.col("x") - F.col("length")) / shape["bandwidth"]
     norm = shape["total"] * shape["bandwidth"] * F.sqrt(2 * F.pi())
     return (
         lengths.where(shape["bandwidth"] > 0)
-        .select("length", "n", F.inline(points))
+        .select("length", "n", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"))
+        .withColumn("x", shape["lo"] + F.col("point") * step)
         .groupBy("point", "x")
         .agg((F.sum(weight * F.exp(-0.5 * z * z))).alias("mass"))
         .select("point", "x", (F.col("mass") / norm).alias("density"))

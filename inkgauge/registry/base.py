@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from inkgauge.functions.vectors import assemble_features
 from inkgauge.operators.splits import split_random
 from inkgauge.plans.corpus import prepare_corpus
-from inkgauge.session import scratch_path
+from inkgauge.session import scratch_path, ship_package, written
 from inkgauge.sources.corpus import Corpus, scan_table, scan_text_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,7 +24,13 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = fn
+
+        @wraps(fn)
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, sf)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn
@@ -76,7 +83,7 @@ def vectors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def vector_parts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    rows = split_random(vectors(spark, sf))
+    rows = written(split_random(vectors(spark, sf)), "split")
     return tuple(rows.where(F.col("split") == s).drop("split") for s in ("train", "val", "test"))
 
 

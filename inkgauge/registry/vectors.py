@@ -144,25 +144,25 @@ def _(spark, sf):
     "candidate_union",
     sql_lsh(TABLES, BITS)
     + """, best AS (SELECT *, row_number() OVER (PARTITION BY q, t ORDER BY sim DESC, c) AS place FROM pairs)
-    SELECT q AS query_id, c AS id, min(t)::INT AS table_idx, round(max(sim), 8) AS similarity
+    SELECT q AS query_id, c AS id, min(t)::INT AS table_idx, max(sim) AS similarity
     FROM best WHERE place <= 10 GROUP BY q, c""",
 )
 def _(spark, sf):
     model, test = _model(spark, sf)
     return model.table_neighbours(test, TOP_K).select(
-        "query_id", "id", "table_idx", rounded("similarity").alias("similarity")
+        "query_id", "id", "table_idx", rounded("similarity", 9).alias("similarity")
     )
 
 
 @query(
     "lsh_query",
     sql_lsh(TABLES, BITS)
-    + """SELECT q AS query_id, rank::INT AS rank, c AS id, round(sim, 8) AS similarity, label
+    + """SELECT q AS query_id, rank::INT AS rank, c AS id, sim AS similarity, label
     FROM nearest WHERE rank <= 10""",
 )
 def _(spark, sf):
     model, test = _model(spark, sf)
-    return model.query(test, TOP_K).withColumn("similarity", rounded("similarity"))
+    return model.query(test, TOP_K)
 
 
 @query(

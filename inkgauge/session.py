@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,7 +27,29 @@ def get_spark(master: str | None = None, app: str = "inkgauge", **conf: str) ->
         builder = builder.master(master)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Not needed where it is installed on every machine, but harmless there.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="inkgauge-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED.add(app)
 
 
 def shared_dir(spark: SparkSession) -> str:
