@@ -42,7 +42,9 @@ class HashingEncoder:
             row = np.repeat(np.arange(len(words)), lengths)
             cells = np.bincount(
                 row * dim + slot[code], weights=sign[code], minlength=len(words) * dim
-            ).reshape(len(words), dim)
+            )
+            # counts of an empty batch come back as integers
+            cells = cells.astype(np.float64).reshape(len(words), dim)
             norm = np.linalg.norm(cells, axis=1, keepdims=True)
             unit = np.divide(cells, norm, out=np.zeros_like(cells), where=norm > 0)
             return list_array(unit.astype(np.float32), pa.float32())

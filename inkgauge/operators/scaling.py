@@ -40,12 +40,16 @@ class Standardizer:
 
     def fit(self, df: DataFrame, features: str = "features") -> StandardizerModel:
         vectors = df.select(array_to_vector(F.col(features).cast("array<double>")).alias("v"))
-        stats = vectors.agg(
-            Summarizer.metrics("mean", "variance", "count").summary(F.col("v")).alias("s")
-        ).first()["s"]
-        n = stats["count"]
-        if not n:
+        # grouped by a constant: an empty table then gives no row instead of an error
+        row = (
+            vectors.groupBy(F.lit("all"))
+            .agg(Summarizer.metrics("mean", "variance", "count").summary(F.col("v")).alias("s"))
+            .first()
+        )
+        if row is None:
             raise ValueError("cannot standardise an empty table")
+        stats = row["s"]
+        n = stats["count"]
         variance = stats["variance"].toArray() * (n - 1) / n
         # rounding noise of a constant dimension must not be blown up to unit size
         mean = stats["mean"].toArray()
