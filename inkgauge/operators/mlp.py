@@ -229,8 +229,7 @@ class MlpClassifier:
         """
         spark = train.sparkSession
         rows = train.select("id", "features", F.col("label").cast("double").alias("label"))
-        rows = rows.persist()
-        held = [rows]
+        held = []
         try:
             n = rows.count()
             if not n:
