@@ -118,6 +118,11 @@ def add_unique_id(
     order_by: str | None = None,
     column_name: str = "id",
     order_hash_hex: Column | None = None,
+    buckets: int = 1024,
 ) -> DataFrame:
-    """Dense id from 0, in the order of a unique numeric column or a unique hash."""
-    return dense_ids(df, column_name, order_by=order_by, order_hash_hex=order_hash_hex)
+    """Dense id from 0, in the order of a unique numeric column or a unique hash.
+
+    ``buckets`` bounds the tasks that number by value; take more than the
+    session's shuffle partitions.
+    """
+    return dense_ids(df, column_name, order_by, order_hash_hex, buckets)

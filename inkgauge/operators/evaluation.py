@@ -18,15 +18,25 @@ def cluster_majority(
     )
 
 
+MAX_BROADCAST_CLUSTERS = 1_000_000
+
+
 def apply_cluster_map(
-    df: DataFrame, mapping: DataFrame, cluster: str = "cluster", out: str = "predicted"
+    df: DataFrame,
+    mapping: DataFrame,
+    cluster: str = "cluster",
+    out: str = "predicted",
+    n_clusters: int | None = None,
 ) -> DataFrame:
     """Look every row's cluster up in ``cluster_majority``; null for a cluster without class.
 
-    The mapping has one row per cluster. Spark broadcasts it when it is small;
-    for a huge number of clusters it falls back to a shuffled join.
+    The mapping has one row per cluster. Where the number of clusters is known and
+    moderate it is broadcast, and rows stay where they are; else Spark decides by
+    its size, with a shuffled join (split for hot clusters) as the other way.
     """
     classes = mapping.select(F.col("cluster").alias("_c"), F.col("class").alias(out))
+    if n_clusters is not None and n_clusters <= MAX_BROADCAST_CLUSTERS:
+        classes = F.broadcast(classes)
     return df.join(classes, F.col(cluster) == F.col("_c"), "left").drop("_c")
 
 

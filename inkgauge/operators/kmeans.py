@@ -38,11 +38,10 @@ def kmeans_fit(
 
     Every iteration is one pass over the rows; only centroids reach the driver.
     """
-    rows = df if "_vector" in df.columns else with_vector(df)
-    rows = rows.select("_vector")
-    held = not rows.storageLevel.useMemory
-    if held:
-        rows = rows.persist()
+    rows, held = df, False
+    if "_vector" not in df.columns or not df.storageLevel.useMemory:
+        rows = df if "_vector" in df.columns else with_vector(df)
+        rows, held = rows.select("_vector").persist(), True
     try:
         best = None
         for run in range(n_init):
@@ -121,7 +120,8 @@ class KMeansClassifier:
         A cluster no training row fell into has no majority and counts as class 1,
         as a tie does.
         """
-        scored = apply_cluster_map(kmeans_assign(self.model, df), self.cluster_classes(df))
+        clustered = kmeans_assign(self.model, df)
+        scored = apply_cluster_map(clustered, self.cluster_classes(df), n_clusters=self.k)
         return scored.withColumn("predicted", F.coalesce("predicted", F.lit(1)))
 
     def save(self, path: str, scored: DataFrame | None = None) -> None:
@@ -150,7 +150,7 @@ def kmeans_grid_search(
     """Validation accuracy per number of clusters: the fitted classifiers and
     (grid_pos, n_clusters, accuracy, correct, total). The training rows are kept in
     memory over the grid."""
-    rows = with_vector(train).persist()
+    rows = with_vector(train).select("id", "label", "_vector").persist()
     try:
         fitted, results = {}, []
         for position, k in enumerate(grid):

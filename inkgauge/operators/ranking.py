@@ -8,8 +8,8 @@ Two tools, both deterministic and independent of how the rows are partitioned:
 * ``dense_ids`` numbers rows 0..n-1 with a window per bucket plus the number of
   rows in all earlier buckets.
 
-Only counters leave the executors: at most 65,536 per class for a cut and one
-per bucket for numbering.
+Only counters are gathered: at most 65,536 per class for a cut and one per bucket
+(65,536 at most by hash) for numbering.
 """
 
 from __future__ import annotations
@@ -116,13 +116,13 @@ def dense_ids(
 ) -> DataFrame:
     """Number the rows 0..n-1 in the order of a unique numeric column or a unique hex hash.
 
-    Hash order takes the first three hex digits as the bucket. For a numeric
+    Hash order takes the first four hex digits as the bucket. For a numeric
     column the bucket bounds are approximate quantiles, read once by the driver
     (``buckets`` numbers), so clustered values still fill the buckets evenly.
     """
     if order_hash_hex is not None:
         key = order_hash_hex
-        bucket = F.conv(F.substring(key, 1, 3), 16, 10).cast("int")  # 4096 buckets
+        bucket = F.conv(F.substring(key, 1, PREFIX), 16, 10).cast("int")
     else:
         key = F.col(order_by)
         shares = constant_array([i / buckets for i in range(1, buckets)], "double")

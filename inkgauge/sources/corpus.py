@@ -32,14 +32,24 @@ def scan_text_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def scan_csv(
-    spark: SparkSession, path: str, columns: T.StructType = schema.RAW_SCHEMA
+    spark: SparkSession, path: str, columns: T.StructType | str = schema.RAW_SCHEMA
 ) -> DataFrame:
-    """CSV with a header and quoted line breaks. The schema is given, so there is no pass to guess it.
+    """CSV with a header and quoted line breaks.
+
+    ``columns`` are found by their names in the header, in any order and among
+    others, and cast to their types. Types are given, so no pass over the data is
+    spent on guessing them; only the header is read ahead.
 
     A file with line breaks inside fields is read by one task: keep many files, or
     convert to Parquet once.
     """
-    return spark.read.schema(columns).options(**CSV_OPTIONS, multiLine="true").csv(path)
+    if isinstance(columns, str):
+        columns = T.StructType.fromDDL(columns)
+    # a missing value is null and a quoted empty one is an empty text: with the
+    # default mark for null, which is the empty string, both would be null
+    options = {**CSV_OPTIONS, "multiLine": "true", "nullValue": "\0"}
+    raw = spark.read.options(**options).csv(path)
+    return raw.select(*(F.col(f"`{c.name}`").cast(c.dataType).alias(c.name) for c in columns))
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -17,6 +17,13 @@ def test_csv_round_trip(spark, tmp_path):
     assert back.orderBy("id").collect() == df.orderBy("id").collect()
 
 
+def test_csv_columns_by_name(spark, tmp_path):
+    (tmp_path / "odd.csv").write_text('other,label,text_content\n1,1.0,"a\nb"\n2,0,""\n')
+    df = S.scan_csv(spark, str(tmp_path / "odd.csv"), "text_content string, label string")
+    merged = S.merge_corpora([S.Corpus("c", df, text="text_content", label="label")])
+    assert {(r.text, r.generated) for r in merged.collect()} == {("a\nb", 1), ("", 0)}
+
+
 def test_merge(spark):
     a = spark.createDataFrame([("x", "1.0"), ("y", "0")], "text string, generated string")
     b = spark.createDataFrame([("z", 1, 9, 5)], "text_content string, label int, other int, k long")
