@@ -292,20 +292,26 @@ class LshModel:
         base_sizes = base.groupBy(*by).agg(F.count(F.lit(1)).alias("n_base"))
         asked_sizes = asked.groupBy(*by).agg(F.count(F.lit(1)).alias("n_asked"))
         sizes = written(base_sizes.join(asked_sizes, by, "full"), "buckets")
+        extent = sizes.agg(
+            *(f(c).alias(f"{f.__name__}_{c}") for c in ("n_base", "n_asked") for f in (F.max, F.sum))
+        ).first()
 
         def routed(side: DataFrame, size: str) -> DataFrame:
-            total = sizes.agg(F.sum(size)).scalar()
-            hot = (F.col(size) > HOT_ROWS) & (F.col(size) * HOT_SHARE > total)
-            return (
-                _lookup(side, sizes.where(F.col(size).isNotNull()), by, hot)
-                .where(F.col("n_base").isNotNull() & F.col("n_asked").isNotNull())
-                .select(
-                    "id",
-                    *by,
-                    "hash",
-                    F.ceil(F.col("n_base") / BASE_BLOCK).alias("base_blocks"),
-                    F.ceil(F.col("n_asked") / QUERY_BLOCK).alias("query_blocks"),
-                )
+            bound = max(HOT_ROWS, (extent[f"sum_{size}"] or 0) // HOT_SHARE)
+            is_hot = (extent[f"max_{size}"] or 0) > bound
+            both = F.col("n_base").isNotNull() & F.col("n_asked").isNotNull()
+            if is_hot:
+                # hot buckets stay in the table without a partner, to catch their rows early
+                table = sizes.where(both | (F.col(size) > bound))
+                found = _lookup(side, table, by, F.col(size) > bound).where(both)
+            else:
+                found = side.join(sizes.where(both), by)
+            return found.select(
+                "id",
+                *by,
+                "hash",
+                F.ceil(F.col("n_base") / BASE_BLOCK).alias("base_blocks"),
+                F.ceil(F.col("n_asked") / QUERY_BLOCK).alias("query_blocks"),
             )
 
         def with_vectors(side: DataFrame, vectors: DataFrame) -> DataFrame:

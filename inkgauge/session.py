@@ -22,6 +22,8 @@ def get_spark(master: str | None = None, app: str = "inkgauge", **conf: str) ->
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # rows are wide here (word lists, vectors): keep a batch within some 30 MB
+        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
     )
     if master:
         builder = builder.master(master)
