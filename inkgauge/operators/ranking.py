@@ -75,14 +75,20 @@ def hash_cutoffs(
         .join(edges, ["cls", "prefix"])
         .withColumn("place", F.row_number().over(Window.partitionBy("cls", "cut").orderBy("h")))
         .where(F.col("place") == F.col("rest"))
-        .select("cls", "cut", "h")
+        .select("cls", "cut", "h", F.lit(None).cast("bigint").alias("total"))
     )
+    # every class has a size but, where nothing is taken, no last hash
     sizes = counted.groupBy("cls").agg(F.max("total").alias("total"))
-    found = last.groupBy("cls").agg(
-        *(F.max(F.when(F.col("cut") == name, F.col("h"))).alias(name) for name in take)
-    )
-    return sizes.join(found, "cls", "left").select(
-        "cls", "total", *(F.coalesce(F.col(name), F.lit("")).alias(name) for name in take)
+    return (
+        last.unionByName(sizes, allowMissingColumns=True)
+        .groupBy("cls")
+        .agg(
+            F.max("total").alias("total"),
+            *(
+                F.coalesce(F.max(F.when(F.col("cut") == name, F.col("h"))), F.lit("")).alias(name)
+                for name in take
+            ),
+        )
     )
 
 

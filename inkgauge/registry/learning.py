@@ -93,7 +93,7 @@ def _(spark, sf):
 
 def _clustering(spark, sf):
     path = scratch_path(spark, "clustering")
-    # the reference's choices: scale on all rows, name clusters by the scored rows
+    # scale on all rows and name clusters by the scored rows, so accuracy is purity
     P.clustering_run(vectors(spark, sf), path, [2, 10, 30], 1, "all", "eval")
     return path
 

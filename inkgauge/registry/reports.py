@@ -127,8 +127,6 @@ def _(spark, sf):
     SELECT 'labels_after', generated::INT, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (), 2) FROM f GROUP BY generated""",
 )
 def _(spark, sf):
-    from inkgauge.plans.models import model_rows  # noqa: F401
-
     cleaned = written(clean_corpus(corpora(spark, sf)), "cleaned")
     tables = corpus_statistics(cleaned, processed(spark, sf))
     return (
