@@ -104,7 +104,7 @@ def cutoffs_by_class(cutoffs: DataFrame) -> Column:
     return cutoffs.agg(checked).scalar()
 
 
-def _range_bucket(value: Column, bounds: list, fan: int) -> Column:
+def range_bucket(value: Column, bounds: list, fan: int) -> Column:
     """Number of bounds below ``value``: a coarse look-up, then one among ``fan`` fine bounds."""
     kind = "double" if isinstance(bounds[0], float) else "bigint"
     coarse = constant_array(bounds[fan - 1 :: fan], kind) if len(bounds) >= fan else F.array()
@@ -134,7 +134,7 @@ def dense_ids(
         shares = constant_array([i / buckets for i in range(1, buckets)], "double")
         bounds = df.agg(F.percentile_approx(order_by, shares, 10_000)).first()[0] or []
         bounds = sorted(set(bounds))
-        bucket = _range_bucket(key, bounds, fan=32) if bounds else F.lit(0)
+        bucket = range_bucket(key, bounds, fan=32) if bounds else F.lit(0)
     keyed = df.withColumns({"_key": key, "_bucket": bucket})
     sizes = keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n"))
     # one row per bucket, so at most ``buckets`` rows: safe to sort and to broadcast
