@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from inkgauge.session import ship_package, written
 
-__all__ = ["components", "indexed", "map_batches", "ranked", "sample_per_class", "table", "written"]
+__all__ = ["components", "filter_rows", "indexed", "map_batches", "map_groups", "ranked", "sample_per_class", "table", "written"]
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -27,6 +29,69 @@ def map_batches(
     return df.mapInPandas(fn, schema)
 
 
+def map_groups(
+    df: DataFrame, keys: list[str], fn: Callable[[tuple, dict[str, np.ndarray]], list[tuple]], schema: str
+) -> DataFrame:
+    """Apply ``fn(key, columns)`` to each group of non-null integer keys; it returns rows.
+
+    For very many small groups, which stream through a task in key order; a group
+    must fit in memory.
+    """
+    ship_package(df.sparkSession)
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+
+        def groups(pdf: pd.DataFrame, last: bool) -> tuple[list[tuple], int]:
+            columns = {c: pdf[c].to_numpy() for c in pdf.columns}
+            changes = np.zeros(len(pdf), bool)
+            for k in keys:
+                changes[1:] |= columns[k][1:] != columns[k][:-1]
+            starts = [0, *np.flatnonzero(changes).tolist()]
+            ends = [*starts[1:], len(pdf)]
+            rows = []
+            for a, b in zip(starts, ends, strict=True) if last else zip(starts[:-1], ends[:-1], strict=True):
+                rows += fn(tuple(int(columns[k][a]) for k in keys), {c: v[a:b] for c, v in columns.items()})
+            return rows, starts[-1]
+
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            same = held and all(held[0][k].iloc[0] == pdf[k].iloc[-1] for k in keys)
+            held.append(pdf)
+            if same:
+                continue  # still one group
+            whole = pd.concat(held, ignore_index=True) if len(held) > 1 else pdf
+            rows, rest = groups(whole, False)
+            held = [whole.iloc[rest:]]
+            if rows:
+                yield pd.DataFrame(rows, columns=names)
+        if held:
+            rows, _ = groups(pd.concat(held, ignore_index=True), True)
+            if rows:
+                yield pd.DataFrame(rows, columns=names)
+
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys).sortWithinPartitions(*keys).mapInPandas(run, schema)
+
+
+def filter_rows(df: DataFrame, columns: list[str], start: Callable[[], Callable[..., list[bool]]]) -> DataFrame:
+    """Rows of ``df``, all columns untouched, for which the test says so.
+
+    ``start()`` makes the test once per task; it gets the named columns as lists.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        test = start()
+        for batch in batches:
+            kept = test(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in columns))
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    ship_package(df.sparkSession)
+    return df.mapInArrow(run, df.schema)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component): the smallest id that each end of an edge (a, b) reaches.
 

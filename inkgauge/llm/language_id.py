@@ -17,12 +17,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkgauge.llm.frames import map_batches, sample_per_class
+from inkgauge.llm.frames import filter_rows, map_batches, sample_per_class
 
 SAMPLES = 256  # documents a language is learned from, at most
 SAMPLE_CHARS = 512  # from each, at a place given by its hash
 BLOCK_CHARS = 1024  # encoded apart, so that a long text cannot become its own dictionary
 LEVEL = 5
+FRAME = " " * 64  # around each block: without it a short text would be stored as it is, by any dictionary
 MIN_MARGIN = 0.002  # of the runner-up's bytes
 UNDECIDED = "und"
 _OTHER = re.compile(r"[\W\d_]+")
@@ -64,7 +65,7 @@ class Encoders:
             )
 
     def sizes(self, letters: str) -> list[int]:
-        blocks = [letters[i : i + BLOCK_CHARS].encode() for i in range(0, len(letters), BLOCK_CHARS)]
+        blocks = [f"{FRAME}{letters[i : i + BLOCK_CHARS]}{FRAME}".encode() for i in range(0, len(letters), BLOCK_CHARS)]
         return [sum(len(c.compress(b)) for b in blocks) for c in self.compressors]
 
     def predict(self, text: str | None, min_margin: float) -> tuple[str, float, float, bool]:
@@ -115,3 +116,15 @@ def identify_language(
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     schema = "id bigint, lang_pred string, score double, margin double, rejected boolean"
     return map_batches(rows, _predict(dictionaries, min_margin), schema).withColumnRenamed("id", id_col)
+
+
+def keep_identified(
+    docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "text", min_margin: float = MIN_MARGIN
+) -> DataFrame:
+    """The rows that ``identify_language`` does not reject, with all their columns."""
+
+    def start():
+        encoders = Encoders(dictionaries)
+        return lambda texts: [not encoders.predict(t, min_margin)[3] for t in texts]
+
+    return filter_rows(docs, [text_col], start)

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkgauge.llm.frames import map_batches, sample_per_class
+from inkgauge.llm.frames import filter_rows, map_batches, sample_per_class
 from inkgauge.llm.shingles import mix, word_hashes
 
 WORDS = 1 << 13
@@ -79,7 +79,8 @@ def features(text: str | None, metadata: tuple) -> tuple[np.ndarray, np.ndarray]
     bins = structure(raw, words) if len(raw) else [0] * STATISTICS
     for x in metadata:
         known = x is not None and np.isfinite(x)
-        bins.append(_log_bin(abs(float(x))) if known else BINS - 1)
+        # the last bin is for what is not known
+        bins.append(min(BINS - 2, _log_bin(abs(float(x)))) if known else BINS - 1)
     extra = WORDS + BINS * np.arange(len(bins)) + np.array(bins)
     return np.concatenate([index, extra]), np.concatenate([value, np.full(len(bins), len(bins) ** -0.5)])
 
@@ -172,17 +173,24 @@ def learn_quality(
     return (model.bias, bytes(model.table)) if model else (0.0, b"")
 
 
+def load(model: tuple[float, bytes]) -> FactorisationMachine:
+    machine = FactorisationMachine(0)
+    machine.bias = model[0]
+    table = np.frombuffer(model[1], np.float32).reshape(-1, RANK + 1).astype(float)
+    machine.linear, machine.factors = table[:, 0].copy(), table[:, 1:].copy()
+    return machine
+
+
+def score_text(machine: FactorisationMachine, text: str | None, metadata: tuple) -> float:
+    return machine.score(*features(text, metadata)) if len(machine.linear) else 0.5
+
+
 def _score(model: tuple[float, bytes], n_metadata: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        machine = FactorisationMachine(1)
-        machine.bias = model[0]
-        table = np.frombuffer(model[1], np.float32).reshape(-1, RANK + 1).astype(float)
-        machine.linear, machine.factors = table[:, 0].copy(), table[:, 1:].copy()
+        machine = load(model)
         for pdf in batches:
             rows = zip(pdf["text"], _metadata(pdf, n_metadata), strict=True)
-            yield pd.DataFrame(
-                {"id": pdf["id"], "score": [machine.score(*features(t, m)) if len(table) else 0.5 for t, m in rows]}
-            )
+            yield pd.DataFrame({"id": pdf["id"], "score": [score_text(machine, t, m) for t, m in rows]})
 
     return run
 
@@ -208,3 +216,22 @@ def score_quality(
     return scored.select(
         F.col("id").alias(id_col), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
     )
+
+
+def keep_good(
+    docs: DataFrame,
+    model: tuple[float, bytes],
+    text_col: str = "text",
+    metadata: tuple[str, ...] = ("n_chars",),
+    threshold: float = 0.3,
+) -> DataFrame:
+    """The rows whose score is at least ``threshold``, with all their columns."""
+
+    def start():
+        machine = load(model)
+        return lambda texts, *meta: [
+            score_text(machine, t, m) >= threshold
+            for t, m in zip(texts, zip(*meta, strict=True) if meta else [()] * len(texts), strict=True)
+        ]
+
+    return filter_rows(docs, [text_col, *metadata], start)

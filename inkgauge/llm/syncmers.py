@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from inkgauge.operators.ranking import range_bucket
 
-UNIT_CHARS = 16
-K, S = 5, 2
+UNIT_CHARS = 4
+K, S = 6, 2
 INNER = K - S + 1
 
 
@@ -51,8 +51,8 @@ def anchors(text: Column) -> Column:
     def select(g: Column, n: Column) -> Column:
         count = F.greatest(n - (K - 1), F.lit(0))
         at = [F.slice(g, F.lit(1 + i), count) for i in range(INNER)]
-        edges = _zip([at[0], at[-1]], F.least)
-        middle = _zip(at[1:-1], F.least)
+        edges = _zip([at[0], at[-1]], lambda a, b: F.least(a, b))
+        middle = _zip(at[1:-1], lambda a, b: F.least(a, b))
         # the inner runs 0, S, 2S, ... and the last one cover all K units
         whole = _zip([*at[:-1:S], at[-1]], lambda a, b: F.xxhash64(a, b))
         closed = F.zip_with(edges, middle, lambda e, m: e <= m)
