@@ -4,30 +4,41 @@ Two shingle sets with Jaccard similarity of at least p/100 differ in at most
 k = (100 - p)(|a| + |b|) / (100 + p) elements. Sets are put into bands of sizes
 [l, 100 l / p], so partners share a band or lie in neighbouring ones. For a band
 the domain of elements is hashed into n1 first-level parts, each into N2 = 3
-second-level parts, with 2 n1 > k: some first-level part then holds at most one
+second-level parts, with n1 > k / 2: some first-level part then holds at most one
 difference, and two of its three second-level parts hold none. One signature for
 each pair of second-level parts (a hash of the elements that fall into them)
 therefore meets in both sets. Nothing is lost, whatever the sizes.
 
-Signatures of no element would meet in all sets that leave a part empty. Such a
-signature is refined by each element of the set's prefix: of two partners, the
-(100 - p)/100 |a| + 1 least elements have one in common.
+Signatures of no element would meet in all sets that leave a part empty. With t
+first-level parts more than needed, t of them agree; a set in which fewer than t
+have an empty pair leaves those out. Any other refines such a signature by each
+element of its prefix: of two partners, the (100 - p)/100 |a| + 1 least elements
+have one in common.
+
+Sets that share a signature are compared in two steps. The sum of differences of
+two sets' counts over SKETCH hashed parts never exceeds the number of elements in
+which they differ, so pairs beyond k are no partners; for the others the sets
+themselves are intersected.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkgauge.llm.frames import components, map_batches, written
+from inkgauge.llm.frames import components, map_batches, map_groups, written
 from inkgauge.llm.shingles import mix, shingle_set
 
 N2 = 3
+SKETCH = 128
+BLOCK_SETS = 512  # sets of a cell whose sketches are compared as one block
 BLOCK_ELEMENTS = 1 << 16  # elements of a cell that are compared as one block
+MARKS = 1 << 20  # id hashes that tell which texts may be needed
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _WRAP = (1 << 64) - 1
 _LOW = np.uint64(0xFFFFFFFF)
@@ -54,6 +65,7 @@ def signatures(found: np.ndarray, percent: int) -> np.ndarray:
     size = len(found)
     limits = band_limits(percent, size + 1)
     own = int(np.searchsorted(limits, size))
+    least = limits[own - 1] + 1 if own else 1
     bands = [(own, limits[own])]
     if size * 100 // percent > limits[own]:
         limits = band_limits(percent, limits[own] + 1)
@@ -63,7 +75,9 @@ def signatures(found: np.ndarray, percent: int) -> np.ndarray:
         k = (100 - percent) * 2 * limit // (100 + percent)
         if k == 0:
             continue  # only equal sets can be partners, and those are one class already
-        n1 = (k + 2) // 2
+        void = math.exp(-least * (N2 - 1) / (N2 * (k / 2 + 1)))  # share of empty pairs, about
+        spare = 1 + int(2 * N2 * void * (k // 2 + 1))
+        n1 = k // 2 + spare
         spot = mix(found + np.uint64((band + 1) * int(_ODD) & _WRAP))
         first = ((spot >> np.uint64(33)) * np.uint64(n1)) >> np.uint64(31)
         part = (first * np.uint64(N2) + (spot & _LOW) % np.uint64(N2)).astype(np.int64)
@@ -78,12 +92,16 @@ def signatures(found: np.ndarray, percent: int) -> np.ndarray:
         place = mix(np.arange(n, dtype=np.uint64) + np.uint64(band) * np.uint64(1 << 40))
         signs = mix(rest * _ODD + place)
         out.append(signs[~empty])
-        if empty.any():
+        if empty.reshape(n1, N2).any(1).sum() >= spare:
             prefix = found[: size - (size * percent + 99) // 100 + 1]
             out.append(mix(signs[empty][:, None] + prefix[None, :] * _ODD).ravel())
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
+def sketch(found: np.ndarray) -> np.ndarray:
+    return np.bincount((found >> np.uint64(57)).astype(np.int64), minlength=SKETCH).astype(np.int32)
+
+
 def _classes(width: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -111,17 +129,56 @@ def _signed(width: int, percent: int):
     return run
 
 
-def _sets(width: int):
+def _sketches(width: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()
         for pdf in batches:
             rows = []
-            for cls, text in zip(pdf["cls"], pdf["text"], strict=True):
+            for text in pdf["text"]:
                 found = shingle_set(text, width)
-                if cls not in seen and set_id(found) == cls:  # an id may be repeated with other texts
+                cls = set_id(found)
+                if cls not in seen:
                     seen.add(cls)
-                    rows.append((cls, found.tobytes()))
-            yield pd.DataFrame(rows, columns=["cls", "elements"])
+                    rows.append((cls, sketch(found).tobytes()))
+            yield pd.DataFrame(rows, columns=["cls", "sketch"])
+
+    return run
+
+
+def _sets(width: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = [shingle_set(t, width) for t in pdf.pop("text")]
+            # an id may be repeated with other texts
+            same = np.array([set_id(s) for s in found], np.int64) == pdf["cls"].to_numpy()
+            yield pdf.assign(elements=[s.tobytes() for s in found])[same]
+
+    return run
+
+
+def _promising(percent: int):
+    def run(key: tuple, group: dict[str, np.ndarray]) -> list[tuple]:
+        """Members of a cell with a partner, going by sizes and sketches, that they meet here first."""
+        order = np.lexsort((group["cls"], group["size"]))
+        cls = group["cls"][order]
+        order = order[np.concatenate([[True], cls[1:] != cls[:-1]])]
+        if len(order) < 2:
+            return []
+        cls, sizes, blocks = (group[c][order] for c in ("cls", "size", "block"))
+        counts = np.frombuffer(b"".join(group["sketch"][order]), np.int32).reshape(len(order), SKETCH)
+        cells = group["cells"][order]
+        cross = key[1] != key[2]
+        kept = np.zeros(len(order), bool)
+        for i in range(len(order) - 1):
+            upto = int(np.searchsorted(sizes, sizes[i] * 100 // percent, side="right"))
+            apart = np.abs(counts[i + 1 : upto] - counts[i]).sum(1)
+            near = apart * (100 + percent) <= (100 - percent) * (sizes[i] + sizes[i + 1 : upto])
+            if cross:
+                near &= blocks[i + 1 : upto] != blocks[i]
+            for j in np.flatnonzero(near) + i + 1:
+                if not (kept[i] and kept[j]) and np.intersect1d(cells[i], cells[j])[0] == key[0]:
+                    kept[i] = kept[j] = True
+        return [(key[0], int(c)) for c in cls[kept]]
 
     return run
 
@@ -163,15 +220,25 @@ def linked_pairs(ids: list[int], sets: list[np.ndarray], sides: np.ndarray, perc
 
 
 def _verify(percent: int):
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates("cls")
-        sets = [np.frombuffer(b, np.uint64) for b in pdf["elements"]]
-        links = linked_pairs(pdf["cls"].tolist(), sets, pdf["block"].to_numpy(), percent) if len(pdf) > 1 else []
-        return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
+    def run(key: tuple, group: dict[str, np.ndarray]) -> list[tuple]:
+        cls, first = np.unique(group["cls"], return_index=True)
+        if len(cls) < 2:
+            return []
+        sets = [np.frombuffer(b, np.uint64) for b in group["elements"][first]]
+        return linked_pairs(cls.tolist(), sets, group["block"][first], percent)
 
     return run
 
 
+def _in_blocks(members: DataFrame, blocks: Column) -> DataFrame:
+    """Cut each cell into blocks; a row goes to all pairs (i, j), i <= j, of its block with another."""
+    sizes = members.groupBy("cell").agg(F.ceil(blocks).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
+    rows = members.join(sizes, "cell").withColumn("block", own)
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return rows.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("blocks", "other")
+
+
 def ngram_jaccard_join(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, percent: int = 85
 ) -> DataFrame:
@@ -203,26 +270,31 @@ def ngram_jaccard_join(
         .where("cell < last")
         .select("cell", "cls")
         .distinct()
-        .join(reps, "cls")
     )
-    cells = written(cells, "cells")
-    weights = cells.groupBy("cell").agg(F.sum("size").alias("elements"))
-    weights = weights.select("cell", F.ceil(F.col("elements") / BLOCK_ELEMENTS).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
-    # block i meets every block j: the pair is (least, greatest)
-    placed = (
-        cells.join(weights, "cell")
-        .select("cell", "cls", "blocks", own.alias("block"))
-        .select("cell", "cls", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-        .select("cell", "cls", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    # a set meets no more cells than it has signatures
+    members = cells.groupBy("cls").agg(F.collect_list("cell").alias("cells")).join(reps, "cls")
+    members = written(members, "members")
+    mark = F.pmod(F.xxhash64("id"), F.lit(MARKS)).alias("mark")
+    marked = docs.withColumn("mark", mark)
+    # at most MARKS rows: safe to broadcast; the texts of others are passed over where they are read
+    marks = F.broadcast(members.select(F.col("rep").alias("id")).select(mark).distinct())
+    sketches = map_batches(
+        marked.join(marks, "mark", "left_semi").select("text"), _sketches(width), "cls bigint, sketch binary"
     )
-    wanted = cells.select(F.col("rep").alias("id"), "cls").distinct()
-    sets = map_batches(docs.join(wanted, "id").select("cls", "text"), _sets(width), "cls bigint, elements binary")
-    edges = (
-        placed.join(sets, "cls")
-        .groupBy("cell", "i", "j")
-        .applyInPandas(_verify(percent), "a bigint, b bigint")
+    placed = members.join(sketches, "cls").withColumn("cell", F.explode("cells"))
+    met = map_groups(
+        _in_blocks(placed, F.count(F.lit(1)) / BLOCK_SETS).drop("rep"),
+        ["cell", "i", "j"], _promising(percent), "cell bigint, cls bigint",
+    )
+    met = written(met.distinct().join(reps, "cls"), "promising")
+    marks = F.broadcast(met.select(F.col("rep").alias("id")).select(mark).distinct())
+    placed = _in_blocks(met, F.sum("size") / BLOCK_ELEMENTS)
+    placed = placed.select(F.col("rep").alias("id"), "cls", "cell", "i", "j", "block")
+    texts = marked.join(marks, "mark", "left_semi").select("id", "text").join(placed, "id").drop("id")
+    sets = map_batches(
+        texts, _sets(width), "cls bigint, cell bigint, i int, j int, block int, elements binary"
     )
+    edges = map_groups(sets, ["cell", "i", "j"], _verify(percent), "a bigint, b bigint")
     ids = reps.select("cls", "rep")
     edges = (
         edges.join(ids.select(F.col("cls").alias("a"), F.col("rep").alias("x")), "a")
