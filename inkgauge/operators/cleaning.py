@@ -70,6 +70,8 @@ def sample_n(
     """
     order = order_hash(*([key] if isinstance(key, str) else key), seed=seed)
     cutoffs = hash_cutoffs(df, order, {"last": lambda total: F.least(total, F.lit(n))})
+    # an empty table has no class and so no row here, but a size all the same
+    cutoffs = cutoffs.agg(F.coalesce(F.max("total"), F.lit(0)).alias("total"), F.max("last").alias("last"))
     cutoff = F.col("last")
     if not clamp:
         message = F.concat(
@@ -83,7 +85,7 @@ def distinct_texts(
     df: DataFrame,
     order_by: str | list[str],
     text: str = "text",
-    unique_key: str | None = None,
+    unique_key: str | list[str] | None = None,
 ) -> DataFrame:
     """One row per text: the one that comes first by ``order_by``.
 
@@ -91,23 +93,32 @@ def distinct_texts(
     makes up a third of the corpus costs one row per task.
 
     With ``unique_key`` only (digest, order, key) is aggregated and the winning
-    rows are then picked by key: texts are shuffled once and never sorted, at the
-    price of reading the input twice. Without it the winning row itself travels
-    through the aggregation.
+    rows are then picked by key through a hash join: texts are shuffled once and
+    never sorted, at the price of reading the input twice. Without it the winning
+    row itself travels through the aggregation, which sorts whole rows.
     """
     order_by = [order_by] if isinstance(order_by, str) else order_by
-    order = F.struct(*order_by)
-    digest = F.sha2(F.col(text), 256)
     if unique_key:
-        # a plain minimum where it will do: it is aggregated by hash, without a sort
-        same = order_by == [unique_key]
-        first = F.min(unique_key) if same else F.min_by(F.col(unique_key), order)
-        keep = df.groupBy(digest.alias("digest")).agg(first.alias(unique_key))
-        return df.join(keep.select(unique_key), unique_key, "left_semi").select(df.columns)
-    row = F.min_by(F.struct(*df.columns), order)
+        unique_key = [unique_key] if isinstance(unique_key, str) else unique_key
+        keep = first_keys(df, order_by, text, unique_key)
+        # keys are the small side: hashing them leaves the texts unsorted
+        return df.join(keep.hint("shuffle_hash"), unique_key, "left_semi").select(df.columns)
+    row = F.min_by(F.struct(*df.columns), F.struct(*order_by))
+    digest = F.sha2(F.col(text), 256)
     return df.groupBy(digest.alias("digest")).agg(row.alias("row")).select("row.*")
 
 
+def first_keys(df: DataFrame, order_by: list[str], text: str, unique_key: list[str]) -> DataFrame:
+    """The keys of the rows that come first among equal texts; no text is moved."""
+    # a plain minimum where it will do: it is aggregated by hash, without a sort
+    if order_by == unique_key and len(unique_key) == 1:
+        first = F.struct(F.min(unique_key[0]).alias(unique_key[0]))
+    else:
+        first = F.min_by(F.struct(*unique_key), F.struct(*order_by))
+    digest = F.sha2(F.col(text), 256)
+    return df.groupBy(digest.alias("digest")).agg(first.alias("first")).select("first.*")
+
+
 def any_distinct_text(df: DataFrame, text: str = "text") -> DataFrame:
     """One arbitrary row per text; cheaper to write down, not reproducible."""
     return df.dropDuplicates([text])

@@ -84,6 +84,11 @@ def nearest_centroid(
     return df.withColumn(out, assign(F.col(features)))
 
 
+SETTINGS = (
+    "k int, n_init int, max_iter int, seed int, label_source string, threshold double"
+)
+
+
 @dataclass
 class KMeansClassifier:
     """``label_source="train"`` learns the clusters' classes on the training rows;
@@ -126,17 +131,24 @@ class KMeansClassifier:
 
     def save(self, path: str, scored: DataFrame | None = None) -> None:
         """Centroids and cluster classes. Pass the scored rows when they are the label source."""
+        if self.mapping is None and scored is None:
+            raise ValueError("clusters named by the scored rows cannot be saved without them: pass `scored`")
         path = path.rstrip("/")
         self.model.write().overwrite().save(f"{path}/kmeans")
         mapping = self.mapping if scored is None else self.cluster_classes(scored)
         mapping.write.mode("overwrite").parquet(f"{path}/cluster_classes")
+        settings = (self.k, self.n_init, self.max_iter, self.seed, self.label_source, self.threshold)
+        SparkSession.active().createDataFrame([settings], SETTINGS).coalesce(1).write.mode(
+            "overwrite"
+        ).parquet(f"{path}/settings")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> KMeansClassifier:
         path = path.rstrip("/")
         model = KMeansModel.load(f"{path}/kmeans")
         mapping = spark.read.parquet(f"{path}/cluster_classes")
-        return KMeansClassifier(len(model.clusterCenters()), model=model, mapping=mapping)
+        settings = spark.read.parquet(f"{path}/settings").first().asDict()
+        return KMeansClassifier(**settings, model=model, mapping=mapping)
 
 
 def kmeans_grid_search(

@@ -209,6 +209,7 @@ class LshModel:
     scaler: StandardizerModel | None
     base: DataFrame  # id, features, label
     signed: DataFrame  # id, label, h1, h2, keys
+    path: str | None = None  # where a loaded model still reads its rows
 
     # -- signatures ---------------------------------------------------------
 
@@ -410,6 +411,8 @@ class LshModel:
     def save(self, path: str) -> None:
         spark = self.base.sparkSession
         path = path.rstrip("/")
+        if path == self.path:
+            raise ValueError("a loaded model cannot be saved over the files it reads: choose another path")
         self.base.write.mode("overwrite").parquet(f"{path}/base")
         self.signed.write.mode("overwrite").parquet(f"{path}/signed")
         planes = [
@@ -442,6 +445,7 @@ class LshModel:
             scaler,
             spark.read.parquet(f"{path}/base"),
             spark.read.parquet(f"{path}/signed"),
+            path,
         )
 
 

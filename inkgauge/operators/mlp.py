@@ -153,6 +153,12 @@ def _shard_epoch(state: _State, layers, batch_size, rate, scaler):
 _SHARD = "block int, values array<double>, n bigint, steps bigint, loss double, correct bigint"
 
 
+def epoch_order(key: str, epoch: int | Column, seed: int) -> Column:
+    """Order of the rows in an epoch: a hash that is new for every epoch and seed."""
+    epoch = F.lit(epoch) if isinstance(epoch, int) else epoch
+    return F.md5(F.concat_ws(":", F.col(key).cast("string"), epoch.cast("string"), F.lit(str(seed))))
+
+
 @dataclass
 class MlpModel:
     layers: list[int]
@@ -219,26 +225,25 @@ class MlpClassifier:
     rate: float = schema.LEARNING_RATE
     seed: int = schema.SEED
     standardize: bool = False
-    shards: int | None = None
+    shards: int = schema.SHARDS
 
     def fit(self, train: DataFrame, val: DataFrame | None = None) -> MlpModel:
         """Train on (id, features, label); ``history`` has one row per epoch.
 
-        The number of shards follows the data, up to the session's cores: fewer
-        rows than 16 batches are not worth a shard of their own.
+        The rows are dealt out by a hash of their ids to ``shards`` replicas, whose
+        states are averaged after every epoch. The number is a parameter, so the same
+        rows give the same model on any cluster.
         """
         spark = train.sparkSession
         rows = train.select("id", "features", F.col("label").cast("double").alias("label"))
         held = []
         try:
-            n = rows.count()
-            if not n:
+            one = rows.first()
+            if one is None:
                 raise ValueError("cannot train on an empty table")
-            layers = self.layers or [len(rows.first()["features"]), *schema.LAYERS[1:]]
+            layers = self.layers or [len(one["features"]), *schema.LAYERS[1:]]
             scaler = Standardizer().fit(rows) if self.standardize else None
-            cores = spark.sparkContext.defaultParallelism
-            shards = self.shards or max(1, min(cores, n // (16 * self.batch_size)))
-            sharded = rows.repartition(shards, F.xxhash64("id")).persist()
+            sharded = rows.repartition(self.shards, F.xxhash64("id")).persist()
             held.append(sharded)
             if val is not None:
                 val = val.select("id", "features", "label").persist()
@@ -266,7 +271,7 @@ class MlpClassifier:
 
     def _epoch(self, sharded: DataFrame, state: _State, layers, scaler, epoch: int):
         """One pass in a new order of the rows of every shard."""
-        shuffled = sharded.sortWithinPartitions(F.xxhash64("id", F.lit(epoch), F.lit(self.seed)), "id")
+        shuffled = sharded.sortWithinPartitions(epoch_order("id", epoch, self.seed), "id")
         run = _shard_epoch(state, layers, self.batch_size, self.rate, scaler)
         weight = F.col("n").cast("double")
         blocks = (

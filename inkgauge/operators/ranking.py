@@ -20,9 +20,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkgauge.functions.vectors import constant_array
+from inkgauge.session import written
 
 PREFIX = 4  # hex digits: 65,536 counters
-MAX_CLASSES = 1000
+FEW_CLASSES = 10_000  # broadcast up to this many; the result is the same beyond
 
 
 def order_hash(*keys: str | Column, seed: int) -> Column:
@@ -92,16 +93,18 @@ def hash_cutoffs(
     )
 
 
-def cutoffs_by_class(cutoffs: DataFrame) -> Column:
-    """Turn ``hash_cutoffs`` into one map column, so that looking a class up needs no join.
+def with_cutoffs(df: DataFrame, cutoffs: DataFrame, by: Column, out: str) -> DataFrame:
+    """Add to each row the cut-offs of its class as one struct column, for any number of classes.
 
-    Classes are labels, of which there are a handful; more than MAX_CLASSES is an error.
+    There is one row per class, so a class that holds most rows costs no more than
+    others. Few classes are broadcast, which leaves the rows where they are; many
+    are joined as Spark sees fit.
     """
-    entries = F.collect_list(F.struct("cls", F.struct(*[c for c in cutoffs.columns if c != "cls"])))
-    checked = F.when(
-        F.count(F.lit(1)) <= MAX_CLASSES, F.map_from_entries(entries)
-    ).otherwise(F.raise_error(F.lit(f"more than {MAX_CLASSES} classes to stratify by")))
-    return cutoffs.agg(checked).scalar()
+    names = [c for c in cutoffs.columns if c != "cls"]
+    cutoffs = written(cutoffs.select(F.col("cls").alias("_cls"), F.struct(*names).alias(out)), "cutoffs")
+    if cutoffs.count() <= FEW_CLASSES:
+        cutoffs = F.broadcast(cutoffs)
+    return df.join(cutoffs, by == F.col("_cls")).drop("_cls")
 
 
 def range_bucket(value: Column, bounds: list, fan: int) -> Column:

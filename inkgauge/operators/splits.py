@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkgauge import schema
-from inkgauge.operators.ranking import cutoffs_by_class, hash_cutoffs, order_hash
+from inkgauge.operators.ranking import hash_cutoffs, order_hash, with_cutoffs
 
 
 def _two_step_rules(held_out: float, test_of_held_out: float):
@@ -68,5 +68,5 @@ def split_stratified(
     cls = F.coalesce(F.col(label).cast("string"), F.lit(""))
     # 1 - 0.8 is a hair under 0.2; rounding keeps exact multiples exact
     rules = _two_step_rules(round(1 - train, 12), round(test / (test + val), 12))
-    cuts = cutoffs_by_class(hash_cutoffs(df, order, rules, by=cls))
-    return _labelled(df, order, F.element_at(cuts, cls), out)
+    rows = with_cutoffs(df, hash_cutoffs(df, order, rules, by=cls), cls, "_cuts")
+    return _labelled(rows, order, F.col("_cuts"), out).drop("_cuts")

@@ -2,22 +2,21 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from inkgauge import schema
 from inkgauge.functions import text as X
+from inkgauge.session import written
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 STAT_COLS = ["count", "nulls", "mean", "std", "min", "q25", "q50", "q75", "max"]
 
 
-MAX_GROUPS = 10_000
-
-
-def _group_key(keys: list[str]) -> Column:
-    return F.concat_ws("\x01", *(F.coalesce(F.col(k).cast("string"), F.lit("\x02")) for k in keys))
+FEW_GROUPS = 10_000  # brackets of so many groups are broadcast; the result is the same beyond
 
 
 def _unpivoted(df: DataFrame, cols: list[str], by: list[str]) -> DataFrame:
@@ -78,19 +77,19 @@ def exact_quantiles(
             )
         ),
     )
-    # A handful of groups times the columns: looked up in a map, so values are
-    # dropped or merged in the scan stage and only bracket contents are shuffled.
-    entries = brackets.groupBy(_group_key(keys).alias("k")).agg(
-        F.collect_list(F.struct("q", "rank", "lo", "hi")).alias("ranges")
+    # One row per group and column. Few of them are broadcast, so values are dropped
+    # or merged in the scan stage and only bracket contents are shuffled.
+    named = {k: f"_{i}" for i, k in enumerate(keys)}
+    entries = brackets.groupBy(*(F.col(k).alias(n) for k, n in named.items())).agg(
+        F.collect_list(F.struct("q", "rank", "lo", "hi")).alias("ranges"), F.max("hi").alias("most")
     )
-    lookup = entries.agg(
-        F.when(
-            F.count(F.lit(1)) <= MAX_GROUPS,
-            F.map_from_entries(F.collect_list(F.struct("k", "ranges"))),
-        ).otherwise(F.raise_error(F.lit(f"more than {MAX_GROUPS} groups: use approx=True")))
-    ).scalar()
+    entries = written(entries, "brackets")
+    if entries.count() <= FEW_GROUPS:
+        entries = F.broadcast(entries)
+    here = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(n)) for k, n in named.items()))
     counted = (
-        long.select(*keys, "value", F.inline(F.element_at(lookup, _group_key(keys))))
+        long.join(entries, here & (F.col("value") <= F.col("most")))
+        .select(*keys, "value", F.inline("ranges"))
         .where(F.col("value") <= F.col("hi"))
         .withColumn("value", F.when(F.col("value") >= F.col("lo"), F.col("value")))
         .groupBy(*keys, "q", "rank", "value")
@@ -128,7 +127,8 @@ def describe(
     """Per group and column: count, nulls, mean, sample std, min, quartiles, max.
 
     Text columns have no mean, std or quartiles; min and max are reported in
-    ``min_text`` and ``max_text`` when there is a text column.
+    ``min_text`` and ``max_text`` when there is a text column. NaN is a missing
+    value in every measure: it counts among the nulls.
     """
     by = [by] if isinstance(by, str) else list(by or [])
     texts = [c for c in cols if isinstance(df.schema[c].dataType, T.StringType)]
@@ -137,7 +137,10 @@ def describe(
 
     def measures(c: str) -> list[Column]:
         v, is_text = F.col(c), c in texts
-        x = F.lit(None).cast("double") if is_text else v.cast("double")
+        x = F.lit(None).cast("double")
+        if not is_text:
+            x = F.when(~F.isnan(v.cast("double")), v.cast("double"))
+            v = F.when(x.isNotNull(), v)
         return [
             F.count(v).alias("count"),
             F.count_if(v.isNull()).alias("nulls"),

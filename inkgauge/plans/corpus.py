@@ -9,8 +9,8 @@ from inkgauge.functions.text import compact_types, text_features
 from inkgauge.operators.chunking import chunk_by_tokens
 from inkgauge.operators.cleaning import (
     add_unique_id,
-    distinct_texts,
     filter_word_count,
+    first_keys,
     sample_n,
 )
 from inkgauge.operators.embedding import embed_text
@@ -20,6 +20,7 @@ from inkgauge.sources.corpus import (
     Corpus,
     merge_corpora,
     scan_csv,
+    subset_path,
     write_cleaned,
     write_csv,
     write_processed,
@@ -33,8 +34,10 @@ def clean_corpus(corpora: list[Corpus], sample: int | None = None) -> DataFrame:
     if sample is not None:
         df = sample_n(df, sample, key=ingest)
     df = filter_word_count(df)
-    df = distinct_texts(df, order_by=ingest)
-    return add_unique_id(df, order_hash_hex=order_hash(*ingest, seed=schema.SEED))
+    # narrow keys are deduplicated and numbered; the texts move once, to meet them
+    keys = written(first_keys(df, ingest, "text", ingest), "keys")
+    numbered = add_unique_id(keys, order_hash_hex=order_hash(*ingest, seed=schema.SEED))
+    return df.join(numbered.hint("shuffle_hash"), ingest).select(*df.columns, "id")
 
 
 def chunk_features(cleaned: DataFrame) -> DataFrame:
@@ -52,8 +55,8 @@ def prepare_corpus(
 ) -> DataFrame:
     """The whole preparation. Returns the processed table as read back from ``processed_path``.
 
-    The cleaned corpus is written once and feeds both the CSV copy and the chunks,
-    so filtering, deduplication and numbering run a single time.
+    The cleaned corpus is written once and feeds both the CSV copy and the chunks.
+    Raw rows are read twice: for the keys of the first copies, and for their texts.
     """
     spark = corpora[0].df.sparkSession
     cleaned = written(clean_corpus(corpora, sample), "cleaned")
@@ -68,10 +71,7 @@ def corpus_subset(
     spark: SparkSession, cleaned_csv: str, n: int = 100, seed: int = schema.SEED
 ) -> str:
     """Write ``n`` rows (all, if there are fewer) next to the input as ``<name>_subset``."""
-    stem, dot, ext = cleaned_csv.rstrip("/").rpartition(".")
-    if not dot or "/" in ext:
-        stem, dot, ext = cleaned_csv.rstrip("/"), "", ""
-    path = f"{stem}_subset{dot}{ext}"
+    path = subset_path(cleaned_csv)
     df = scan_csv(spark, cleaned_csv, schema.CLEANED_SCHEMA)
     write_csv(sample_n(df, n, key="id", seed=seed, clamp=True), path)
     return path

@@ -25,12 +25,14 @@ from inkgauge.session import written
 from inkgauge.sources.corpus import write_csv
 
 
-MAX_CHUNKS = 1_000_000
-
-
 def model_rows(processed: DataFrame) -> DataFrame:
-    """(id, features, label) of a processed table, one id per chunk."""
-    unique = F.col("id") * MAX_CHUNKS + F.col("chunk_idx")
+    """(id, features, label) of a processed table, one id per chunk.
+
+    Ids are packed with the table's own largest chunk number, so they are unique for
+    any number of chunks; an id beyond 64 bits is an error.
+    """
+    chunks = processed.agg(F.max("chunk_idx").cast("bigint") + 1).scalar()
+    unique = F.col("id").cast("bigint") * chunks + F.col("chunk_idx")
     return assemble_features(processed.withColumn("id", unique))
 
 
@@ -101,7 +103,7 @@ def mlp_run(
     epochs: int = schema.EPOCHS,
     standardize: bool = False,
     seed: int = schema.SEED,
-    shards: int | None = None,
+    shards: int = schema.SHARDS,
 ) -> tuple[MlpModel, DataFrame, DataFrame]:
     """Split, train and score the test rows: the model, the scored rows, the confusion matrix."""
     train, val, test = parts(written(split_random(rows, seed=seed), "split"))

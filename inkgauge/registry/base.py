@@ -59,8 +59,10 @@ def labelled(spark: SparkSession, sf: str) -> DataFrame:
 
 def corpora(spark: SparkSession, sf: str) -> list[Corpus]:
     """Three corpora with different column names."""
-    talk = scan_text_table(spark, sf, "conversations").select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("key"),
+    talk = scan_text_table(spark, sf, "conversations")
+    turns = talk.agg(F.max("turn") + 1).scalar()
+    talk = talk.select(
+        (F.col("conv_id") * turns + F.col("turn")).alias("key"),
         F.col("text").alias("text_content"),
         (F.col("role") == "assistant").cast("int").alias("label"),
         "role",
@@ -118,7 +120,7 @@ SQL_LABELLED = "SELECT doc_id, text, quality AS generated FROM documents JOIN la
 SQL_MERGED = f"""
 SELECT text, generated, doc_id AS row_key, 'documents' AS source, 0 AS source_pos FROM ({SQL_LABELLED})
 UNION ALL
-SELECT text, CASE WHEN role = 'assistant' THEN 1 ELSE 0 END, conv_id * 1000 + turn, 'conversations', 1
+SELECT text, CASE WHEN role = 'assistant' THEN 1 ELSE 0 END, conv_id * (SELECT max(turn) + 1 FROM conversations) + turn, 'conversations', 1
 FROM conversations
 UNION ALL
 SELECT text, 0, item_id, 'benchmark', 2 FROM benchmark

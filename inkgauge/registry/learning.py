@@ -11,7 +11,7 @@ from inkgauge.operators.kmeans import (
     kmeans_fit,
 )
 from inkgauge.operators.kmeans import kmeans_grid_search as search_clusters
-from inkgauge.operators.mlp import MlpClassifier, MlpModel, initial_parameters
+from inkgauge.operators.mlp import MlpClassifier, MlpModel, epoch_order, initial_parameters
 from inkgauge.operators.pca import PcaReport
 from inkgauge.operators.scaling import Standardizer
 from inkgauge.operators.splits import split_random, split_stratified
@@ -20,7 +20,18 @@ from inkgauge.registry.base import *  # noqa: F403
 from inkgauge.session import scratch_path
 from inkgauge.sources.corpus import scan_csv
 
-N_INIT = 2  # restarts in the queries; the operator's default is 10
+
+def place_in_epoch(rows):
+    """Rank by hash within an epoch: counts per hash prefix, then ranks within a prefix."""
+    from pyspark.sql import Window
+
+    prefixed = rows.withColumn("prefix", F.substring("order", 1, 3))
+    earlier = Window.partitionBy("epoch").orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = prefixed.groupBy("epoch", "prefix").agg(F.count("*").alias("n"))
+    sizes = sizes.select("epoch", "prefix", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    within = F.row_number().over(Window.partitionBy("epoch", "prefix").orderBy("order"))
+    placed = prefixed.withColumn("within", within).join(sizes, ["epoch", "prefix"])
+    return placed.select("epoch", "id", (F.col("before") + F.col("within")).cast("int").alias("place"))
 
 
 def _model_rows(spark, sf):
@@ -66,19 +77,19 @@ def _cluster_parts(spark, sf):
 @query("kmeans_fit_assign")
 def _(spark, sf):
     train, val, _ = _cluster_parts(spark, sf)
-    return kmeans_assign(kmeans_fit(train, 10, n_init=N_INIT), val).select("id", "cluster")
+    return kmeans_assign(kmeans_fit(train, 10), val).select("id", "cluster")
 
 
 @query("kmeans_grid_search")
 def _(spark, sf):
     train, val, _ = _cluster_parts(spark, sf)
-    return search_clusters(train, val, schema.CLUSTER_GRID, n_init=1)[1]
+    return search_clusters(train, val)[1]
 
 
 @query("cluster_classifier")
 def _(spark, sf):
     train, _, test = _cluster_parts(spark, sf)
-    model = KMeansClassifier(10, N_INIT).fit(train)
+    model = KMeansClassifier(10).fit(train)
     return model.transform(test).select("id", "label", "cluster", "predicted")
 
 
@@ -86,7 +97,7 @@ def _(spark, sf):
 def _(spark, sf):
     train, _, test = _cluster_parts(spark, sf)
     path = scratch_path(spark, "clusters")
-    KMeansClassifier(10, N_INIT).fit(train).save(path)
+    KMeansClassifier(10).fit(train).save(path)
     back = KMeansClassifier.load(spark, path)
     return back.transform(test).select("id", "cluster", "predicted")
 
@@ -94,7 +105,7 @@ def _(spark, sf):
 def _clustering(spark, sf):
     path = scratch_path(spark, "clustering")
     # scale on all rows and name clusters by the scored rows, so accuracy is purity
-    P.clustering_run(vectors(spark, sf), path, [2, 10, 30], 1, "all", "eval")
+    P.clustering_run(vectors(spark, sf), path, fit_on="all", label_source="eval")
     return path
 
 
@@ -115,7 +126,7 @@ def _(spark, sf):
 @query("kmeans_run")
 def _(spark, sf):
     rows = _model_rows(spark, sf)
-    _, _, report = P.clustering_run(rows, grid=[2, 10], n_init=1)
+    _, _, report = P.clustering_run(rows)
     return report
 
 
@@ -128,9 +139,9 @@ def _(spark, sf):
     return model.transform(_model_rows(spark, sf)).select("id", "probability", "predicted")
 
 
-def _trained(spark, sf, epochs=3):
+def _trained(spark, sf, epochs=schema.EPOCHS):
     train, val, test = P.parts(split_random(_model_rows(spark, sf)))
-    model = MlpClassifier(epochs=epochs, standardize=True).fit(train, val)
+    model = MlpClassifier(epochs=epochs).fit(train, val)
     return model, val, test
 
 
@@ -141,7 +152,7 @@ def _(spark, sf):
 
 @query("training_history")
 def _(spark, sf):
-    return _trained(spark, sf, epochs=5)[0].history
+    return _trained(spark, sf)[0].history
 
 
 @query("epoch_loss")
@@ -163,20 +174,18 @@ def _(spark, sf):
 
 @query("mlp_run")
 def _(spark, sf):
-    _, _, matrix = P.mlp_run(_model_rows(spark, sf), epochs=3, standardize=True)
+    _, _, matrix = P.mlp_run(_model_rows(spark, sf))
     return matrix
 
 
-@query("shuffle_rows")
+@query(
+    "shuffle_rows",
+    """SELECT epoch::INT AS epoch, vec_id AS id,
+              row_number() OVER (PARTITION BY epoch ORDER BY md5(vec_id || ':' || epoch || ':42'))::INT AS place
+       FROM embeddings, (SELECT unnest([1, 2]) AS epoch)""",
+)
 def _(spark, sf):
-    # position of each row in the training order of two epochs, within 16 shards
-    from pyspark.sql import Window
-
-    rows = vectors(spark, sf).select("id")
-    keyed = rows.select(
-        "id",
-        F.pmod(F.xxhash64("id"), F.lit(16)).alias("shard"),
-        F.explode(F.array(F.lit(1), F.lit(2))).alias("epoch"),
-    ).withColumn("order", F.xxhash64("id", "epoch", F.lit(schema.SEED)))
-    place = F.row_number().over(Window.partitionBy("epoch", "shard").orderBy("order", "id"))
-    return keyed.select("epoch", "shard", "id", place.alias("place"))
+    # place of each row in the training order of two epochs
+    rows = vectors(spark, sf).select("id", F.explode(F.array(F.lit(1), F.lit(2))).alias("epoch"))
+    rows = rows.withColumn("order", epoch_order("id", F.col("epoch"), schema.SEED))
+    return place_in_epoch(rows)

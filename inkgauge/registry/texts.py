@@ -92,7 +92,7 @@ def _(spark, sf):
 
 @query(
     "harmonize_schema",
-    """SELECT conv_id * 1000 + turn AS row_key, text,
+    """SELECT conv_id * (SELECT max(turn) + 1 FROM conversations) + turn AS row_key, text,
     CASE WHEN role = 'assistant' THEN 1 ELSE 0 END::INT AS generated FROM conversations""",
 )
 def _(spark, sf):

@@ -42,3 +42,4 @@ CLEANED_SCHEMA = T.StructType(
         T.StructField("id", T.LongType()),
     ]
 )
+SHARDS = 8  # parallel replicas of the perceptron

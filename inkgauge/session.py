@@ -35,6 +35,7 @@ def get_spark(master: str | None = None, app: str = "inkgauge", **conf: str) ->
 
 
 _SHIPPED: set[str] = set()
+_COPIES: dict[str, list[str]] = {}
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -81,20 +82,37 @@ def written(df: DataFrame, name: str) -> DataFrame:
     The copy outlives lost executors, and later passes read columns from Parquet
     instead of computing them again.
     """
-    path = scratch_path(df.sparkSession, name)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _COPIES.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_copies(spark: SparkSession) -> int:
+    """Delete what ``written`` has left in the shared folder; returns the number of copies.
+
+    Results that read a copy must have been stored before: call it at the end of a
+    job or of the session.
+    """
+    paths = _COPIES.pop(spark.sparkContext.applicationId, [])
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for path in paths:
+        place = hadoop.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    return len(paths)
 
 
 def spread(df: DataFrame) -> DataFrame:
     """Use every core on an input of few files.
 
-    A Parquet file with a single row group is read by one task. When the input
-    has fewer files than the session has cores, and so few splits that moving
-    them is cheap, the rows are redistributed. Larger inputs already fill the
-    cluster and are returned untouched, so no corpus-sized shuffle is added.
+    A Parquet file with a single row group is read by one task. When the input has
+    fewer splits than the session has cores, moving it is cheap and its rows are
+    redistributed. Larger inputs already fill the cluster and are returned
+    untouched, so no corpus-sized shuffle is added. Rows only move: no result
+    depends on where they are.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if cores > 1 and len(df.inputFiles()) < cores and df.rdd.getNumPartitions() < 4 * cores:
+    if 1 < cores and df.rdd.getNumPartitions() < cores:
         return df.repartition(cores)
     return df

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,9 +73,20 @@ def scan_processed(
     return spark.read.parquet(path).select("id", *numeric, "embedding", "generated")
 
 
+def subset_path(path: str) -> str:
+    """``data.csv`` -> ``data_subset.csv``."""
+    stem, dot, ext = path.rstrip("/").rpartition(".")
+    if not dot or "/" in ext:
+        stem, dot, ext = path.rstrip("/"), "", ""
+    return f"{stem}_subset{dot}{ext}"
+
+
 def load_before_after(
-    spark: SparkSession, before_csv: str, after_parquet: str
+    spark: SparkSession, before_csv: str, after_parquet: str, subset: bool = False
 ) -> tuple[DataFrame, DataFrame]:
+    """The cleaned corpus and the processed table; with ``subset`` their ``_subset`` copies."""
+    if subset:
+        before_csv, after_parquet = subset_path(before_csv), subset_path(after_parquet)
     return (
         scan_csv(spark, before_csv, schema.CLEANED_SCHEMA),
         spark.read.parquet(after_parquet),
@@ -97,7 +108,9 @@ def stage_counts(before: DataFrame, after: DataFrame) -> DataFrame:
 class Corpus:
     """A raw corpus: which columns hold text and label, and a key unique per row.
 
-    Without a key column rows are numbered in reading order.
+    Without a key column a row is known by its content: a hash of text, label and,
+    among rows that are equal in both, a running number. No key depends on how the
+    rows are stored or partitioned; giving one saves a shuffle of the texts.
     """
 
     name: str
@@ -115,12 +128,17 @@ def harmonize_schema(corpus: Corpus) -> DataFrame:
     label = F.col(corpus.label)
     if isinstance(corpus.df.schema[corpus.label].dataType, T.StringType):
         label = label.cast("double")
-    key = F.col(corpus.key) if corpus.key else F.monotonically_increasing_id()
-    return corpus.df.select(
+    key = F.col(corpus.key) if corpus.key else F.lit(None)
+    rows = corpus.df.select(
         F.col(corpus.text).cast("string").alias("text"),
         label.cast("tinyint").alias("generated"),
         key.cast("bigint").alias("row_key"),
     )
+    if corpus.key:
+        return rows
+    rows = rows.withColumn("_content", F.sha2(F.concat_ws(":", "generated", "text"), 256))
+    nth = F.row_number().over(Window.partitionBy("_content").orderBy("generated"))
+    return rows.withColumn("row_key", F.xxhash64("_content", "text", nth)).drop("_content")
 
 
 def merge_corpora(corpora: list[Corpus]) -> DataFrame:
