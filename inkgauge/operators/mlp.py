@@ -226,6 +226,7 @@ class MlpClassifier:
     seed: int = schema.SEED
     standardize: bool = False
     shards: int = schema.SHARDS
+    start: np.ndarray | None = None  # weights to begin with; drawn with the seed if there are none
 
     def fit(self, train: DataFrame, val: DataFrame | None = None) -> MlpModel:
         """Train on (id, features, label); ``history`` has one row per epoch.
@@ -249,7 +250,7 @@ class MlpClassifier:
                 val = val.select("id", "features", "label").persist()
                 held.append(val)
             size = n_parameters(layers)
-            start = initial_parameters(layers, self.seed)
+            start = initial_parameters(layers, self.seed) if self.start is None else self.start
             state = _State(start, np.zeros(size), np.zeros(size), 0)
             history = []
             for epoch in range(1, self.epochs + 1):

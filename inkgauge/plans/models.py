@@ -104,10 +104,14 @@ def mlp_run(
     standardize: bool = False,
     seed: int = schema.SEED,
     shards: int = schema.SHARDS,
+    **net,
 ) -> tuple[MlpModel, DataFrame, DataFrame]:
-    """Split, train and score the test rows: the model, the scored rows, the confusion matrix."""
+    """Split, train and score the test rows: the model, the scored rows, the confusion matrix.
+
+    ``net`` has further settings of ``MlpClassifier``.
+    """
     train, val, test = parts(written(split_random(rows, seed=seed), "split"))
-    trainer = MlpClassifier(epochs=epochs, standardize=standardize, seed=seed, shards=shards)
+    trainer = MlpClassifier(epochs=epochs, standardize=standardize, seed=seed, shards=shards, **net)
     model = trainer.fit(train, val)
     scored = model.transform(test).select("id", "label", "probability", "predicted")
     return model, scored, confusion_matrix(scored)

@@ -1,7 +1,16 @@
-"""Queries on fitted models. Their results have no SQL form: tests check them by property."""
+"""Queries on fitted models.
+
+The ``_full`` queries fit the models in their real size; tests check them by
+property. The others fit the same operators where SQL can compute the result: two
+columns for principal components, groups that are far apart for clusters, small
+nets and one full-batch step for the perceptron.
+"""
 
 from __future__ import annotations
 
+import hashlib
+
+import numpy as np
 from pyspark.sql import functions as F
 
 from inkgauge import schema
@@ -46,7 +55,7 @@ def _pca(spark, sf):
     return rows, PcaReport(5).fit(rows)
 
 
-@query("pca_fit")
+@query("pca_fit_full")
 def _(spark, sf):
     rows, model = _pca(spark, sf)
     scored = model.transform(rows).select("label", F.posexplode("pca").alias("component", "score"))
@@ -55,12 +64,12 @@ def _(spark, sf):
     )
 
 
-@query("pca_variance_table")
+@query("pca_variance_table_full")
 def _(spark, sf):
     return _pca(spark, sf)[1].variance_table(spark)
 
 
-@query("pca_projection")
+@query("pca_projection_full")
 def _(spark, sf):
     rows, model = _pca(spark, sf)
     return model.projection(rows)
@@ -74,26 +83,26 @@ def _cluster_parts(spark, sf):
     return P.parts(Standardizer().fit(rows).transform(rows))
 
 
-@query("kmeans_fit_assign")
+@query("kmeans_fit_assign_full")
 def _(spark, sf):
     train, val, _ = _cluster_parts(spark, sf)
     return kmeans_assign(kmeans_fit(train, 10), val).select("id", "cluster")
 
 
-@query("kmeans_grid_search")
+@query("kmeans_grid_search_full")
 def _(spark, sf):
     train, val, _ = _cluster_parts(spark, sf)
     return search_clusters(train, val)[1]
 
 
-@query("cluster_classifier")
+@query("cluster_classifier_full")
 def _(spark, sf):
     train, _, test = _cluster_parts(spark, sf)
     model = KMeansClassifier(10).fit(train)
     return model.transform(test).select("id", "label", "cluster", "predicted")
 
 
-@query("kmeans_model_io")
+@query("kmeans_model_io_full")
 def _(spark, sf):
     train, _, test = _cluster_parts(spark, sf)
     path = scratch_path(spark, "clusters")
@@ -109,7 +118,7 @@ def _clustering(spark, sf):
     return path
 
 
-@query("clustering_report")
+@query("clustering_report_full")
 def _(spark, sf):
     return scan_csv(
         spark,
@@ -118,12 +127,12 @@ def _(spark, sf):
     )
 
 
-@query("write_predictions")
+@query("write_predictions_full")
 def _(spark, sf):
     return spark.read.parquet(_clustering(spark, sf) + "/predictions")
 
 
-@query("kmeans_run")
+@query("kmeans_run_full")
 def _(spark, sf):
     rows = _model_rows(spark, sf)
     _, _, report = P.clustering_run(rows)
@@ -133,7 +142,7 @@ def _(spark, sf):
 # -- perceptron ------------------------------------------------------------------------
 
 
-@query("mlp_forward")
+@query("mlp_forward_full")
 def _(spark, sf):
     model = MlpModel(schema.LAYERS, initial_parameters(schema.LAYERS, schema.SEED))
     return model.transform(_model_rows(spark, sf)).select("id", "probability", "predicted")
@@ -145,34 +154,34 @@ def _trained(spark, sf, epochs=schema.EPOCHS):
     return model, val, test
 
 
-@query("mlp_train")
+@query("mlp_train_full")
 def _(spark, sf):
     return _trained(spark, sf)[0].history.select("epoch", "train_loss", "train_accuracy")
 
 
-@query("training_history")
+@query("training_history_full")
 def _(spark, sf):
     return _trained(spark, sf)[0].history
 
 
-@query("epoch_loss")
+@query("epoch_loss_full")
 def _(spark, sf):
     return _trained(spark, sf, epochs=1)[0].history.select("train_loss", "train_accuracy")
 
 
-@query("mlp_validate")
+@query("mlp_validate_full")
 def _(spark, sf):
     model, val, _ = _trained(spark, sf)
     return model.validate(val)
 
 
-@query("mlp_evaluate")
+@query("mlp_evaluate_full")
 def _(spark, sf):
     model, _, test = _trained(spark, sf)
     return model.transform(test).select("id", "label", "predicted")
 
 
-@query("mlp_run")
+@query("mlp_run_full")
 def _(spark, sf):
     _, _, matrix = P.mlp_run(_model_rows(spark, sf))
     return matrix
@@ -189,3 +198,278 @@ def _(spark, sf):
     rows = vectors(spark, sf).select("id", F.explode(F.array(F.lit(1), F.lit(2))).alias("epoch"))
     rows = rows.withColumn("order", epoch_order("id", F.col("epoch"), schema.SEED))
     return place_in_epoch(rows)
+
+
+# -- principal components of two columns -----------------------------------------------
+
+# with two standardised columns of correlation r the components are their sum and
+# difference; the stronger one is the sum where r is positive
+SQL_TWO = f"""WITH f AS ({SQL_CHUNK_FEATURES}),
+z AS (SELECT id * (max(chunk_idx) OVER () + 1) + chunk_idx AS id, generated::DOUBLE AS label,
+        (word_count - avg(word_count) OVER ()) / stddev_pop(word_count) OVER () AS a,
+        (character_count - avg(character_count) OVER ()) / stddev_pop(character_count) OVER () AS b,
+        corr(word_count, character_count) OVER () AS r FROM f),
+p AS (SELECT *, abs(CASE WHEN r >= 0 THEN a + b ELSE a - b END) / sqrt(2) AS pc1,
+        abs(CASE WHEN r >= 0 THEN a - b ELSE a + b END) / sqrt(2) AS pc2 FROM z)"""
+
+
+def _two_columns(spark, sf):
+    rows = processed(spark, sf)
+    chunks = rows.agg(F.max("chunk_idx").cast("bigint") + 1).scalar()
+    return rows.select(
+        (F.col("id") * chunks + F.col("chunk_idx")).alias("id"),
+        F.array(F.col("word_count").cast("double"), F.col("character_count").cast("double")).alias("features"),
+        F.col("generated").cast("double").alias("label"),
+    )
+
+
+def _two_components(spark, sf):
+    rows = _two_columns(spark, sf)
+    return rows, PcaReport(2).fit(rows)
+
+
+@query(
+    "pca_fit",
+    SQL_TWO + """ SELECT label, count(*) AS n, round(avg(pc1), 5) AS mean_pc1, round(avg(pc2), 5) AS mean_pc2
+    FROM p GROUP BY label""",
+)
+def _(spark, sf):
+    rows, model = _two_components(spark, sf)
+    sizes = [rounded(F.avg(F.abs(F.col("pca")[i])), 5).alias(f"mean_pc{i + 1}") for i in range(2)]
+    return model.transform(rows).groupBy("label").agg(F.count("*").alias("n"), *sizes)
+
+
+@query(
+    "pca_variance_table",
+    SQL_TWO + """ SELECT 'PC1' AS pc, round(50 * (1 + abs(any_value(r))), 2) AS explained_variance_pct,
+      round(50 * (1 + abs(any_value(r))), 2) AS cumulative_variance_pct FROM z
+    UNION ALL SELECT 'PC2', round(50 * (1 - abs(any_value(r))), 2), 100.0::DOUBLE FROM z""",
+)
+def _(spark, sf):
+    return _two_components(spark, sf)[1].variance_table(spark)
+
+
+@query("pca_projection", SQL_TWO + " SELECT id, round(pc1, 5) AS pc1, round(pc2, 5) AS pc2, label FROM p")
+def _(spark, sf):
+    rows, model = _two_components(spark, sf)
+    sizes = (rounded(F.abs(c), 5).alias(c) for c in ("pc1", "pc2"))
+    return model.projection(rows).select("id", *sizes, "label")
+
+
+# -- clusters of groups that are far apart ----------------------------------------------
+
+# labelled documents, one corner per language and the length as a small number; a
+# cluster is named by its least id
+SQL_APART = """apart AS (SELECT doc_id AS id, quality AS label, lang FROM documents JOIN labels USING (doc_id)),
+parts AS (SELECT *, CASE WHEN rn <= n - ceil(0.2::DOUBLE * n) THEN 'train'
+      WHEN rn <= n - ceil(0.5::DOUBLE * ceil(0.2::DOUBLE * n)) THEN 'val' ELSE 'test' END AS split
+    FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(id || ':42')) AS rn,
+          count(*) OVER (PARTITION BY label) AS n FROM apart)),
+votes AS (SELECT lang, (avg(label) >= 0.5)::INT AS predicted FROM parts WHERE split = 'train' GROUP BY lang),
+scored AS (SELECT id, split, label, lang, coalesce(predicted, 1) AS predicted FROM parts LEFT JOIN votes USING (lang))"""
+LANGS = ("de", "en", "es", "fr")
+
+
+def _apart(spark, sf):
+    labels = scan_table(spark, sf, "labels").select("doc_id", "quality")
+    rows = scan_table(spark, sf, "documents").select("doc_id", "lang", "n_chars").join(labels, "doc_id")
+    corner = [F.when(F.col("lang") == x, 100.0).otherwise(0.0) for x in LANGS]
+    features = F.array(*corner, F.col("n_chars") / 1e6)
+    return rows.select(F.col("doc_id").alias("id"), features.alias("features"), F.col("quality").cast("double").alias("label"))
+
+
+def _apart_parts(spark, sf):
+    return P.parts(split_stratified(_apart(spark, sf), "label"))
+
+
+def _named(df):
+    """Clusters by their least id, so that numbering does not matter."""
+    least = df.groupBy("cluster").agg(F.min("id").alias("least"))
+    return df.join(F.broadcast(least), "cluster").drop("cluster").withColumnRenamed("least", "cluster")
+
+
+def _votes(df):
+    return _named(df).select("id", F.col("label").cast("int"), "cluster", "predicted")
+
+
+SQL_VOTES = f"""WITH {SQL_APART} SELECT id, label, min(id) OVER (PARTITION BY lang) AS cluster, predicted
+    FROM scored WHERE split = 'test'"""
+
+
+@query("kmeans_fit_assign", f"WITH {SQL_APART} SELECT id, min(id) OVER (PARTITION BY lang) AS cluster FROM apart")
+def _(spark, sf):
+    rows = _apart(spark, sf)
+    return _named(kmeans_assign(kmeans_fit(rows, len(LANGS)), rows).select("id", "cluster"))
+
+
+@query("cluster_classifier", SQL_VOTES)
+def _(spark, sf):
+    train, _, test = _apart_parts(spark, sf)
+    return _votes(KMeansClassifier(len(LANGS)).fit(train).transform(test))
+
+
+@query("kmeans_model_io", SQL_VOTES)
+def _(spark, sf):
+    train, _, test = _apart_parts(spark, sf)
+    path = scratch_path(spark, "clusters")
+    KMeansClassifier(len(LANGS)).fit(train).save(path)
+    return _votes(KMeansClassifier.load(spark, path).transform(test))
+
+
+SQL_HITS = "avg((label = predicted)::INT)::DOUBLE"
+
+
+@query(
+    "kmeans_grid_search",
+    f"""WITH {SQL_APART} SELECT 0 AS grid_pos, 4 AS n_clusters, {SQL_HITS} AS accuracy,
+    count_if(label = predicted)::BIGINT AS correct, count(*) AS total FROM scored WHERE split = 'val'""",
+)
+def _(spark, sf):
+    train, val, _ = _apart_parts(spark, sf)
+    return search_clusters(train, val, [len(LANGS)], label_source="train")[1]
+
+
+SQL_REPORT = f"""WITH {SQL_APART} SELECT 4 AS best_n_clusters,
+    round((SELECT {SQL_HITS} FROM scored WHERE split = 'val'), 8) AS validation_accuracy,
+    round((SELECT {SQL_HITS} FROM scored WHERE split = 'test'), 8) AS test_accuracy,
+    round((SELECT coalesce(2.0::DOUBLE * count_if(label = 1 AND predicted = 1)
+            / nullif(count_if(label = 1) + count_if(predicted = 1), 0), 0) FROM scored WHERE split = 'test'), 8) AS test_f1_score"""
+
+
+def _report(df):
+    scores = ("validation_accuracy", "test_accuracy", "test_f1_score")
+    return df.select("best_n_clusters", *(rounded(c).alias(c) for c in scores))
+
+
+@query("kmeans_run", SQL_REPORT)
+def _(spark, sf):
+    return _report(P.clustering_run(_apart(spark, sf), grid=[len(LANGS)])[2])
+
+
+def _written_run(spark, sf):
+    path = scratch_path(spark, "clustering")
+    P.clustering_run(_apart(spark, sf), path, [len(LANGS)])
+    return path
+
+
+@query("clustering_report", SQL_REPORT)
+def _(spark, sf):
+    columns = "best_n_clusters int, validation_accuracy double, test_accuracy double, test_f1_score double"
+    return _report(scan_csv(spark, _written_run(spark, sf) + "/report", columns))
+
+
+@query(
+    "write_predictions",
+    f"""WITH {SQL_APART} SELECT id, label AS y_true, predicted AS y_pred, min(id) OVER (PARTITION BY lang) AS cluster
+    FROM scored WHERE split = 'test'""",
+)
+def _(spark, sf):
+    found = spark.read.parquet(_written_run(spark, sf) + "/predictions")
+    return _named(found).select("id", "y_true", "y_pred", "cluster")
+
+
+# -- a small perceptron -----------------------------------------------------------------
+
+# weights from the first hex digit of md5('42|i'), between -1 and 1
+SQL_W = "(((strpos('0123456789abcdef', substr(md5('42|' || {i}), 1, 1)) - 1) - 7.5::DOUBLE) / 7.5)"
+
+
+def _start(n):
+    return np.array([(int(hashlib.md5(f"42|{i}".encode()).hexdigest()[0], 16) - 7.5) / 7.5 for i in range(n)])
+
+
+def sql_w(i):
+    return SQL_W.format(i=i)
+
+
+def _two_dims(spark, sf):
+    """The first two numbers of each vector."""
+    return vectors(spark, sf).withColumn("features", F.slice("features", 1, 2))
+
+
+SQL_DIMS = f"""two AS (SELECT id, label, split, v[1] AS a, v[2] AS b FROM ({sql_split(SQL_VECTORS)}))"""
+# one output unit: p = s(w0 a + w1 b + w2)
+SQL_LINEAR = f"""WITH {SQL_DIMS},
+start AS (SELECT *, 1 / (1 + exp(-(a * {sql_w(0)} + b * {sql_w(1)} + {sql_w(2)}))) AS p FROM two),
+grad AS (SELECT avg((p - label) * a) AS ga, avg((p - label) * b) AS gb, avg(p - label) AS gc FROM start WHERE split = 'train'),
+step AS (SELECT {sql_w(0)} - {schema.LEARNING_RATE}::DOUBLE * ga / (abs(ga) + 1e-8) AS wa,
+                {sql_w(1)} - {schema.LEARNING_RATE}::DOUBLE * gb / (abs(gb) + 1e-8) AS wb,
+                {sql_w(2)} - {schema.LEARNING_RATE}::DOUBLE * gc / (abs(gc) + 1e-8) AS wc FROM grad),
+after AS (SELECT id, label, split, 1 / (1 + exp(-(a * wa + b * wb + wc))) AS p FROM two, step)"""
+SQL_LOSS = "round(avg(-(label * ln(p) + (1 - label) * ln(1 - p))), 8)"
+SQL_RIGHT = "round(avg(((p > 0.5)::INT = label)::INT)::DOUBLE, 8)"
+
+
+def _one_step(spark, sf):
+    """A net of one unit after one full-batch epoch from the given start."""
+    train, val, test = P.parts(split_random(_two_dims(spark, sf)))
+    trainer = MlpClassifier([2, 1], epochs=1, batch_size=1 << 40, shards=1, start=_start(3))
+    return trainer.fit(train, val), val, test
+
+
+def _rounded(df, *columns):
+    return df.select(*(rounded(c).alias(c) if c in columns else F.col(c) for c in df.columns))
+
+
+@query(
+    "mlp_forward",
+    f"""WITH {SQL_DIMS}, hidden AS (SELECT id,
+        greatest(0, a * {sql_w(0)} + b * {sql_w(2)} + {sql_w(4)}) AS g,
+        greatest(0, a * {sql_w(1)} + b * {sql_w(3)} + {sql_w(5)}) AS h FROM two),
+    p AS (SELECT id, 1 / (1 + exp(-(g * {sql_w(6)} + h * {sql_w(7)} + {sql_w(8)}))) AS p FROM hidden)
+    SELECT id, round(p, 8) AS probability, (p > 0.5)::INT AS predicted FROM p""",
+)
+def _(spark, sf):
+    model = MlpModel([2, 2, 1], _start(9))
+    return _rounded(model.transform(_two_dims(spark, sf)).select("id", "probability", "predicted"), "probability")
+
+
+@query(
+    "mlp_validate",
+    SQL_LINEAR + f" SELECT {SQL_LOSS} AS loss, {SQL_RIGHT} AS accuracy, count(*) AS total FROM start WHERE split = 'val'",
+)
+def _(spark, sf):
+    _, val, _ = P.parts(split_random(_two_dims(spark, sf)))
+    return _rounded(MlpModel([2, 1], _start(3)).validate(val), "loss", "accuracy")
+
+
+@query("epoch_loss", SQL_LINEAR + f" SELECT {SQL_LOSS} AS train_loss, {SQL_RIGHT} AS train_accuracy FROM start WHERE split = 'train'")
+def _(spark, sf):
+    history = _one_step(spark, sf)[0].history
+    return _rounded(history.select("train_loss", "train_accuracy"), "train_loss", "train_accuracy")
+
+
+SQL_HISTORY = f"""{SQL_LINEAR} SELECT 1 AS epoch, t.*, v.* FROM
+    (SELECT {SQL_LOSS} AS train_loss, {SQL_RIGHT} AS train_accuracy FROM start WHERE split = 'train') t,
+    (SELECT {SQL_LOSS} AS val_loss, {SQL_RIGHT} AS val_accuracy FROM after WHERE split = 'val') v"""
+MEASURED = ("train_loss", "train_accuracy", "val_loss", "val_accuracy")
+
+
+@query("training_history", SQL_HISTORY)
+def _(spark, sf):
+    return _rounded(_one_step(spark, sf)[0].history, *MEASURED)
+
+
+@query("mlp_train", SQL_LINEAR + " SELECT id, round(p, 8) AS probability FROM after")
+def _(spark, sf):
+    model = _one_step(spark, sf)[0]
+    return _rounded(model.transform(_two_dims(spark, sf)).select("id", "probability"), "probability")
+
+
+@query("mlp_evaluate", SQL_LINEAR + " SELECT id, label, (p > 0.5)::INT AS predicted FROM after WHERE split = 'test'")
+def _(spark, sf):
+    model, _, test = _one_step(spark, sf)
+    return model.transform(test).select("id", "label", "predicted")
+
+
+@query(
+    "mlp_run",
+    SQL_LINEAR
+    + """, s AS (SELECT label, (p > 0.5)::INT AS predicted, id FROM after WHERE split = 'test')
+    SELECT a.x::INT AS actual, p.x::INT AS predicted, count(s.id) AS n
+    FROM (VALUES (0), (1)) a(x) CROSS JOIN (VALUES (0), (1)) p(x)
+    LEFT JOIN s ON s.label = a.x AND s.predicted = p.x GROUP BY a.x, p.x""",
+)
+def _(spark, sf):
+    net = {"layers": [2, 1], "batch_size": 1 << 40, "start": _start(3)}
+    return P.mlp_run(_two_dims(spark, sf), epochs=1, shards=1, **net)[2]
