@@ -65,6 +65,30 @@ def _(spark, sf):
     return _rounded_stats(stats.describe(df, ["price"], by="status"))
 
 
+@query(
+    "describe_many_groups",
+    "WITH s AS (SELECT o_custkey AS customer, o_totalprice::DOUBLE AS price FROM orders) "
+    + _sql_describe("s", ["price"], "customer"),
+)
+def _(spark, sf):
+    df = scan_table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("customer"), F.col("o_totalprice").cast("double").alias("price")
+    )
+    return _rounded_stats(stats.describe(df, ["price"], by="customer"))
+
+
+@query(
+    "split_stratified_many",
+    """SELECT id, CASE WHEN rn <= n - ceil(0.2::DOUBLE * n) THEN 'train'
+      WHEN rn <= n - ceil(0.5::DOUBLE * ceil(0.2::DOUBLE * n)) THEN 'val' ELSE 'test' END AS split
+    FROM (SELECT o_orderkey AS id, row_number() OVER (PARTITION BY o_custkey ORDER BY md5(o_orderkey || ':42')) AS rn,
+          count(*) OVER (PARTITION BY o_custkey) AS n FROM orders)""",
+)
+def _(spark, sf):
+    rows = scan_table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("customer"))
+    return splits.split_stratified(rows, "customer").select("id", "split")
+
+
 @query(
     "label_distribution",
     f"""SELECT generated AS label, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (), 2) AS percentage

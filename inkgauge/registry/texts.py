@@ -9,7 +9,7 @@ from inkgauge.functions import text as X
 from inkgauge.operators import cleaning
 from inkgauge.operators.chunking import chunk_by_tokens
 from inkgauge.operators.embedding import HashingEncoder, embed_text
-from inkgauge.plans.corpus import chunk_features, clean_corpus, corpus_subset
+from inkgauge.plans.corpus import chunk_features, clean_corpus, corpus_subset, prepare_corpus
 from inkgauge.registry.base import *  # noqa: F403
 from inkgauge.session import scratch_path, written
 from inkgauge.sources import corpus as S
@@ -349,6 +349,29 @@ def _(spark, sf):
 
 @query(
     "prepare_corpus",
+    "SELECT *, 384 AS dims, 1.0::DOUBLE AS norm FROM ("
+    + sql_features(sql_chunks(SQL_CLEANED, "id, generated"), "id, generated, chunk_idx", 5, "FLOAT")
+    + ")",
+)
+def _(spark, sf):
+    # the whole job: clean, write the CSV copy, chunk, measure, embed, write and read back
+    path = scratch_path(spark, "processed")
+    df = prepare_corpus(corpora(spark, sf), path, cleaned_path=scratch_path(spark, "merged.csv"))
+    length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda t, x: t + x.cast("double") * x.cast("double")))
+    return df.select(
+        "id",
+        F.col("generated").cast("int").alias("generated"),
+        F.col("chunk_idx").cast("bigint").cast("int").alias("chunk_idx"),
+        "word_count",
+        "character_count",
+        *(rounded(c, 5).alias(c) for c in schema.NUMERIC_COLS[2:]),
+        F.array_size("embedding").alias("dims"),
+        rounded(length, 4).alias("norm"),
+    )
+
+
+@query(
+    "prepare_corpus_chunks",
     sql_features(sql_chunks(SQL_CLEANED, "id, generated"), "id, generated, chunk_idx, text").replace(
         "SELECT id, generated, chunk_idx, text, wc", "SELECT id, generated, chunk_idx, md5(text) AS text_md5, wc", 1
     ),
