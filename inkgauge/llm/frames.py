@@ -14,6 +14,9 @@ from inkgauge.session import ship_package, written
 
 __all__ = ["components", "filter_rows", "indexed", "map_batches", "map_groups", "ranked", "sample_per_class", "table", "written"]
 
+SLICE = 256  # rows handed to a Python function at once
+FEW_SAMPLES = 100_000  # sampled keys are broadcast up to this many
+
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """One of the given tables, as Spark splits it."""
@@ -24,9 +27,17 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def map_batches(
     df: DataFrame, fn: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str
 ) -> DataFrame:
-    """``mapInPandas`` with the package at hand on the workers."""
+    """``mapInPandas`` with the package at hand on the workers.
+
+    ``fn`` sees ``SLICE`` rows at a time, so what it holds per row stays small
+    whatever the size of Spark's batches.
+    """
     ship_package(df.sparkSession)
-    return df.mapInPandas(fn, schema)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return fn(pdf.iloc[i : i + SLICE].reset_index(drop=True) for pdf in batches for i in range(0, len(pdf), SLICE))
+
+    return df.mapInPandas(run, schema)
 
 
 def map_groups(
@@ -165,9 +176,12 @@ def indexed(df: DataFrame, order: list[Column], out: str) -> DataFrame:
 def sample_per_class(df: DataFrame, cls: str, order: Column, size: int) -> DataFrame:
     """At most ``size`` rows of each class, spread by a hash: the least ``order`` of each hash bucket.
 
-    A two-phase minimum picks them, so a class may hold all the rows.
+    A two-phase minimum picks them, so a class may hold all the rows. The picked
+    keys are counted and, if few, broadcast, so that no row has to move.
     """
     hashed = df.withColumn("_order", order)
     hashed = hashed.withColumn("_bucket", F.pmod(F.xxhash64("_order"), F.lit(size)).cast("int"))
-    least = hashed.groupBy(cls, "_bucket").agg(F.min("_order").alias("_order"))
+    least = written(hashed.groupBy(cls, "_bucket").agg(F.min("_order").alias("_order")), "least")
+    if least.count() <= FEW_SAMPLES:
+        least = F.broadcast(least)
     return hashed.join(least, [cls, "_bucket", "_order"]).drop("_bucket")
