@@ -4,20 +4,22 @@ The byte-level pre-tokenizer never lets a token run across a space that stands
 before a visible character, nor across a single line end between two of them, nor
 from a letter or digit into the punctuation behind it. A text can thus be encoded
 in such parts, and a part that was met before is looked up. Texts in which a space
-is followed by white space are encoded whole.
+is followed by white space are encoded whole. The memory has two generations: when
+the younger is full it becomes the older, whose words are taken over as they come up
+again.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 
-REMEMBERED = 1 << 18  # parts kept by one worker before it starts afresh
+REMEMBERED = 700_000  # words in a generation of one worker's memory
 CUT = 1 << 18  # code points handled at once
-_LOOSE = re.compile(r" (?=\s|\Z)")
-_TAIL = re.compile(r"""^(.*[^\W_])([!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]+)$""", re.S)
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # without the apostrophe, which begins contractions
 _SAFE = re.compile(r"(?<=\S)(?= \S)")
 
 
@@ -28,53 +30,80 @@ class Tokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.words: dict[str, bytes] = {}
-        self.atoms: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}  # ids of a space and the word
+        self.older: dict[str, bytes] = {}
+        self.bare: dict[str, bytes] = {}  # ids of what no space precedes
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(f.ids, np.uint32).tobytes() for f in found]
+        return [array("I", f.ids).tobytes() for f in found]
 
     @staticmethod
-    def _atoms(part: str) -> list[str]:
-        """Parts of one space-led word that are encoded alone."""
-        lines = part.split("\n")
-        bare = [lines[0].removeprefix(" "), *lines[1:]]
-        if any(not b or b.split() != [b] for b in bare):
-            return [part]
+    def _atoms(word: str) -> list[str]:
+        """Parts of a word that are encoded alone; the first one follows the space."""
+        lines = word.split("\n") if "\n" in word else [word]
+        if len(lines) > 1 and len(word.split()) != len(lines):
+            return [word]
         out = []
         for i, line in enumerate(lines):
             if i:
                 out.append("\n")
-            tail = _TAIL.match(line)
-            out.extend(tail.groups() if tail else [line])
+            core = line.rstrip(_MARKS)
+            if core and len(core) < len(line) and core[-1].isalnum():
+                out += (core, line[len(core) :])
+            else:
+                out.append(line)
         return out
 
-    def _learn(self, parts: set[str]) -> None:
-        if len(self.words) + len(parts) > REMEMBERED:
-            self.words.clear()
-        if len(self.atoms) > REMEMBERED:
-            self.atoms.clear()
-        cut = {p: self._atoms(p) for p in parts}
-        fresh = list({a for atoms in cut.values() for a in atoms}.difference(self.atoms))
-        self.atoms.update(zip(fresh, self._encode(fresh), strict=True))
-        for part, atoms in cut.items():
-            self.words[part] = b"".join([self.atoms[a] for a in atoms])
+    def _learn(self, words: set[str]) -> bool:
+        """Remember the words; False if one of them must be encoded with what precedes it."""
+        cut, spaced, bare, known, older = {}, set(), set(), self.words, self.older
+        for word in words:
+            if word in older:
+                known[word] = older[word]
+            elif word.isalnum():
+                spaced.add(word)
+            elif not word or word[0].isspace():
+                return False
+            else:
+                atoms = self._atoms(word)
+                spaced.add(atoms[0])
+                if len(atoms) > 1:
+                    cut[word] = atoms
+                    bare.update(atoms[1:])
+        for word in spaced & older.keys():
+            known[word] = older[word]
+        fresh = list(spaced.difference(known))
+        known.update(zip(fresh, self._encode([" " + w for w in fresh]), strict=True))
+        self._learn_bare(bare)
+        for word, atoms in cut.items():
+            known[word] = known[atoms[0]] + b"".join([self.bare[a] for a in atoms[1:]])
+        return True
+
+    def _learn_bare(self, parts: set[str]) -> None:
+        if len(self.bare) > REMEMBERED:
+            self.bare.clear()
+        fresh = [p for p in parts if p not in self.bare]
+        self.bare.update(zip(fresh, self._encode(fresh), strict=True))
 
     def _short(self, text: str) -> bytes:
-        if _LOOSE.search(text):
-            return self._encode([text])[0]
+        if len(self.words) > REMEMBERED:
+            self.words, self.older = {}, self.words
         head, *rest = text.split(" ")
-        parts = [head, *[" " + r for r in rest]] if head else [" " + r for r in rest]
-        fresh = set(parts).difference(self.words)
-        if fresh:
-            if len(self.words) + len(fresh) > REMEMBERED:
-                fresh = set(parts)
-            self._learn(fresh)
-        return b"".join([self.words[p] for p in parts])
+        found = list(map(self.words.get, rest))
+        try:
+            tail = b"".join(found)
+        except TypeError:  # a word is not known
+            if not self._learn({w for w, ids in zip(rest, found, strict=True) if ids is None}):
+                return self._encode([text])[0]
+            known = self.words
+            tail = b"".join([known[w] if ids is None else ids for w, ids in zip(rest, found, strict=True)])
+        if not head:
+            return tail
+        return self._encode([head])[0] + tail
 
     def ids(self, text: str | None) -> np.ndarray:
-        """All ids of a text (null: none), little-endian unsigned 32-bit."""
+        """All ids of a text (null: none), as unsigned 32-bit numbers."""
         out, at, text = [], 0, text or ""
         while len(text) - at > CUT:
             cut = _SAFE.search(text, at + CUT)

@@ -246,7 +246,7 @@ def test_memory_for_words_is_bounded(monkeypatch):
     tokens = Tokens(PATH)
     for i in range(200):
         assert len(tokens.ids(f"word{i} and {i} more, or{i}.")) > 5
-    assert len(tokens.words) <= 60 and len(tokens.atoms) <= 70
+    assert len(tokens.words) <= 60 and len(tokens.older) <= 60 and len(tokens.bare) <= 60
 
 
 def plain_sequences(lengths, capacity):
