@@ -97,4 +97,10 @@ QUERIES: dict[str, Query] = {
         op10_token_matrix,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_warc": """SELECT page_id, strlen(body)::BIGINT AS payload_bytes, sha1(body) AS payload_digest,
+        CASE WHEN page_id < keep THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN page_id < keep THEN keep END AS refers_to
+    FROM (SELECT page_id, body, CASE WHEN strlen(body) >= 1000 THEN max(page_id) OVER (PARTITION BY body) END AS keep
+          FROM (SELECT page_id, coalesce(html, '') AS body FROM pages))""",
+}
