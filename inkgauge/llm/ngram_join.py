@@ -7,7 +7,8 @@ the domain of elements is hashed into n1 first-level parts, each into N2 = 3
 second-level parts, with n1 > k / 2: some first-level part then holds at most one
 difference, and two of its three second-level parts hold none. One signature for
 each pair of second-level parts (a hash of the elements that fall into them)
-therefore meets in both sets. Nothing is lost, whatever the sizes.
+therefore meets in both sets. n1 is a function of the band alone, so partners on
+either side of a band's edge cut it alike, and nothing is lost, whatever the sizes.
 
 Signatures of no element would meet in all sets that leave a part empty. With t
 first-level parts more than needed, t of them agree; a set in which fewer than t
@@ -60,24 +61,35 @@ def set_id(found: np.ndarray) -> int:
     return int(mix(total + np.uint64(len(found))).view(np.int64)[0])
 
 
+def band_parts(band: int, percent: int, limits: list[int]) -> tuple[int, int]:
+    """First-level parts of a band and how many of them are spare: the same for all sets that sign it.
+
+    ``limits`` reach the band at least. (0, 0): only equal sets can be partners there.
+    """
+    k = (100 - percent) * 2 * limits[band] // (100 + percent)
+    if k == 0:
+        return 0, 0
+    # the smallest set that signs the band, as the smaller partner of one just above the edge
+    least = max(1, -(-(limits[band - 1] + 1) * percent // 100)) if band else 1
+    void = math.exp(-least * (N2 - 1) / (N2 * (k / 2 + 1)))  # share of empty pairs, about
+    spare = 1 + int(2 * N2 * void * (k // 2 + 1))
+    return k // 2 + spare, spare
+
+
 def signatures(found: np.ndarray, percent: int) -> np.ndarray:
     """PartEnum signatures of a sorted set, over its own band and, as the smaller partner, the next."""
     size = len(found)
     limits = band_limits(percent, size + 1)
     own = int(np.searchsorted(limits, size))
-    least = limits[own - 1] + 1 if own else 1
-    bands = [(own, limits[own])]
+    bands = [own]
     if size * 100 // percent > limits[own]:
         limits = band_limits(percent, limits[own] + 1)
-        bands.append((own + 1, limits[own + 1]))
+        bands.append(own + 1)
     out = []
-    for band, limit in bands:
-        k = (100 - percent) * 2 * limit // (100 + percent)
-        if k == 0:
-            continue  # only equal sets can be partners, and those are one class already
-        void = math.exp(-least * (N2 - 1) / (N2 * (k / 2 + 1)))  # share of empty pairs, about
-        spare = 1 + int(2 * N2 * void * (k // 2 + 1))
-        n1 = k // 2 + spare
+    for band in bands:
+        n1, spare = band_parts(band, percent, limits)
+        if n1 == 0:
+            continue  # such sets are one class already
         spot = mix(found + np.uint64((band + 1) * int(_ODD) & _WRAP))
         first = ((spot >> np.uint64(33)) * np.uint64(n1)) >> np.uint64(31)
         part = (first * np.uint64(N2) + (spot & _LOW) % np.uint64(N2)).astype(np.int64)

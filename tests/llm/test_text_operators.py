@@ -92,6 +92,27 @@ def test_similar_sets_share_a_signature(percent):
                 assert set(signatures(base, percent)) & set(signatures(other, percent))
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_partners_across_a_band_edge_share_a_signature(percent):
+    rng = np.random.default_rng(5)
+    lost, tried = [], 0
+    for edge in (x for x in band_limits(percent, 5000) if 4 <= x <= 5000):
+        large = edge + 1
+        sizes = {(edge, large), (-(-large * percent // 100), large), (edge, edge * 100 // percent)}
+        for a, b in sorted(x for x in sizes if x[0] <= edge < x[1] <= x[0] * 100 // percent):
+            common = -(-percent * (a + b) // (100 + percent))  # just similar enough
+            if common > a:
+                continue
+            for _ in range(5):
+                pool = rng.permutation(np.unique(rng.integers(1, 1 << 63, a + b, dtype=np.uint64)))
+                one, two = np.sort(pool[:a]), np.sort(pool[a - common :][:b])
+                assert (len(one), len(two), len(np.intersect1d(one, two))) == (a, b, common)
+                tried += 1
+                if not set(signatures(one, percent)) & set(signatures(two, percent)):
+                    lost.append((a, b))
+    assert tried > 300 and lost == []
+
+
 def test_bands_hold_all_partners():
     limits = band_limits(85, 5000)
     for size in range(1, 4000):
