@@ -7,6 +7,10 @@ weights and Adam moments, takes mini-batch steps over its Arrow batches and
 returns its state in blocks; blocks are averaged on the executors, weighted by
 rows, and the driver receives the averaged state, whose size depends on the
 layers only. One shard is plain mini-batch Adam.
+
+Without a batch size an epoch is one step by the gradient of all rows: shards
+stream their Arrow batches and return sums of gradients, which are added on the
+executors, so any number of shards gives the same step.
 """
 
 from __future__ import annotations
@@ -100,11 +104,15 @@ class _State:
         self.weights = self.weights - rate * mean / (np.sqrt(square) + EPSILON)
 
 
+def _rows(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    return matrix(batch.column("features")), batch.column("label").to_numpy(zero_copy_only=False)
+
+
 def _mini_batches(batches, size: int):
     """Rows of the Arrow batches regrouped to ``size`` rows; the last may be smaller."""
     xs, ys, held = [], [], 0
     for batch in batches:
-        x, y = matrix(batch.column("features")), batch.column("label").to_numpy(zero_copy_only=False)
+        x, y = _rows(batch)
         at = 0
         while at < len(y):
             take = min(size - held, len(y) - at)
@@ -133,23 +141,49 @@ def _shard_epoch(state: _State, layers, batch_size, rate, scaler):
         if not rows:
             return
         vector = np.concatenate([own.weights, own.first, own.second])
-        blocks = [vector[at : at + BLOCK] for at in range(0, len(vector), BLOCK)]
-        n = len(blocks)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(range(n), pa.int32()),
-                pa.array([b.tolist() for b in blocks], pa.list_(pa.float64())),
-                pa.array([rows] * n, pa.int64()),
-                pa.array([own.step - state.step] * n, pa.int64()),
-                pa.array([loss] * n, pa.float64()),
-                pa.array([correct] * n, pa.int64()),
-            ],
-            ["block", "values", "n", "steps", "loss", "correct"],
-        )
+        yield _blocks(vector, rows, own.step - state.step, loss, correct)
+
+    return run
+
+
+def _shard_gradient(weights: np.ndarray, layers, scaler):
+    def run(batches):
+        total = np.zeros_like(weights)
+        rows = correct = 0
+        loss = 0.0
+        for batch in batches:
+            x, y = _rows(batch)
+            if not len(y):
+                continue
+            x, y = scaler.apply(x) if scaler is not None else x, y[:, None]
+            steps = forward(weights, layers, x)
+            loss += loss_sum(steps[-1], y)
+            correct += int(((steps[-1] > 0.5) == (y > 0.5)).sum())
+            rows += len(y)
+            total += gradient(weights, layers, steps, y) * len(y)
+        if rows:
+            yield _blocks(total, rows, 1, loss, correct)
 
     return run
 
 
+def _blocks(vector: np.ndarray, rows: int, steps: int, loss: float, correct: int) -> pa.RecordBatch:
+    """What a shard returns: its vector in blocks, each with the shard's counts."""
+    blocks = [vector[at : at + BLOCK] for at in range(0, len(vector), BLOCK)]
+    n = len(blocks)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(range(n), pa.int32()),
+            pa.array([b.tolist() for b in blocks], pa.list_(pa.float64())),
+            pa.array([rows] * n, pa.int64()),
+            pa.array([steps] * n, pa.int64()),
+            pa.array([loss] * n, pa.float64()),
+            pa.array([correct] * n, pa.int64()),
+        ],
+        ["block", "values", "n", "steps", "loss", "correct"],
+    )
+
+
 _SHARD = "block int, values array<double>, n bigint, steps bigint, loss double, correct bigint"
 
 
@@ -221,7 +255,7 @@ class MlpModel:
 class MlpClassifier:
     layers: list[int] | None = None
     epochs: int = schema.EPOCHS
-    batch_size: int = schema.BATCH_SIZE
+    batch_size: int | None = schema.BATCH_SIZE  # None: all rows are one batch
     rate: float = schema.LEARNING_RATE
     seed: int = schema.SEED
     standardize: bool = False
@@ -273,14 +307,19 @@ class MlpClassifier:
     def _epoch(self, sharded: DataFrame, state: _State, layers, scaler, epoch: int):
         """One pass in a new order of the rows of every shard."""
         shuffled = sharded.sortWithinPartitions(epoch_order("id", epoch, self.seed), "id")
-        run = _shard_epoch(state, layers, self.batch_size, self.rate, scaler)
-        weight = F.col("n").cast("double")
+        values = array_to_vector("values")
+        if self.batch_size is None:
+            run = _shard_gradient(state.weights, layers, scaler)
+            vector = Summarizer.sum(values)
+        else:
+            run = _shard_epoch(state, layers, self.batch_size, self.rate, scaler)
+            vector = Summarizer.mean(values, F.col("n").cast("double"))
         blocks = (
             shuffled.drop("id")
             .mapInArrow(run, _SHARD)
             .groupBy("block")
             .agg(
-                Summarizer.mean(array_to_vector("values"), weight).alias("mean"),
+                vector.alias("vector"),
                 F.sum("n").alias("n"),
                 F.max("steps").alias("steps"),
                 F.sum("loss").alias("loss"),
@@ -289,11 +328,15 @@ class MlpClassifier:
             .collect()
         )
         blocks.sort(key=lambda b: b["block"])
-        vector = np.concatenate([b["mean"].toArray() for b in blocks])
+        vector = np.concatenate([b["vector"].toArray() for b in blocks])
         size = len(state.weights)
         one = blocks[0]
-        averaged = _State(
-            vector[:size], vector[size : 2 * size], vector[2 * size :], state.step + one["steps"]
-        )
-        return averaged, one["loss"] / one["n"], one["correct"] / one["n"]
-
+        loss, share = one["loss"] / one["n"], one["correct"] / one["n"]
+        if self.batch_size is None:
+            after = _State(state.weights, state.first, state.second, state.step)
+            after.update(vector / one["n"], self.rate)
+        else:
+            after = _State(
+                vector[:size], vector[size : 2 * size], vector[2 * size :], state.step + one["steps"]
+            )
+        return after, loss, share

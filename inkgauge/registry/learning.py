@@ -403,7 +403,7 @@ SQL_RIGHT = "round(avg(((p > 0.5)::INT = label)::INT)::DOUBLE, 8)"
 def _one_step(spark, sf):
     """A net of one unit after one full-batch epoch from the given start."""
     train, val, test = P.parts(split_random(_two_dims(spark, sf)))
-    trainer = MlpClassifier([2, 1], epochs=1, batch_size=1 << 40, shards=1, start=_start(3))
+    trainer = MlpClassifier([2, 1], epochs=1, batch_size=None, start=_start(3))
     return trainer.fit(train, val), val, test
 
 
@@ -471,5 +471,5 @@ def _(spark, sf):
     LEFT JOIN s ON s.label = a.x AND s.predicted = p.x GROUP BY a.x, p.x""",
 )
 def _(spark, sf):
-    net = {"layers": [2, 1], "batch_size": 1 << 40, "start": _start(3)}
-    return P.mlp_run(_two_dims(spark, sf), epochs=1, shards=1, **net)[2]
+    net = {"layers": [2, 1], "batch_size": None, "start": _start(3)}
+    return P.mlp_run(_two_dims(spark, sf), epochs=1, **net)[2]

@@ -1,6 +1,10 @@
+import weakref
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from inkgauge import schema
 from inkgauge.operators import mlp
 from inkgauge.operators.kmeans import (
     KMeansClassifier,
@@ -10,6 +14,7 @@ from inkgauge.operators.kmeans import (
     kmeans_grid_search,
 )
 from inkgauge.plans import models as P
+from inkgauge.registry import QUERIES
 from tests.test_vectors import collected, frame
 
 
@@ -105,6 +110,46 @@ def test_one_shard_is_plain_adam(spark):
     assert got == pytest.approx(w, abs=1e-12)
 
 
+@pytest.mark.parametrize("shards", [1, 3])
+def test_full_batch_is_one_step_for_any_shards(spark, shards):
+    df = moons(spark, 90)
+    got = mlp.MlpClassifier(LAYERS, epochs=2, batch_size=None, shards=shards).fit(df)
+    rows = df.collect()
+    x, y = np.array([r.features for r in rows]), np.array([[r.label] for r in rows])
+    state = mlp._State(mlp.initial_parameters(LAYERS, 42), *np.zeros((2, mlp.n_parameters(LAYERS))), 0)
+    losses = []
+    for _ in range(2):
+        steps = mlp.forward(state.weights, LAYERS, x)
+        losses.append(mlp.loss_sum(steps[-1], y) / len(y))
+        state.update(mlp.gradient(state.weights, LAYERS, steps, y), 1e-3)
+    assert got.weights == pytest.approx(state.weights, abs=1e-9)
+    assert [h.train_loss for h in got.history.orderBy("epoch").collect()] == pytest.approx(losses)
+
+
+def test_full_batch_shard_drops_batches_it_has_seen():
+    held = []
+
+    def batches():
+        for i in range(5):
+            batch = pa.RecordBatch.from_pydict({"features": [[float(i), 1.0]] * 1000, "label": [1.0] * 1000})
+            held.append(weakref.ref(batch))
+            yield batch
+            del batch
+            assert sum(b() is not None for b in held) <= 1
+
+    out = list(mlp._shard_gradient(np.zeros(3), [2, 1], None)(batches()))
+    assert len(out) == 1 and out[0].column("n").to_pylist() == [5000]
+    assert out[0].column("values").to_pylist()[0] == pytest.approx([-5000.0, -2500.0, -2500.0])
+
+
+@pytest.mark.parametrize("name", ["mlp_train", "training_history", "epoch_loss", "mlp_evaluate", "mlp_run"])
+def test_full_batch_queries_use_all_shards(spark, name, monkeypatch):
+    fit, seen = mlp.MlpClassifier.fit, []
+    monkeypatch.setattr(mlp.MlpClassifier, "fit", lambda self, *a: seen.append(self) or fit(self, *a))
+    assert QUERIES[name](spark, "/root/testdata/sf0.001").count()
+    assert [(t.shards, t.batch_size) for t in seen] == [(schema.SHARDS, None)]
+
+
 @pytest.mark.parametrize("shards", [1, 3])
 def test_learns_separable_data(spark, shards, tmp_path):
     df = moons(spark)
