@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from inkgauge import schema
 from inkgauge.functions import vectors as V
+from inkgauge.operators import evaluation as E
 from inkgauge.operators.kmeans import nearest_centroid as assign_nearest
 from inkgauge.operators.lsh import (
     HyperplaneLsh,
@@ -303,6 +304,50 @@ def _(spark, sf):
     return chosen.select("grid_pos", rounded("accuracy").alias("accuracy"))
 
 
+_CELLS = [(a, p) for a in (0, 1) for p in (0, 1)]  # actual, predicted
+
+
+@query(
+    "lsh_run_full",
+    _sql_grid(schema.TABLES_GRID, schema.BITS_GRID, schema.TOP_K_GRID)
+    + f""", best AS (SELECT * FROM results ORDER BY round(accuracy, 12) DESC, grid_pos LIMIT 1),
+    tested AS (
+      SELECT DISTINCT q.id AS q, c.id AS c FROM best b
+      JOIN keys q ON q.t < b.num_hash_tables AND q.split = 'test'
+      JOIN keys c ON c.t = q.t AND c.split = 'train' AND c.key[1:b.num_hash_bits] = q.key[1:b.num_hash_bits]
+    ),
+    ranked AS (
+      SELECT q, zc.label, row_number() OVER (PARTITION BY q
+        ORDER BY round(list_cosine_similarity(zq.z, zc.z), 9) DESC, c) AS rank
+      FROM tested JOIN z zq ON zq.id = q JOIN z zc ON zc.id = c
+    ),
+    tally AS (SELECT q, avg(label) AS share FROM ranked, best WHERE rank <= top_k GROUP BY q),
+    scored AS (
+      SELECT z.label, CASE WHEN share IS NULL OR share >= 0.5 THEN 1 ELSE 0 END AS predicted
+      FROM z LEFT JOIN tally ON q = z.id WHERE z.split = 'test'
+    )
+    SELECT b.grid_pos::INT AS grid_pos, b.num_hash_tables::INT AS num_hash_tables, b.num_hash_bits::INT AS num_hash_bits,
+      b.top_k::INT AS top_k, round(b.accuracy, 8) AS accuracy, t.* FROM best b,
+      (SELECT round(avg((label = predicted)::INT), 8) AS test_accuracy, count(*) FILTER (label = predicted) AS correct, count(*) AS total,
+       {", ".join(f"count(*) FILTER (label = {a} AND predicted = {p}) AS actual_{a}_predicted_{p}" for a, p in _CELLS)} FROM scored) t""",
+)
+def _(spark, sf):
+    # the job's own grid, and every row of the test part
+    _, best, results, predictions = run_lsh(vectors(spark, sf), scratch_path(spark, "lsh"), planes="md5")
+    predictions = written(predictions.select("label", "predicted"), "predictions")
+    chosen = results.where(F.col("grid_pos") == best["grid_pos"]).select(
+        "grid_pos", "num_hash_tables", "num_hash_bits", "top_k", rounded("accuracy").alias("accuracy")
+    )
+    tested = E.accuracy(predictions).select(rounded("accuracy").alias("test_accuracy"), "correct", "total")
+    cells = E.confusion_matrix(predictions).agg(
+        *(
+            F.sum(F.when((F.col("actual") == a) & (F.col("predicted") == p), F.col("n"))).alias(f"actual_{a}_predicted_{p}")
+            for a, p in _CELLS
+        )
+    )
+    return chosen.crossJoin(tested).crossJoin(cells)
+
+
 @query("lsh_model_io", sql_lsh(TABLES, BITS) + _PROBABILITY)
 def _(spark, sf):
     # predictions of a model that was saved and loaded

@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from inkgauge import schema
 from tools.check_oracle import SAME_TYPE, TABLES, sort_key
 
 SF = "/root/testdata/sf0.001"
@@ -58,3 +59,16 @@ def test_query_equals_sql(spark, name):
     want = sorted((tuple(r[i] for i in order) for r in result.fetchall()), key=sort_key)
     got = sorted((tuple(r) for r in df.select(*cols).collect()), key=sort_key)
     assert got == want
+
+
+def test_whole_lsh_run(spark):
+    """The job's grid, and test figures that count every row of the test part."""
+    test_query_equals_sql(spark, "lsh_run_full")
+    row = entry.queries()["lsh_run_full"](spark, SF).first().asDict()
+    tables, bits, ks = schema.TABLES_GRID, schema.BITS_GRID, schema.TOP_K_GRID
+    grid = [(t, b, k) for t in tables for b in bits for k in ks]
+    assert len(grid) == 12
+    assert grid[row["grid_pos"]] == (row["num_hash_tables"], row["num_hash_bits"], row["top_k"])
+    cells = {k: v for k, v in row.items() if k.startswith("actual_")}
+    assert len(cells) == 4 and sum(cells.values()) == row["total"] > 0
+    assert cells["actual_0_predicted_0"] + cells["actual_1_predicted_1"] == row["correct"]
