@@ -9,7 +9,7 @@ from inkgauge.functions import text as X
 from inkgauge.operators import evaluation as E
 from inkgauge.operators import splits, stats
 from inkgauge.plans.corpus import chunk_features, clean_corpus
-from inkgauge.plans.statistics import corpus_statistics
+from inkgauge.plans.statistics import corpus_statistics, long_form
 from inkgauge.registry.base import *  # noqa: F403
 from inkgauge.session import written
 from inkgauge.sources.corpus import scan_table
@@ -164,6 +164,19 @@ def _(spark, sf):
     )
 
 
+@query("corpus_statistics_full")
+def _(spark, sf):
+    # all nine tables, cell by cell; SQL cannot express the two of the PCA
+    cleaned = written(clean_corpus(corpora(spark, sf)), "cleaned")
+    cleaned = cleaned.withColumn("generated", F.col("generated").cast("int"))
+    # a document has several chunks: the row key names the chunk
+    after = processed(spark, sf).withColumn("generated", F.col("generated").cast("int"))
+    after = after.withColumn("id", F.concat_ws(":", "id", "chunk_idx"))
+    cells = long_form(corpus_statistics(cleaned, after))
+    digits = F.when(F.col("report") == "length_density", rounded("number", 10)).otherwise(rounded("number", 6))
+    return cells.withColumn("number", digits)
+
+
 # -- splits ------------------------------------------------------------------------
 
 

@@ -1,10 +1,14 @@
 """The driver contract, and a share of the queries against their SQL on the smallest data."""
 
 import duckdb
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from inkgauge import schema
+from inkgauge.functions.vectors import assemble_features
+from inkgauge.registry import base
 from tools.check_oracle import SAME_TYPE, TABLES, sort_key
 
 SF = "/root/testdata/sf0.001"
@@ -72,3 +76,54 @@ def test_whole_lsh_run(spark):
     cells = {k: v for k, v in row.items() if k.startswith("actual_")}
     assert len(cells) == 4 and sum(cells.values()) == row["total"] > 0
     assert cells["actual_0_predicted_0"] + cells["actual_1_predicted_1"] == row["correct"]
+
+
+def test_whole_statistics_report(spark):
+    """All nine tables together: seven against SQL, the two of the PCA against numpy."""
+    duck = duckdb.connect()
+    for table in TABLES:
+        duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
+    sql = entry.oracle_sql()
+    duck.execute(f"CREATE TABLE cleaned AS {base.SQL_CLEANED}")
+    want = {}
+
+    def expect(report, keys, found):
+        names = [d[0] for d in found.description]
+        for row in found.fetchall():
+            row = dict(zip(names, row, strict=True))
+            name = row.pop("report") if report is None else report
+            key = "|".join(str(row.pop(k)) for k in keys)
+            want.update({(name, key, c): v for c, v in row.items()})
+
+    single = {"length_histogram": ("text_length_histogram", "bin"), "length_density": ("text_length_kde", "point")}
+    single["length_cutoffs"] = ("length_cutoff_counts", "zone")
+    for report, (name, key) in single.items():
+        assert "FROM documents" in sql[name]
+        expect(report, [key], duck.execute(sql[name].replace("FROM documents", "FROM cleaned")))
+    expect("describe_before", ["column"], duck.execute(sql["describe_raw"]))
+    expect("describe_after", ["generated", "column"], duck.execute(sql["describe_by_label"]))
+    expect(None, ["label"], duck.execute(sql["corpus_statistics"]))
+
+    rows = entry.queries()["corpus_statistics_full"](spark, SF).collect()
+    got = {(r.report, r.row_key, r.column): r.string if r.number is None else r.number for r in rows}
+    assert len(got) == len(rows) and len({r.report for r in rows}) == 9
+    assert {k for k in got if not k[0].startswith("pca_")} == set(want)
+    for key, value in want.items():
+        # the processed table keeps its measures as 32-bit floats
+        rel, least = 1e-6 if key[0] == "describe_after" else 0, 2e-10 if key[2] == "density" else 2e-6
+        near = value if value is None or isinstance(value, str) else pytest.approx(value, rel=rel, abs=least)
+        assert got[key] == near, key
+
+    after = base.processed(spark, SF).withColumn("id", F.concat_ws(":", "id", "chunk_idx"))
+    vectors = assemble_features(after).collect()
+    x = np.array([r.features for r in vectors])
+    std = x.std(0)
+    z = (x - x.mean(0)) / np.where(std > 0, std, 1)
+    _, scale, axes = np.linalg.svd(z, full_matrices=False)
+    shares = 100 * scale**2 / (scale**2).sum()
+    for i in range(5):
+        assert got["pca_variance", f"PC{i + 1}", "explained_variance_pct"] == pytest.approx(shares[i], abs=0.006)
+        assert got["pca_variance", f"PC{i + 1}", "cumulative_variance_pct"] == pytest.approx(shares[: i + 1].sum(), abs=0.006)
+    assert sum(k[0] == "pca_projection" for k in got) == 3 * len(vectors)
+    pc1 = np.array([got["pca_projection", r.id, "pc1"] for r in vectors])
+    assert np.abs(pc1) == pytest.approx(np.abs(z @ axes[0]), abs=1e-4)
