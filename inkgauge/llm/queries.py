@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 
 from inkgauge.llm import warc
 from inkgauge.llm.chat import format_chat, read_back
+from inkgauge.llm.collocations import collocations
 from inkgauge.llm.embedding_dedup import embedding_near_dedup
 from inkgauge.llm.frames import table
+from inkgauge.llm.html_extract import extract_text, learn_weights
 from inkgauge.llm.language_id import identify_language, learn_dictionaries
 from inkgauge.llm.mixing import mix_sources
 from inkgauge.llm.ngram_join import ngram_jaccard_join
 from inkgauge.llm.packing import pack_best_fit
 from inkgauge.llm.quality import learn_quality, score_quality
+from inkgauge.llm.spelling import spelling_variants
 from inkgauge.llm.syncmers import fingerprint_edits
 from inkgauge.llm.token_matrix import matrix_digests, pack_token_matrix
 
@@ -82,6 +85,19 @@ def op10_token_matrix(spark: SparkSession, sf: str) -> DataFrame:
     return matrix_digests(packed)
 
 
+def op11_phrase_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations(table(spark, sf, "documents"), least=30, scale=2_000_000, covered=80, top=2000)
+
+
+def op12_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling_variants(table(spark, sf, "documents"), deletions=199, least_length=6, least_n=5, factor=5)
+
+
+def op13_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    pages = table(spark, sf, "pages")
+    return extract_text(pages, learn_weights(pages)).select("page_id", "url", "text", "n_chars")
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -95,6 +111,9 @@ QUERIES: dict[str, Query] = {
         op8_best_fit_packing,
         op9_embedding_dedup,
         op10_token_matrix,
+        op11_phrase_collocations,
+        op12_spelling_variants,
+        op13_html_extraction,
     )
 }
 ORACLES: dict[str, str] = {
@@ -103,4 +122,27 @@ ORACLES: dict[str, str] = {
         CASE WHEN page_id < keep THEN keep END AS refers_to
     FROM (SELECT page_id, body, CASE WHEN strlen(body) >= 1000 THEN max(page_id) OVER (PARTITION BY body) END AS keep
           FROM (SELECT page_id, coalesce(html, '') AS body FROM pages))""",
+    "op11_phrase_collocations": r"""WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang,
+            unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+    listed AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+    grams AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+        FROM (SELECT lang, w, unnest([1, 2, 3, 4]) AS k FROM listed)),
+    counts AS (SELECT lang, phrase, k, count(*) AS f FROM grams GROUP BY ALL),
+    totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang),
+    candidates AS (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE k > 1 AND f >= 30),
+    cuts AS (SELECT *, array_to_string(w[1:cut], ' ') AS head, array_to_string(w[cut + 1:], ' ') AS tail
+        FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates)),
+    scored AS (SELECT c.lang, c.phrase, c.a, c.cut, x.f AS l, y.f AS r,
+            ((2000000::HUGEINT * c.a) // (x.f::HUGEINT + y.f))::BIGINT AS score
+        FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = c.head JOIN counts y ON y.lang = c.lang AND y.phrase = c.tail),
+    lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+    spans AS (SELECT lang, a, w, k, span, unnest(range(1, k - span + 2)) AS spot
+        FROM (SELECT *, unnest(range(2, k)) AS span FROM candidates)),
+    covering AS (SELECT lang, array_to_string(w[spot:spot + span - 1], ' ') AS phrase, max(a) AS longer FROM spans GROUP BY ALL),
+    kept AS (SELECT l.* FROM lowest l LEFT JOIN covering c USING (lang, phrase)
+        WHERE c.longer IS NULL OR 100::HUGEINT * c.longer < 80::HUGEINT * l.a),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+    SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000""",
 }
