@@ -2,12 +2,13 @@
 
 Texts are lower-cased (A-Z only), split at sentence marks and line ends into pieces,
 these at spaces and tabs into words. Each task counts phrases in a HAT-trie over word
-ids: a container is a hash table from the remaining ids of a phrase to its count; a
-container that grows beyond BURST bursts into a trie node with one container for each
-next word, so only the crowded top is a trie. When a task holds more than ENTRIES
-phrases, its largest subtrees are passed on whole, as runs sorted by phrase, until
-half is free. Runs meet in partitions of their prefix (language and first two words,
-salted by the rest, since some prefixes are very frequent) and are merged there.
+ids: FAN hash containers share the first words among them; one that grows beyond BURST
+phrases bursts into a trie node with a container for each first word, which may burst
+in turn, so only the crowded top is a trie. When a task holds more than ENTRIES
+phrases, its largest subtrees are passed on whole until half is free: as runs, sorted,
+packed and compressed, one for each prefix partition, that is for a hash of language
+and first two words (salted by the rest, since some prefixes are very frequent). The
+runs of a prefix partition meet in one task, which merges them partition by partition.
 
 A phrase of at least ``least`` occurrences consists of parts that occur as often. So
 words are counted first, then pairs of frequent words, then longer phrases all of
@@ -23,7 +24,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,12 +34,13 @@ from inkgauge.llm.frames import written
 from inkgauge.llm.shingles import mix
 from inkgauge.session import ship_package
 
+FAN = 256  # containers a trie begins with
 BURST = 4096  # phrases of a container
 ENTRIES = 500_000  # phrases a task holds, over all languages, before subtrees leave it
 WORDS = 500_000  # word ids a task holds, likewise, before it starts a language anew
-RUN = 50_000  # rows of a run handed on at once
+MERGED = 1_000_000  # rows of runs a task holds before it sums them up
 FILTER_BITS = 1 << 26
-CHUNK = 1 << 22  # bytes of text counted at once
+CHUNK = 1 << 22  # bytes of text split into words at once
 SALTS = 16
 LONGEST = 4
 _ID = 4  # bytes of a word id in a key
@@ -50,91 +54,85 @@ class Node:
 
     __slots__ = ("ends", "below")
 
-    def __init__(self) -> None:
+    def __init__(self, container: dict[bytes, int]) -> None:
         self.ends: dict[bytes, int] = {}
         self.below: dict[bytes, Node | dict[bytes, int]] = {}
+        for key, n in container.items():
+            if len(key) == _ID:
+                self.ends[key] = n
+            else:
+                self.below.setdefault(key[:_ID], {})[key[_ID:]] = n
+
+    def add(self, key: bytes, n: int, burst: int) -> bool:
+        """Count a phrase; whether it is new."""
+        node, at = self, 0
+        while True:
+            step, at = key[at : at + _ID], at + _ID
+            if at == len(key):
+                known = node.ends.get(step)
+                node.ends[step] = n if known is None else known + n
+                return known is None
+            below = node.below.setdefault(step, {})
+            if type(below) is Node:
+                node = below
+                continue
+            rest = key[at:]
+            known = below.get(rest)
+            below[rest] = n if known is None else known + n
+            if len(below) > burst:
+                node.below[step] = Node(below)
+            return known is None
+
+
+def entries(node: Node | dict[bytes, int]) -> tuple[list[bytes], list[int]]:
+    """All phrases below a node and their counts."""
+    keys, counts, stack = [], [], [(node, b"")]
+    while stack:
+        node, prefix = stack.pop()
+        if type(node) is Node:
+            stack += [(below, prefix + step) for step, below in node.below.items()]
+            node = node.ends
+        keys += [prefix + k for k in node] if prefix else node
+        counts += node.values()
+    return keys, counts
 
 
 class HatTrie:
     """Counts of word-id sequences, packed with _ID big-endian bytes a word."""
 
     def __init__(self, burst: int = BURST):
-        self.burst, self.root, self.size = burst, {}, 0
-
-    def add(self, key: bytes, n: int) -> None:
-        above, step, node, at = None, b"", self.root, 0
-        while type(node) is Node:
-            step, rest = key[at : at + _ID], at + _ID
-            if rest == len(key):
-                known = node.ends.get(step)
-                self.size += known is None
-                node.ends[step] = n if known is None else known + n
-                return
-            above, at = node, rest
-            node = above.below.get(step)
-            if node is None:
-                node = above.below[step] = {}
-        rest = key[at:]
-        known = node.get(rest)
-        if known is not None:
-            node[rest] = known + n
-            return
-        node[rest] = n
-        self.size += 1
-        if len(node) > self.burst:
-            burst = self._burst(node)
-            if above is None:
-                self.root = burst
-            else:
-                above.below[step] = burst
-
-    def _burst(self, container: dict[bytes, int]) -> Node:
-        node = Node()
-        for key, n in container.items():
-            if len(key) == _ID:
-                node.ends[key] = n
-            else:
-                node.below.setdefault(key[:_ID], {})[key[_ID:]] = n
-        return node
-
-    @staticmethod
-    def _walk(node: Node | dict[bytes, int], prefix: bytes) -> Iterator[tuple[bytes, int]]:
-        """All (key, count) below a node."""
-        stack = [(node, prefix)]
-        while stack:
-            node, prefix = stack.pop()
-            if type(node) is Node:
-                yield from ((prefix + k, n) for k, n in node.ends.items())
-                stack += [(below, prefix + k) for k, below in node.below.items()]
+        self.burst, self.size = burst, 0
+        self.root: list[Node | dict[bytes, int]] = [{} for _ in range(FAN)]
+        self.held = [0] * FAN  # phrases below each of them
+
+    def add(self, keys: list[bytes], counts: list[int]) -> None:
+        root, held, burst = self.root, self.held, self.burst
+        last = _ID - 1
+        for key, n in zip(keys, counts, strict=True):
+            slot = key[last]
+            node = root[slot]
+            if type(node) is dict:
+                known = node.get(key)
+                if known is not None:
+                    node[key] = known + n
+                    continue
+                node[key] = n
+                held[slot] += 1
+                if len(node) > burst:
+                    root[slot] = Node(node)
             else:
-                yield from ((prefix + k, n) for k, n in node.items())
+                held[slot] += node.add(key, n, burst)
+        self.size = sum(held)
 
-    def _weight(self, node: Node | dict[bytes, int]) -> int:
-        if type(node) is Node:
-            return len(node.ends) + sum(map(self._weight, node.below.values()))
-        return len(node)
-
-    def spill(self, rest: int) -> Iterator[list[tuple[bytes, int]]]:
-        """Hand over whole subtrees, the largest first, until ``rest`` phrases are left."""
-        if type(self.root) is not Node:
-            held, self.root = self.root, {}
-            self.size = 0
-            if held:
-                yield list(held.items())
-            return
-        top = self.root
-        weights = {k: self._weight(below) for k, below in top.below.items()}
-        for k in sorted(weights, key=weights.get, reverse=True):
+    def spill(self, rest: int) -> Iterator[tuple[list[bytes], list[int]]]:
+        """Hand over whole subtrees, the largest first, until at most ``rest`` phrases are left."""
+        for slot in sorted(range(FAN), key=self.held.__getitem__, reverse=True):
             if self.size <= rest:
                 return
-            subtree = list(self._walk(top.below.pop(k), k))
-            if k in top.ends:
-                subtree.append((k, top.ends.pop(k)))
-            self.size -= len(subtree)
-            yield subtree
-        if self.size > rest and top.ends:  # words that nothing follows
-            yield list(top.ends.items())
-            self.root, self.size = {}, 0
+            node, self.root[slot] = self.root[slot], {}
+            self.size -= self.held[slot]
+            self.held[slot] = 0
+            yield entries(node)
 
 
 class _Ids(dict):
@@ -184,9 +182,10 @@ def chunks(raw: bytes) -> Iterator[bytes]:
 class PhraseCounter:
     """Counts of the phrases of one task, of one language."""
 
-    def __init__(self, lang: str, lengths: tuple[int, ...], passes: np.ndarray | None):
-        self.lang, self.lengths, self.passes = lang, lengths, passes
+    def __init__(self, lang: str, lengths: tuple[int, ...], passes: np.ndarray | None, partitions: int):
+        self.lang, self.lengths, self.passes, self.partitions = lang, lengths, passes, partitions
         self.trie = HatTrie()
+        self.packer = zstandard.ZstdCompressor(level=1)
         self._anew()
 
     def _anew(self) -> None:
@@ -241,44 +240,119 @@ class PhraseCounter:
                 self._add(table[n > 0], n[n > 0])
 
     def _add(self, table: np.ndarray, counts: np.ndarray) -> None:
-        wide = table.shape[1] * _ID
-        keys = table.astype(">u4").tobytes()
-        add = self.trie.add
-        for i, n in enumerate(counts.tolist()):
-            add(keys[i * wide : (i + 1) * wide], n)
+        keys = np.ascontiguousarray(table.astype(">u4")).view(f"V{table.shape[1] * _ID}").ravel().tolist()
+        self.trie.add(keys, counts.tolist())
 
     def anew(self) -> Iterator[pa.RecordBatch]:
         """Hand over everything and forget the words."""
         yield from self.runs(0)
         self._anew()
 
+    def _prefix_partition(self, table: np.ndarray) -> np.ndarray:
+        found = self.hashes[table[:, 0]]
+        if table.shape[1] > 1:
+            found = mix(found * _STEP + self.hashes[table[:, 1]])
+        if table.shape[1] > 2:
+            rest = self.hashes[table[:, 2]]
+            for k in range(3, table.shape[1]):
+                rest = mix(rest * _STEP + self.hashes[table[:, k]])
+            found = found * _STEP + mix(rest) % np.uint64(SALTS)
+        return (mix(found) % np.uint64(self.partitions)).astype(np.int32)
+
     def runs(self, rest: int) -> Iterator[pa.RecordBatch]:
-        """Sorted runs of the subtrees that leave the trie; small subtrees share a batch."""
-        words, held = list(self.ids), []
-        for subtree in self.trie.spill(rest):
-            run = []
-            for key, n in subtree:
-                ids = np.frombuffer(key, ">u4").tolist() if len(key) > _ID else [int.from_bytes(key)]
-                run.append((b" ".join([words[i] for i in ids]), len(ids), n))
-            run.sort()
-            held += run
-            if len(held) >= RUN:
-                yield from self._batches(held)
-                held = []
-        yield from self._batches(held)
-
-    def _batches(self, held: list[tuple[bytes, int, int]]) -> Iterator[pa.RecordBatch]:
-        for i in range(0, len(held), RUN):
-            phrases, lengths, counts = zip(*held[i : i + RUN], strict=True)
-            yield pa.record_batch(
-                [
-                    pa.array([self.lang] * len(phrases), pa.string()),
-                    pa.array(phrases, pa.binary()).cast(pa.string()),
-                    pa.array(lengths, pa.int32()),
-                    pa.array(counts, pa.int64()),
-                ],
-                ["lang", "phrase", "words", "n"],
-            )
+        """Runs of the subtrees that leave the trie: sorted phrases by prefix partition and length."""
+        by_length: dict[int, tuple[list[bytes], list[int]]] = {}
+        for keys, counts in self.trie.spill(rest):
+            if len(self.lengths) == 1:
+                parts = {self.lengths[0]: (keys, counts)}
+            else:
+                parts = {}
+                for key, n in zip(keys, counts, strict=True):
+                    found = parts.setdefault(len(key) // _ID, ([], []))
+                    found[0].append(key)
+                    found[1].append(n)
+            for length, found in parts.items():
+                held = by_length.setdefault(length, ([], []))
+                held[0].extend(found[0])
+                held[1].extend(found[1])
+        if not any(keys for keys, _ in by_length.values()):
+            return
+        self.hashes = self.ids.hashes(self.hashes)
+        words = pa.array(list(self.ids), pa.binary())
+        rank = np.empty(len(words), np.int64)
+        rank[pc.array_sort_indices(words).to_numpy()] = np.arange(len(words))
+        for length, (keys, counts) in by_length.items():
+            if keys:
+                table = np.frombuffer(b"".join(keys), ">u4").reshape(-1, length).astype(np.int64)
+                yield from self._packed(table, np.array(counts, np.int64), words, rank)
+
+    def _packed(self, table: np.ndarray, counts: np.ndarray, words: pa.Array, rank: np.ndarray) -> Iterator[pa.RecordBatch]:
+        length = table.shape[1]
+        part = self._prefix_partition(table)
+        order = np.lexsort([*(rank[table[:, k]] for k in reversed(range(length))), part])
+        table, counts, part = table[order], counts[order], part[order]
+        phrases = pc.binary_join_element_wise(*(words.take(pa.array(table[:, k])) for k in range(length)), b" ")
+        offsets = np.frombuffer(phrases.buffers()[1], np.int32, len(phrases) + 1)
+        values = memoryview(phrases.buffers()[2]) if phrases.buffers()[2] else b""
+        starts = np.flatnonzero(np.diff(part, prepend=-1))
+        runs = []
+        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(part)], strict=True):
+            sizes = np.diff(offsets[a : b + 1])
+            raw = b"".join([(b - a).to_bytes(4, "little"), sizes.tobytes(), counts[a:b].tobytes(), values[offsets[a] : offsets[b]]])
+            runs.append(self.packer.compress(raw))
+        n = len(runs)
+        columns = [pa.array(part[starts]), pa.array([self.lang] * n, pa.string()), pa.array([length] * n, pa.int32())]
+        yield pa.record_batch([*columns, pa.array(runs, pa.binary())], RUN_COLUMNS)
+
+
+RUN_COLUMNS = ["part", "lang", "words", "run"]
+
+
+def unpacked(run: bytes) -> pa.Table:
+    """(phrase, n) of a run."""
+    raw = zstandard.decompress(run)
+    n = int.from_bytes(raw[:4], "little")
+    offsets = np.zeros(n + 1, np.int32)
+    np.cumsum(np.frombuffer(raw, np.int32, n, 4), out=offsets[1:])
+    counts = np.frombuffer(raw, np.int64, n, 4 + 4 * n)
+    phrases = pa.Array.from_buffers(pa.string(), n, [None, pa.py_buffer(offsets), pa.py_buffer(raw[4 + 12 * n :])])
+    return pa.table([phrases, pa.array(counts)], ["phrase", "n"])
+
+
+def merged(rows: Iterator[tuple[int, str, int, bytes]], least: int) -> Iterator[pa.RecordBatch]:
+    """Phrases with f >= ``least`` of runs in order of (part, lang, words).
+
+    Where words are counted, a row of length 0 adds the occurrences of all of them.
+    """
+
+    def summed(tables: list[pa.Table]) -> pa.Table:
+        found = pa.concat_tables(tables).group_by("phrase", use_threads=False).aggregate([("n", "sum")])
+        return found.select(["phrase", "n_sum"]).rename_columns(["phrase", "n"])
+
+    def batch(lang: str, words: int, phrases: pa.Array, counts: pa.Array) -> pa.RecordBatch:
+        n = len(phrases)
+        columns = [pa.array([lang] * n, pa.string()), phrases, pa.array([words] * n, pa.int32()), counts]
+        return pa.record_batch(columns, ["lang", "phrase", "words", "f"])
+
+    def finished(lang: str, words: int, tables: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+        found = summed(tables).combine_chunks()
+        if words == 1:
+            yield batch(lang, 0, pa.array([""]), pa.array([pc.sum(found["n"]).as_py()], pa.int64()))
+        kept = found.filter(pc.greater_equal(found["n"], least)).combine_chunks()
+        for part in kept.to_batches():
+            yield batch(lang, words, part.column(0), part.column(1))
+
+    at, held = None, []
+    for part, lang, words, run in rows:
+        if (part, lang, words) != at:
+            if held:
+                yield from finished(at[1], at[2], held)
+            at, held = (part, lang, words), []
+        held.append(unpacked(run))
+        if sum(map(len, held)) > MERGED and len(held) > 1:
+            held = [summed(held)]
+    if held:
+        yield from finished(at[1], at[2], held)
 
 
 def relieve(counters: dict[str, PhraseCounter], forget: bool) -> Iterator[pa.RecordBatch]:
@@ -290,14 +364,16 @@ def relieve(counters: dict[str, PhraseCounter], forget: bool) -> Iterator[pa.Rec
         yield from max(counters.values(), key=lambda c: len(c.ids)).anew()
 
 
-def count_phrases(docs: DataFrame, lengths: tuple[int, ...], passes: np.ndarray | None = None) -> DataFrame:
-    """(lang, phrase, words, f): occurrences of the phrases of ``lengths`` words in (lang, text).
+def count_phrases(docs: DataFrame, lengths: tuple[int, ...], least: int, passes: np.ndarray | None = None) -> DataFrame:
+    """(lang, phrase, words, f): phrases of ``lengths`` words in (lang, text) with f >= ``least``.
 
     ``passes``: the filter of frequent words (lengths 2) or frequent pairs (above).
+    Where words are counted, rows of length 0 hold the occurrences of all words.
     """
     spark = docs.sparkSession
     ship_package(spark)
     told = spark.sparkContext.broadcast(passes)  # FILTER_BITS / 8 bytes
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters: dict[str, PhraseCounter] = {}
@@ -308,7 +384,7 @@ def count_phrases(docs: DataFrame, lengths: tuple[int, ...], passes: np.ndarray
             for i in range(len(batch)):  # texts leave the Arrow batch one by one
                 lang, raw = batch.column(0)[i].as_py(), batch.column(1)[i].as_py().translate(_FOLD)
                 if lang not in counters:
-                    counters[lang] = PhraseCounter(lang, lengths, told.value)
+                    counters[lang] = PhraseCounter(lang, lengths, told.value, 2 * tasks)
                 if len(raw) > CHUNK:
                     before = none
                     for part in chunks(raw):
@@ -328,17 +404,15 @@ def count_phrases(docs: DataFrame, lengths: tuple[int, ...], passes: np.ndarray
         for counter in counters.values():
             yield from counter.runs(0)
 
-    rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.col("text").cast("binary").alias("text"))
-    found = rows.where("text IS NOT NULL").mapInArrow(run, "lang string, phrase string, words int, n bigint")
-    return merged_runs(found)
-
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns = (batch.columns for batch in batches)
+        rows = (tuple(c[i].as_py() for c in found) for found in columns for i in range(len(found[0])))
+        return merged(rows, least)
 
-def merged_runs(runs: DataFrame) -> DataFrame:
-    """Sum the runs' counts in partitions of their prefix."""
-    prefix = F.substring_index("phrase", " ", 2)
-    salt = F.pmod(F.xxhash64("phrase"), F.lit(SALTS)).cast("int")
-    dealt = runs.withColumn("prefix", prefix).withColumn("salt", salt).repartition("lang", "prefix", "salt")
-    return dealt.groupBy("lang", "prefix", "salt", "phrase", "words").agg(F.sum("n").alias("f")).select("lang", "phrase", "words", "f")
+    rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.col("text").cast("binary").alias("text"))
+    runs = rows.where("text IS NOT NULL").mapInArrow(run, "part int, lang string, words int, run binary")
+    dealt = runs.repartition(tasks, "part").sortWithinPartitions("part", "lang", "words")
+    return dealt.mapInArrow(merge, "lang string, phrase string, words int, f bigint")
 
 
 def frequent_filter(frequent: DataFrame) -> np.ndarray:
@@ -367,12 +441,12 @@ def frequent_filter(frequent: DataFrame) -> np.ndarray:
 
 def frequent_phrases(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     """Phrases of 1 to 4 words with f >= ``least`` as (lang, phrase, words, f), and (lang, n) over all words."""
-    words = written(count_phrases(docs, (1,)), "words")
-    totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    levels = [written(words.where(F.col("f") >= least), "frequent")]
+    words = written(count_phrases(docs, (1,), least), "frequent")
+    totals = words.where("words = 0").groupBy("lang").agg(F.sum("f").alias("n"))
+    levels = [words.where("words = 1")]
     for lengths in ((2,), (3, 4)):
-        counts = count_phrases(docs, lengths, frequent_filter(levels[-1]))
-        levels.append(written(counts.where(F.col("f") >= least), "frequent"))
+        passes = frequent_filter(levels[-1])
+        levels.append(written(count_phrases(docs, lengths, least, passes), "frequent"))
     return levels[0].unionAll(levels[1]).unionAll(levels[2]), totals
 
 

@@ -69,58 +69,71 @@ def test_collocations_equal_brute_force(spark):
         assert sorted(map(tuple, found.collect())) == plain_collocations(rows, least, 2_000_000, 80, top)
 
 
-def test_collocations_with_many_spills_and_one_long_text(spark, monkeypatch):
+def test_collocations_with_many_spills_and_one_long_text(monkeypatch):
     rng = random.Random(6)
     rows = [(talk(rng, 2500), "en"), (talk(rng, 900), "de"), ("word" * 3000 + " of the", "de")]
-    for name, value in (("BURST", 3), ("ENTRIES", 40), ("WORDS", 6), ("RUN", 5), ("CHUNK", 300)):
+    for name, value in (("FAN", 256), ("ENTRIES", 40), ("WORDS", 6), ("CHUNK", 300), ("MERGED", 50)):
         monkeypatch.setattr(col, name, value)
-    counters = {}
-    none = np.empty(0, np.int64)
-    batches = []
-    for text, lang in rows:  # the same steps as a task's
-        counter = counters.setdefault(lang, col.PhraseCounter(lang, (2,), np.full(col.FILTER_BITS // 64, ~np.uint64(0))))
-        counter.trie.burst = 3
-        before = none
-        for part in col.chunks(text.encode().translate(col._FOLD)):
-            before = counter.count(part, before)
-            batches += col.relieve(counters, forget=False)
-        batches += col.relieve(counters, forget=True)
-        assert counter.trie.size <= col.ENTRIES and len(counter.ids) <= col.WORDS + 1
-    for counter in counters.values():
-        batches += counter.runs(0)
-    found = Counter()
-    for batch in batches:
-        assert len(batch) <= 5
-        for row in batch.to_pylist():
-            assert row["words"] == 2
-            found[row["lang"], row["phrase"]] += row["n"]
-    expected = Counter()
-    for text, lang in rows:
-        for words in plain_pieces(text):
-            expected.update((lang, " ".join(pair)) for pair in itertools.pairwise(words))
-    assert found == expected
-    assert sum(map(len, batches)) > len(expected)  # runs of one phrase met more than once
+    for lengths in ((1,), (2,), (3, 4)):
+        counters = {}
+        none = np.empty(0, np.int64)
+        runs = []
+        for text, lang in rows:  # the same steps as a task's
+            if lang not in counters:
+                counters[lang] = col.PhraseCounter(lang, lengths, np.full(col.FILTER_BITS // 64, ~np.uint64(0)), 3)
+            counter = counters[lang]
+            counter.trie.burst = 3
+            before = none
+            for part in col.chunks(text.encode().translate(col._FOLD)):
+                before = counter.count(part, before)
+                runs += col.relieve(counters, forget=False)
+            runs += col.relieve(counters, forget=True)
+            assert counter.trie.size <= col.ENTRIES and len(counter.ids) <= col.WORDS + 1
+        for counter in counters.values():
+            runs += counter.runs(0)
+        runs = sorted(tuple(r.values()) for batch in runs for r in batch.to_pylist())
+        assert {r[0] for r in runs} == {0, 1, 2}
+        for *_, run in runs:
+            phrases = [p.split(" ") for p in col.unpacked(run)["phrase"].to_pylist()]
+            assert phrases == sorted(phrases, key=lambda p: [w.encode() for w in p]) and len(set(map(tuple, phrases))) == len(phrases)
+        found, total = {}, Counter()
+        for batch in col.merged(iter(runs), 2):
+            for row in batch.to_pylist():
+                if row["words"] == 0:
+                    total[row["lang"]] += row["f"]
+                else:
+                    assert (row["lang"], row["phrase"]) not in found  # one partition has it
+                    found[row["lang"], row["phrase"]] = row["f"]
+        expected, n = Counter(), Counter()
+        for text, lang in rows:
+            for words in plain_pieces(text):
+                n[lang] += len(words)
+                for k in lengths:
+                    expected.update((lang, " ".join(words[i : i + k])) for i in range(len(words) - k + 1))
+        assert found == {k: f for k, f in expected.items() if f >= 2}
+        assert lengths != (1,) or total == n
 
 
 def test_trie_counts_bursts_and_spills_whole_subtrees():
     rng = random.Random(7)
     trie, expected = col.HatTrie(burst=4), Counter()
-    for _ in range(3000):
-        key = b"".join(rng.randrange(1, 9).to_bytes(4) for _ in range(rng.randrange(1, 5)))
-        trie.add(key, 2)
-        expected[key] += 2
-    assert trie.size == len(expected) and isinstance(trie.root, col.Node)
+    for _ in range(300):
+        keys = [b"".join(rng.randrange(1, 9).to_bytes(4) for _ in range(rng.randrange(1, 5))) for _ in range(10)]
+        trie.add(keys, [2] * 10)
+        for key in keys:
+            expected[key] += 2
+    assert trie.size == len(expected) and isinstance(trie.root[1], col.Node)
     first = list(trie.spill(trie.size // 2))
-    tops = [{k[:4] for k, _ in subtree} for subtree in first]
-    assert all(len(t) == 1 for t in tops)
+    gone = {k[:4] for keys, _ in first for k in keys}
+    assert trie.size <= len(expected) // 2 and len(gone) == len(first)
     rest = list(trie.spill(0))
     assert trie.size == 0
     out = Counter()
-    for key, n in itertools.chain(*first, *rest):
-        out[key] += n
+    for keys, counts in (*first, *rest):
+        for key, n in zip(keys, counts, strict=True):
+            out[key] += n
     assert out == expected
-    gone = set().union(*tops)
-    assert not any(k[:4] in gone for subtree in rest for k, _ in subtree)
+    assert not any(k[:4] in gone for keys, _ in rest for k in keys)
 
 
 def test_collocations_of_nothing(spark):
