@@ -1,18 +1,27 @@
-"""K-means clusters as a classifier: clusters take the majority class of their rows."""
+"""K-means clusters as a classifier: clusters take the majority class of their rows.
+
+All numbers of clusters and all restarts are fitted together: each pass over the rows
+serves every model that has not converged yet, with one matrix product per slice of
+rows, and returns one sum per model and cluster. Restarts begin with k-means|| (Bahmani
+et al. 2012), whose samples are drawn by hashes of the rows.
+
+Results do not depend on how the rows are stored or partitioned. Samples and ties are
+decided by hash and by exactly summed distances; centroids are means of sums in
+integers (two of them per number, as exact as a double), which no order changes.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkgauge import schema
-from inkgauge.functions.vectors import matrix
+from inkgauge.functions.vectors import list_array, matrix
 from inkgauge.operators.evaluation import (
     accuracy,
     apply_cluster_map,
@@ -21,51 +30,339 @@ from inkgauge.operators.evaluation import (
     f1_positive,
 )
 
+SLICE = 1024  # rows compared with all centroids at once
+ROUNDS = 2  # of oversampling
+OVERSAMPLING = 2  # candidates a round draws, as a multiple of k
+CLOSE = 1e-10  # relative gap of two distances below which they are summed exactly
+LIMB = 2.0**26  # a number is kept as two integers up to this size
 
-def with_vector(df: DataFrame, features: str = "features") -> DataFrame:
-    return df.withColumn("_vector", array_to_vector(F.col(features).cast("array<double>")))
 
+@dataclass(frozen=True)
+class KMeansModel:
+    """``cost`` is the sum of squared distances to the centroids over the fitted rows."""
 
-def kmeans_fit(
+    centroids: np.ndarray
+    cost: float
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        rows = [(i, c.tolist(), self.cost) for i, c in enumerate(self.centroids)]
+        table = spark.createDataFrame(rows, "cluster int, centroid array<double>, cost double")
+        table.coalesce(1).write.mode("overwrite").parquet(path)
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> KMeansModel:
+        rows = sorted(spark.read.parquet(path).collect())
+        return KMeansModel(np.array([r["centroid"] for r in rows]), rows[0]["cost"])
+
+
+def _squared(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Squared distances row by row, summed alike wherever a row stands."""
+    return np.ascontiguousarray((x - y) ** 2).sum(axis=1)
+
+
+def nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Number of the nearest centre of each row; the lower number among equals."""
+    lengths = (centres**2).sum(axis=1)
+    distance = lengths - 2.0 * (x @ centres.T)  # a row's own length changes nothing
+    found = distance.argmin(axis=1)
+    if len(centres) == 1:
+        return found
+    gap = CLOSE * ((x**2).sum(axis=1) + lengths.max())
+    close = distance <= (distance[np.arange(len(x)), found] + gap)[:, None]
+    for row in np.flatnonzero(close.sum(axis=1) > 1):
+        rivals = np.flatnonzero(close[row])
+        found[row] = rivals[_squared(centres[rivals], x[row]).argmin()]
+    return found
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    """Scramble 64-bit values (Steele et al. 2014)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _draw(hashes: np.ndarray, salt: int) -> np.ndarray:
+    """A number in (0, 1) per row, from its hash."""
+    u = _mix(hashes + _mix(np.array([salt], np.uint64)))
+    return ((u >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
+
+
+def _limbs(x: np.ndarray, scale: float) -> np.ndarray:
+    """Integers (high, low) of each number, side by side."""
+    high = np.rint(x / scale * LIMB)
+    low = np.rint((x / scale * LIMB - high) * LIMB)
+    return np.concatenate([high, low], axis=1).astype(np.int64)
+
+
+def _number(limbs: np.ndarray, scale: float) -> np.ndarray:
+    half = limbs.shape[-1] // 2
+    return (limbs[..., :half] + limbs[..., half:] / LIMB) / LIMB * scale
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for batch in batches:
+        for at in range(0, len(batch), SLICE):
+            part = batch.slice(at, SLICE)
+            yield part.column(0).to_numpy().view(np.uint64), matrix(part.column(1))
+
+
+def _reduced(rows: DataFrame, fn: Callable, columns: str, key: str, merge: Callable) -> pa.Table:
+    """Map every partition, bring rows of one key together, merge them there, collect the merged rows.
+
+    Both functions return few rows: their number follows the models, not the table.
+    """
+    return rows.mapInArrow(fn, columns).repartition(key).mapInArrow(merge, columns).toArrow()
+
+
+# -- sampling --------------------------------------------------------------------------
+
+_DRAWN = "model int, priority double, row bigint, vector array<double>"
+
+
+def _drawn_batch(model: int, priority: np.ndarray, hashes: np.ndarray, x: np.ndarray) -> pa.RecordBatch:
+    return pa.record_batch(
+        [
+            pa.array([model] * len(x), pa.int32()),
+            pa.array(priority),
+            pa.array(hashes.view(np.int64)),
+            list_array(x, pa.float64()),
+        ],
+        ["model", "priority", "row", "vector"],
+    )
+
+
+def _first(held: tuple | None, priority: np.ndarray, hashes: np.ndarray, x: np.ndarray, n: int) -> tuple:
+    """The ``n`` rows of least priority; a row drawn twice counts once."""
+    if held is not None:
+        priority, hashes = np.concatenate([held[0], priority]), np.concatenate([held[1], hashes])
+        x = np.concatenate([held[2], x])
+    order = np.lexsort([hashes, priority])
+    order = order[np.isfinite(priority[order])]
+    same = np.zeros(len(order), bool)
+    same[1:] = hashes[order[1:]] == hashes[order[:-1]]
+    order = order[~same][:n]
+    return priority[order], hashes[order], x[order]
+
+
+def _sample(rows: DataFrame, candidates: list[np.ndarray | None], sizes: list[int], salts: list[int]) -> list[np.ndarray]:
+    """Draw rows for each model, with chances by their squared distance to its candidates.
+
+    The rows of least -ln(u) / weight are a weighted sample without replacement
+    (Efraimidis and Spirakis 2006), so a round needs one pass and no total.
+    """
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple | None] = [None] * len(sizes)
+        for hashes, x in _slices(batches):
+            for m, (known, size, salt) in enumerate(zip(candidates, sizes, salts, strict=True)):
+                with np.errstate(divide="ignore"):
+                    weight = 1.0 if known is None else _squared(x, known[nearest(x, known)])
+                    priority = -np.log(_draw(hashes, salt)) / weight
+                held[m] = _first(held[m], priority, hashes, x, size)
+        for m, found in enumerate(held):
+            if found is not None:
+                yield _drawn_batch(m, *found)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, tuple] = {}
+        for batch in batches:
+            models, x = batch.column(0).to_numpy(), matrix(batch.column(3))
+            priority, hashes = batch.column(1).to_numpy(), batch.column(2).to_numpy().view(np.uint64)
+            for m in np.unique(models).tolist():
+                of = models == m
+                held[m] = _first(held.get(m), priority[of], hashes[of], x[of], sizes[m])
+        for m, found in held.items():
+            yield _drawn_batch(m, *found)
+
+    table = _reduced(rows, draw, _DRAWN, "model", merge).sort_by([("model", "ascending"), ("priority", "ascending"), ("row", "ascending")])
+    models = table["model"].to_numpy()
+    vectors = matrix(table["vector"]) if len(models) else np.zeros((0, 1))
+    return [vectors[models == m] for m in range(len(sizes))]
+
+
+# -- sums by model and cluster ------------------------------------------------------------
+
+_SUMS = "slot int, n bigint, sums array<bigint>"
+
+
+def _sums_batch(slots: np.ndarray, counts: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array(slots.astype(np.int32)), pa.array(counts.astype(np.int64)), list_array(sums, pa.int64())]
+    return pa.record_batch(columns, ["slot", "n", "sums"])
+
+
+def _cluster_sums(rows: DataFrame, centres: list[np.ndarray], scale: float, vectors: bool = True) -> tuple:
+    """Rows and, with ``vectors``, sums of each model's clusters in one pass over the rows.
+
+    Slot by slot in the order of the centres; the last slot has all rows and, in its
+    first two numbers, the sum of their squared lengths.
+    """
+    begins = np.cumsum([0, *map(len, centres)]).tolist()
+    last, dims = begins[-1], centres[0].shape[1]
+    width = 2 * dims if vectors else 2
+    whole = scale**2 * dims
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, sums = np.zeros(last + 1, np.int64), np.zeros((last + 1, width), np.int64)
+        for _, x in _slices(batches):
+            if vectors:
+                exact = _limbs(x, scale)
+                counts[last] += len(x)
+                sums[last, :2] += _limbs(_squared(x, 0.0)[:, None], whole).sum(axis=0)
+            for begin, known in zip(begins, centres, strict=False):
+                at = nearest(x, known)
+                n = np.bincount(at, minlength=len(known))
+                counts[begin : begin + len(known)] += n
+                if vectors:
+                    order = np.argsort(at, kind="stable")
+                    present = np.flatnonzero(n)
+                    starts = np.concatenate([[0], np.cumsum(n[present])[:-1]])
+                    sums[begin + present] += np.add.reduceat(exact[order], starts, axis=0)
+        kept = np.flatnonzero(counts)
+        if len(kept):
+            yield _sums_batch(kept, counts[kept], sums[kept])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, list] = {}
+        for batch in batches:
+            numbers = batch.column(2).flatten().to_numpy().reshape(len(batch), -1)
+            for i, (slot, n) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+                held = total.setdefault(slot, [0, np.zeros(width, np.int64)])
+                held[0] += n
+                held[1] += numbers[i]
+        if total:
+            yield _sums_batch(np.array(list(total)), np.array([n for n, _ in total.values()]), np.array([s for _, s in total.values()]))
+
+    table = _reduced(rows, add, _SUMS, "slot", merge)
+    counts, sums = np.zeros(last + 1, np.int64), np.zeros((last + 1, width), np.int64)
+    slots = table["slot"].to_numpy()
+    counts[slots] = table["n"].to_numpy()
+    if len(slots):
+        sums[slots] = table["sums"].combine_chunks().flatten().to_numpy().reshape(len(slots), -1)
+    return begins, counts, sums, float(_number(sums[last, :2], whole)[0])
+
+
+# -- fitting ---------------------------------------------------------------------------
+
+
+def _spread_centres(points: np.ndarray, weights: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """k of few weighted points by k-means++, then improved among the points."""
+    chosen = [int(rng.choice(len(points), p=weights / weights.sum()))]
+    far = _squared(points, points[chosen[0]])
+    while len(chosen) < min(k, len(points)) and (far * weights).sum() > 0:
+        chance = far * weights
+        chosen.append(int(rng.choice(len(points), p=chance / chance.sum())))
+        far = np.minimum(far, _squared(points, points[chosen[-1]]))
+    centres = points[chosen]
+    for _ in range(30):
+        at = nearest(points, centres)
+        moved = centres.copy()
+        for c in np.unique(at):
+            of = at == c
+            moved[c] = (points[of] * weights[of, None]).sum(axis=0) / weights[of].sum()
+        if (moved == centres).all():
+            break
+        centres = moved
+    return centres
+
+
+def kmeans_rows(df: DataFrame) -> DataFrame:
+    """What the fit reads of (id, features): a hash of the row and its vector."""
+    vector = F.col("features").cast("array<double>").alias("features")
+    key = ["id", "features"] if "id" in df.columns else ["features"]
+    return df.select(F.xxhash64(*key).alias("row"), vector)
+
+
+def kmeans_fit_all(
     df: DataFrame,
-    k: int,
+    ks: list[int],
     n_init: int = 10,
     max_iter: int = 300,
     seed: int = schema.SEED,
     tol: float = 1e-4,
-) -> KMeansModel:
-    """Best of ``n_init`` k-means|| runs by within-cluster cost.
+) -> dict[int, KMeansModel]:
+    """For each number of clusters the best of ``n_init`` restarts by within-cluster cost.
 
-    Every iteration is one pass over the rows; only centroids reach the driver.
+    A model stops once its centroids move, in total, by less than ``tol`` of a
+    dimension's mean variance. Where there are fewer different rows than clusters
+    asked for, there are fewer clusters.
     """
-    rows, held = df, False
-    if "_vector" not in df.columns or not df.storageLevel.useMemory:
-        rows = df if "_vector" in df.columns else with_vector(df)
-        rows, held = rows.select("_vector").persist(), True
+    models = [(k, run) for k in dict.fromkeys(ks) for run in range(n_init)]
+    rows = kmeans_rows(df).persist()
     try:
-        best = None
-        for run in range(n_init):
-            model = KMeans(
-                k=k,
-                seed=seed + run,
-                maxIter=max_iter,
-                tol=tol,
-                featuresCol="_vector",
-                predictionCol="cluster",
-            ).fit(rows)
-            cost = model.summary.trainingCost
-            if best is None or cost < best[0]:
-                best = (cost, model)
-        return best[1]
+        largest = rows.agg(F.max(F.greatest(F.array_max("features"), -F.array_min("features")))).first()[0]
+        if largest is None:
+            raise ValueError("cannot cluster an empty table")
+        scale = largest or 1.0
+        centres = _starts(rows, models, seed, scale)
+        cost = [0.0] * len(models)
+        active = list(range(len(models)))
+        for _ in range(max_iter):
+            begins, counts, sums, lengths = _cluster_sums(rows, [centres[m] for m in active], scale)
+            still = []
+            enough = None
+            for i, m in enumerate(active):
+                n = counts[begins[i] : begins[i + 1], None]
+                total = _number(sums[begins[i] : begins[i + 1]], scale)
+                moved = np.where(n > 0, total / np.maximum(n, 1), centres[m])
+                if enough is None:
+                    mean = total.sum(axis=0) / n.sum()
+                    enough = tol * max(lengths / n.sum() - (mean**2).sum(), 0.0) / len(mean)
+                shift = _squared(moved, centres[m]).sum()
+                centres[m], cost[m] = moved, max(float(lengths - (n * moved**2).sum()), 0.0)
+                if shift > enough:
+                    still.append(m)
+            active = still
+            if not active:
+                break
     finally:
-        if held:
-            rows.unpersist()
+        rows.unpersist()
+    best: dict[int, KMeansModel] = {}
+    for (k, _), found, paid in zip(models, centres, cost, strict=True):
+        if k not in best or paid < best[k].cost:
+            best[k] = KMeansModel(found, paid)
+    return best
+
+
+def _starts(rows: DataFrame, models: list[tuple[int, int]], seed: int, scale: float) -> list[np.ndarray]:
+    """First centroids of every model: k-means|| in ROUNDS + 2 passes for all models together."""
+
+    def salts(step: int) -> list[int]:
+        return [int(np.random.SeedSequence([seed, k, run, step]).generate_state(1, np.uint64)[0]) for k, run in models]
+
+    found = _sample(rows, [None] * len(models), [1] * len(models), salts(0))
+    for step in range(1, ROUNDS + 1):
+        more = _sample(rows, found, [OVERSAMPLING * k for k, _ in models], salts(step))
+        found = [np.unique(np.concatenate([a, b]), axis=0) if len(b) else a for a, b in zip(found, more, strict=True)]
+    begins, counts, _, _ = _cluster_sums(rows, found, scale, vectors=False)
+    return [
+        _spread_centres(points, counts[a:b].astype(np.float64), k, np.random.default_rng([seed, k, run]))
+        for points, a, b, (k, run) in zip(found, begins[:-1], begins[1:], models, strict=True)
+    ]
+
+
+def kmeans_fit(
+    df: DataFrame,
+    k: int,
+    n_init: int = 10,
+    max_iter: int = 300,
+    seed: int = schema.SEED,
+    tol: float = 1e-4,
+) -> KMeansModel:
+    """Best of ``n_init`` restarts, which share every pass over the rows."""
+    return kmeans_fit_all(df, [k], n_init, max_iter, seed, tol)[k]
 
 
 def kmeans_assign(model: KMeansModel, df: DataFrame) -> DataFrame:
-    """``df`` plus ``cluster``, the nearest centroid."""
-    rows = df if "_vector" in df.columns else with_vector(df)
-    return model.transform(rows).drop("_vector")
+    """``df`` plus ``cluster``, the nearest centroid; the lower number among equals."""
+    centres = model.centroids
+
+    @F.arrow_udf("int")
+    def assign(vectors: pa.Array) -> pa.Array:
+        parts = [nearest(matrix(vectors.slice(at, SLICE)), centres) for at in range(0, len(vectors), SLICE)]
+        return pa.array(np.concatenate(parts).astype(np.int32) if parts else np.zeros(0, np.int32))
+
+    return df.withColumn("cluster", assign(F.col("features")))
 
 
 def nearest_centroid(
@@ -104,10 +401,13 @@ class KMeansClassifier:
     mapping: DataFrame | None = field(default=None, repr=False)
 
     def fit(self, train: DataFrame) -> KMeansClassifier:
+        return self.named(train, kmeans_fit(train, self.k, self.n_init, self.max_iter, self.seed))
+
+    def named(self, train: DataFrame, model: KMeansModel) -> KMeansClassifier:
+        """Take a fitted model and learn its clusters' classes."""
         if self.label_source not in ("train", "eval"):
             raise ValueError("label_source is 'train' or 'eval'")
-        self.model = kmeans_fit(train, self.k, self.n_init, self.max_iter, self.seed)
-        self.mapping = None
+        self.model, self.mapping = model, None
         if self.label_source == "train":
             self.mapping = cluster_majority(
                 kmeans_assign(self.model, train), threshold=self.threshold
@@ -134,7 +434,7 @@ class KMeansClassifier:
         if self.mapping is None and scored is None:
             raise ValueError("clusters named by the scored rows cannot be saved without them: pass `scored`")
         path = path.rstrip("/")
-        self.model.write().overwrite().save(f"{path}/kmeans")
+        self.model.save(SparkSession.active(), f"{path}/kmeans")
         mapping = self.mapping if scored is None else self.cluster_classes(scored)
         mapping.write.mode("overwrite").parquet(f"{path}/cluster_classes")
         settings = (self.k, self.n_init, self.max_iter, self.seed, self.label_source, self.threshold)
@@ -145,7 +445,7 @@ class KMeansClassifier:
     @staticmethod
     def load(spark: SparkSession, path: str) -> KMeansClassifier:
         path = path.rstrip("/")
-        model = KMeansModel.load(f"{path}/kmeans")
+        model = KMeansModel.load(spark, f"{path}/kmeans")
         mapping = spark.read.parquet(f"{path}/cluster_classes")
         settings = spark.read.parquet(f"{path}/settings").first().asDict()
         return KMeansClassifier(**settings, model=model, mapping=mapping)
@@ -160,18 +460,13 @@ def kmeans_grid_search(
     label_source: str = "eval",
 ) -> tuple[dict[int, KMeansClassifier], DataFrame]:
     """Validation accuracy per number of clusters: the fitted classifiers and
-    (grid_pos, n_clusters, accuracy, correct, total). The training rows are kept in
-    memory over the grid."""
-    rows = with_vector(train).select("id", "label", "_vector").persist()
-    try:
-        fitted, results = {}, []
-        for position, k in enumerate(grid):
-            fitted[k] = KMeansClassifier(k, n_init, seed=seed, label_source=label_source)
-            fitted[k].fit(rows)
-            score = accuracy(fitted[k].transform(val)).first()
-            results.append((position, k, score["accuracy"], score["correct"], score["total"]))
-    finally:
-        rows.unpersist()
+    (grid_pos, n_clusters, accuracy, correct, total). One fit serves the whole grid."""
+    models = kmeans_fit_all(train, grid, n_init, seed=seed)
+    fitted, results = {}, []
+    for position, k in enumerate(grid):
+        fitted[k] = KMeansClassifier(k, n_init, seed=seed, label_source=label_source).named(train, models[k])
+        score = accuracy(fitted[k].transform(val)).first()
+        results.append((position, k, score["accuracy"], score["correct"], score["total"]))
     table = train.sparkSession.createDataFrame(
         results, "grid_pos int, n_clusters int, accuracy double, correct bigint, total bigint"
     )

@@ -2,15 +2,17 @@
 
 The ``_full`` queries fit the models in their real size; tests check them by
 property. The others fit the same operators where SQL can compute the result: two
-columns for principal components, groups that are far apart for clusters, small
+columns for principal components, nested groups for clusters, small
 nets and one full-batch step for the perceptron.
 """
 
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkgauge import schema
@@ -18,6 +20,7 @@ from inkgauge.operators.kmeans import (
     KMeansClassifier,
     kmeans_assign,
     kmeans_fit,
+    kmeans_fit_all,
 )
 from inkgauge.operators.kmeans import kmeans_grid_search as search_clusters
 from inkgauge.operators.mlp import MlpClassifier, MlpModel, epoch_order, initial_parameters
@@ -256,30 +259,42 @@ def _(spark, sf):
     return model.projection(rows).select("id", *sizes, "label")
 
 
-# -- clusters of groups that are far apart ----------------------------------------------
+# -- clusters of nested groups --------------------------------------------------------
 
-# labelled documents, one corner per language and the length as a small number; a
-# cluster is named by its least id
-SQL_APART = """apart AS (SELECT doc_id AS id, quality AS label, lang FROM documents JOIN labels USING (doc_id)),
+# labelled documents in two halves of two languages each, a language in two groups by
+# the parity of its length: 2, 4 and 8 clusters are the three levels. Two columns
+# scatter the rows of a group; a cluster is named by its least id.
+SQL_LEVELS = """nested AS (SELECT doc_id AS id, quality AS label, (lang IN ('de', 'en'))::INT::VARCHAR AS g2, lang AS g4,
+        lang || n_chars % 2 AS g8 FROM documents JOIN labels USING (doc_id)),
 parts AS (SELECT *, CASE WHEN rn <= n - ceil(0.2::DOUBLE * n) THEN 'train'
       WHEN rn <= n - ceil(0.5::DOUBLE * ceil(0.2::DOUBLE * n)) THEN 'val' ELSE 'test' END AS split
     FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(id || ':42')) AS rn,
-          count(*) OVER (PARTITION BY label) AS n FROM apart)),
-votes AS (SELECT lang, (avg(label) >= 0.5)::INT AS predicted FROM parts WHERE split = 'train' GROUP BY lang),
-scored AS (SELECT id, split, label, lang, coalesce(predicted, 1) AS predicted FROM parts LEFT JOIN votes USING (lang))"""
+          count(*) OVER (PARTITION BY label) AS n FROM nested)),
+leveled AS (SELECT id, split, label, k, CASE k WHEN 2 THEN g2 WHEN 4 THEN g4 ELSE g8 END AS g
+    FROM parts, (SELECT unnest([2, 4, 8]) AS k)),
+votes AS (SELECT k, g, (avg(label) >= 0.5)::INT AS predicted FROM leveled WHERE split = 'train' GROUP BY k, g),
+scored AS (SELECT id, split, label, k, g, coalesce(predicted, 1) AS predicted FROM leveled LEFT JOIN votes USING (k, g)),
+grid AS (SELECT k, avg((label = predicted)::INT)::DOUBLE AS accuracy, count_if(label = predicted)::BIGINT AS correct,
+    count(*) AS total FROM scored WHERE split = 'val' GROUP BY k),
+best AS (SELECT k FROM grid ORDER BY accuracy DESC, k LIMIT 1)"""
 LANGS = ("de", "en", "es", "fr")
+LEVELS = [2, 4, 8]
+HALF, LANG, PARITY = 48, 16, 6  # columns of each level, so that it outweighs the next
 
 
-def _apart(spark, sf):
+def _nested(spark, sf):
     labels = scan_table(spark, sf, "labels").select("doc_id", "quality")
     rows = scan_table(spark, sf, "documents").select("doc_id", "lang", "n_chars").join(labels, "doc_id")
-    corner = [F.when(F.col("lang") == x, 100.0).otherwise(0.0) for x in LANGS]
-    features = F.array(*corner, F.col("n_chars") / 1e6)
+    half = F.array_repeat(F.col("lang").isin("de", "en").cast("double"), HALF)
+    langs = [F.array_repeat((F.col("lang") == x).cast("double"), LANG) for x in LANGS]
+    parity = F.array_repeat((F.col("n_chars") % 2).cast("double"), PARITY)
+    scatter = F.array((F.col("n_chars") % 97) / 97.0, (F.col("doc_id") % 89) / 89.0)
+    features = F.concat(half, *langs, parity, scatter)
     return rows.select(F.col("doc_id").alias("id"), features.alias("features"), F.col("quality").cast("double").alias("label"))
 
 
-def _apart_parts(spark, sf):
-    return P.parts(split_stratified(_apart(spark, sf), "label"))
+def _nested_parts(spark, sf):
+    return P.parts(split_stratified(_nested(spark, sf), "label"))
 
 
 def _named(df):
@@ -292,48 +307,52 @@ def _votes(df):
     return _named(df).select("id", F.col("label").cast("int"), "cluster", "predicted")
 
 
-SQL_VOTES = f"""WITH {SQL_APART} SELECT id, label, min(id) OVER (PARTITION BY lang) AS cluster, predicted
-    FROM scored WHERE split = 'test'"""
+SQL_VOTES = f"""WITH {SQL_LEVELS} SELECT id, label, min(id) OVER (PARTITION BY g) AS cluster, predicted
+    FROM scored WHERE split = 'test' AND k = 4"""
 
 
-@query("kmeans_fit_assign", f"WITH {SQL_APART} SELECT id, min(id) OVER (PARTITION BY lang) AS cluster FROM apart")
+@query(
+    "kmeans_fit_assign",
+    f"""WITH {SQL_LEVELS} SELECT k AS n_clusters, id, min(id) OVER (PARTITION BY k, g) AS cluster FROM leveled""",
+)
 def _(spark, sf):
-    rows = _apart(spark, sf)
-    return _named(kmeans_assign(kmeans_fit(rows, len(LANGS)), rows).select("id", "cluster"))
+    # three models fitted in the same passes
+    rows = _nested(spark, sf)
+    models = kmeans_fit_all(rows, LEVELS)
+    named = (_named(kmeans_assign(models[k], rows).select("id", "cluster")).withColumn("n_clusters", F.lit(k)) for k in LEVELS)
+    return reduce(DataFrame.unionByName, named)
 
 
 @query("cluster_classifier", SQL_VOTES)
 def _(spark, sf):
-    train, _, test = _apart_parts(spark, sf)
+    train, _, test = _nested_parts(spark, sf)
     return _votes(KMeansClassifier(len(LANGS)).fit(train).transform(test))
 
 
 @query("kmeans_model_io", SQL_VOTES)
 def _(spark, sf):
-    train, _, test = _apart_parts(spark, sf)
+    train, _, test = _nested_parts(spark, sf)
     path = scratch_path(spark, "clusters")
     KMeansClassifier(len(LANGS)).fit(train).save(path)
     return _votes(KMeansClassifier.load(spark, path).transform(test))
 
 
-SQL_HITS = "avg((label = predicted)::INT)::DOUBLE"
-
-
 @query(
     "kmeans_grid_search",
-    f"""WITH {SQL_APART} SELECT 0 AS grid_pos, 4 AS n_clusters, {SQL_HITS} AS accuracy,
-    count_if(label = predicted)::BIGINT AS correct, count(*) AS total FROM scored WHERE split = 'val'""",
+    f"""WITH {SQL_LEVELS} SELECT (row_number() OVER (ORDER BY k) - 1)::INT AS grid_pos, k AS n_clusters, accuracy, correct, total
+    FROM grid""",
 )
 def _(spark, sf):
-    train, val, _ = _apart_parts(spark, sf)
-    return search_clusters(train, val, [len(LANGS)], label_source="train")[1]
+    train, val, _ = _nested_parts(spark, sf)
+    return search_clusters(train, val, LEVELS, label_source="train")[1]
 
 
-SQL_REPORT = f"""WITH {SQL_APART} SELECT 4 AS best_n_clusters,
-    round((SELECT {SQL_HITS} FROM scored WHERE split = 'val'), 8) AS validation_accuracy,
-    round((SELECT {SQL_HITS} FROM scored WHERE split = 'test'), 8) AS test_accuracy,
+SQL_REPORT = f"""WITH {SQL_LEVELS}, tested AS (SELECT * FROM scored JOIN best USING (k) WHERE split = 'test')
+SELECT k AS best_n_clusters, round(accuracy, 8) AS validation_accuracy,
+    round((SELECT avg((label = predicted)::INT)::DOUBLE FROM tested), 8) AS test_accuracy,
     round((SELECT coalesce(2.0::DOUBLE * count_if(label = 1 AND predicted = 1)
-            / nullif(count_if(label = 1) + count_if(predicted = 1), 0), 0) FROM scored WHERE split = 'test'), 8) AS test_f1_score"""
+            / nullif(count_if(label = 1) + count_if(predicted = 1), 0), 0) FROM tested), 8) AS test_f1_score
+FROM grid JOIN best USING (k)"""
 
 
 def _report(df):
@@ -343,12 +362,12 @@ def _report(df):
 
 @query("kmeans_run", SQL_REPORT)
 def _(spark, sf):
-    return _report(P.clustering_run(_apart(spark, sf), grid=[len(LANGS)])[2])
+    return _report(P.clustering_run(_nested(spark, sf), grid=LEVELS)[2])
 
 
 def _written_run(spark, sf):
     path = scratch_path(spark, "clustering")
-    P.clustering_run(_apart(spark, sf), path, [len(LANGS)])
+    P.clustering_run(_nested(spark, sf), path, LEVELS)
     return path
 
 
@@ -360,8 +379,8 @@ def _(spark, sf):
 
 @query(
     "write_predictions",
-    f"""WITH {SQL_APART} SELECT id, label AS y_true, predicted AS y_pred, min(id) OVER (PARTITION BY lang) AS cluster
-    FROM scored WHERE split = 'test'""",
+    f"""WITH {SQL_LEVELS} SELECT id, label AS y_true, predicted AS y_pred, min(id) OVER (PARTITION BY g) AS cluster
+    FROM scored JOIN best USING (k) WHERE split = 'test'""",
 )
 def _(spark, sf):
     found = spark.read.parquet(_written_run(spark, sf) + "/predictions")

@@ -4,13 +4,16 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from pyspark.sql import functions as F
+
 from inkgauge import schema
-from inkgauge.operators import mlp
+from inkgauge.operators import kmeans, mlp
 from inkgauge.operators.kmeans import (
     KMeansClassifier,
     clustering_report,
     kmeans_assign,
     kmeans_fit,
+    kmeans_fit_all,
     kmeans_grid_search,
 )
 from inkgauge.plans import models as P
@@ -31,8 +34,63 @@ def test_kmeans_finds_blobs(spark):
     model = kmeans_fit(df, 3, n_init=2)
     got = collected(kmeans_assign(model, df), "cluster")
     assert len({(w, c) for w, c in zip(which, got)}) == 3
-    one, three = (kmeans_fit(df, k, n_init=1).summary.trainingCost for k in (2, 12))
-    assert one > model.summary.trainingCost > three
+    one, three = (kmeans_fit(df, k, n_init=1).cost for k in (2, 12))
+    assert one > model.cost > three
+    centres = model.centroids[got]
+    assert model.cost == pytest.approx(((x - centres) ** 2).sum())
+
+
+def test_kmeans_does_not_depend_on_the_layout(spark):
+    rng = np.random.default_rng(3)
+    x = np.round(rng.normal(size=(700, 5)) * [1, 10, 0.1, 1e3, 1] + 50, 3)
+    x[100:200] = x[:100]  # repeated rows
+    df = frame(spark, x).cache()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    fits = []
+    try:
+        for layout, shuffles in ((df.repartition(3), 8), (df.repartition(5, "id"), 3), (df.coalesce(1).orderBy(F.desc("id")), 1)):
+            spark.conf.set("spark.sql.shuffle.partitions", shuffles)
+            fits.append(kmeans_fit_all(layout, [2, 7], n_init=3))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for k in (2, 7):
+        assert len(fits[0][k].centroids) == k
+        assert all((f[k].centroids == fits[0][k].centroids).all() and f[k].cost == fits[0][k].cost for f in fits)
+
+
+def test_kmeans_ends_where_plain_lloyd_stands_still(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 3))
+    model = kmeans_fit(frame(spark, x), 6, n_init=4, tol=0.0)
+    distances = ((x[:, None] - model.centroids[None]) ** 2).sum(axis=2)
+    means = np.array([x[distances.argmin(axis=1) == c].mean(axis=0) for c in range(6)])
+    assert model.centroids == pytest.approx(means, abs=1e-12)
+    assert model.cost == pytest.approx(distances.min(axis=1).sum())
+
+
+def test_one_pass_serves_all_models_and_restarts(spark, monkeypatch):
+    x, _ = blobs()
+    passes = []
+    add = kmeans._cluster_sums
+    monkeypatch.setattr(kmeans, "_cluster_sums", lambda rows, centres, *a, **b: passes.append(len(centres)) or add(rows, centres, *a, **b))
+    found = kmeans_fit_all(frame(spark, x), [2, 3, 5], n_init=4, max_iter=9)
+    assert passes[:2] == [12, 12] and len(passes) <= 10  # the candidates' weights, then the iterations
+    assert all(a >= b for a, b in zip(passes, passes[1:], strict=False))
+    assert {k: len(m.centroids) for k, m in found.items()} == {2: 2, 3: 3, 5: 5}
+
+
+def test_fewer_rows_than_clusters_and_no_rows(spark):
+    df = frame(spark, np.array([[1.0, 2.0], [1.0, 2.0], [3.0, 4.0]]))
+    model = kmeans_fit(df, 5, n_init=2)
+    assert sorted(model.centroids.tolist()) == [[1.0, 2.0], [3.0, 4.0]] and model.cost == 0.0
+    assert kmeans_fit(frame(spark, np.zeros((4, 2))), 2, n_init=1).centroids.tolist() == [[0.0, 0.0]]
+    with pytest.raises(ValueError):
+        kmeans_fit(df.limit(0), 2)
+
+
+def test_equal_distances_go_to_the_lower_number():
+    centres = np.array([[1.0, 0.0], [-1.0, 0.0], [0.0, 1.0], [0.0, 1.0]])
+    assert kmeans.nearest(np.array([[0.0, 0.0], [0.0, 3.0], [-2.0, 0.0]]), centres).tolist() == [0, 2, 1]
 
 
 @pytest.mark.parametrize("source", ["train", "eval"])
