@@ -411,7 +411,7 @@ def count_phrases(docs: DataFrame, lengths: tuple[int, ...], least: int, passes:
 
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.col("text").cast("binary").alias("text"))
     runs = rows.where("text IS NOT NULL").mapInArrow(run, "part int, lang string, words int, run binary")
-    dealt = runs.repartition(tasks, "part").sortWithinPartitions("part", "lang", "words")
+    dealt = runs.repartition("part").sortWithinPartitions("part", "lang", "words")
     return dealt.mapInArrow(merge, "lang string, phrase string, words int, f bigint")
 
 
