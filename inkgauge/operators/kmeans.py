@@ -30,6 +30,7 @@ from inkgauge.operators.evaluation import (
     f1_positive,
 )
 
+TASK_BYTES = 1 << 26  # of vectors in a task
 SLICE = 1024  # rows compared with all centroids at once
 ROUNDS = 2  # of oversampling
 OVERSAMPLING = 2  # candidates a round draws, as a multiple of k
@@ -288,12 +289,16 @@ def kmeans_fit_all(
     asked for, there are fewer clusters.
     """
     models = [(k, run) for k in dict.fromkeys(ks) for run in range(n_init)]
-    rows = kmeans_rows(df).persist()
+    rows = kmeans_rows(df)
+    size = F.max(F.greatest(F.array_max("features"), -F.array_min("features")))
+    largest, n, dims = rows.agg(size, F.count(F.lit(1)), F.max(F.size("features"))).first()
+    if largest is None:
+        raise ValueError("cannot cluster an empty table")
+    scale = largest or 1.0
+    # every pass starts its tasks anew: no more of them than the cores or the rows' bytes ask for
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, n * dims * 8 // TASK_BYTES)
+    rows = rows.coalesce(tasks).persist()
     try:
-        largest = rows.agg(F.max(F.greatest(F.array_max("features"), -F.array_min("features")))).first()[0]
-        if largest is None:
-            raise ValueError("cannot cluster an empty table")
-        scale = largest or 1.0
         centres = _starts(rows, models, seed, scale)
         cost = [0.0] * len(models)
         active = list(range(len(models)))

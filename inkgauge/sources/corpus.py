@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from inkgauge import schema
 from inkgauge.session import spread
+from inkgauge.sources.quoted_csv import scan_quoted_csv
 
 # Texts hold quotes, line breaks and outer spaces, and must come back unchanged.
 CSV_OPTIONS = {
@@ -40,16 +41,15 @@ def scan_csv(
     others, and cast to their types. Types are given, so no pass over the data is
     spent on guessing them; only the header is read ahead.
 
-    A file with line breaks inside fields is read by one task: keep many files, or
-    convert to Parquet once.
+    Large files are read by many tasks (``sources.quoted_csv``), in two passes.
     """
     if isinstance(columns, str):
         columns = T.StructType.fromDDL(columns)
     # a missing value is null and a quoted empty one is an empty text: with the
     # default mark for null, which is the empty string, both would be null
     options = {**CSV_OPTIONS, "multiLine": "true", "nullValue": "\0"}
-    raw = spark.read.options(**options).csv(path)
-    return raw.select(*(F.col(f"`{c.name}`").cast(c.dataType).alias(c.name) for c in columns))
+    header = spark.read.options(**options).csv(path).columns
+    return scan_quoted_csv(spark, path, columns, header, options)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
