@@ -2,11 +2,17 @@
 
 ReLU layers and a sigmoid output; binary cross-entropy; class 1 above 0.5.
 
-Each epoch is one Spark job. A shard of the training rows starts from the current
-weights and Adam moments, takes mini-batch steps over its Arrow batches and
-returns its state in blocks; blocks are averaged on the executors, weighted by
-rows, and the driver receives the averaged state, whose size depends on the
-layers only. One shard is plain mini-batch Adam.
+Mini-batches follow one global order of the rows, new in every epoch: a hash of id,
+epoch and seed. Step by step the weights are those of a plain loop over these batches,
+for any number of tasks and any layout. The order is sorted in parallel and cut into
+ranges of whole batches; the ranges are tasks, and the state (weights and Adam moments)
+passes from range to range, since each step needs the one before it. A batch larger
+than a range is the other case: its ranges sum their gradients in parallel, one Spark
+job for each step. No task sees more than a range of RANGE_ROWS rows.
+
+With ``synchronous=False`` each of ``shards`` replicas takes its own mini-batch steps
+over its rows, from the same state, and the states are averaged after the epoch, on the
+executors in blocks and weighted by rows: one job per epoch and another model.
 
 Without a batch size an epoch is one step by the gradient of all rows: shards
 stream their Arrow batches and return sums of gradients, which are added on the
@@ -21,14 +27,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from inkgauge import schema
-from inkgauge.functions.vectors import list_array, matrix
+from inkgauge.functions.vectors import matrix
 from inkgauge.operators.scaling import Standardizer, StandardizerModel
+from inkgauge.session import remove_path, scratch_path
 
 BLOCK = 4096
+RANGE_ROWS = 16_384  # rows of an epoch's order that one task takes
+PREFIX = 4  # hex digits by which the order is sorted in parallel
 # Adam's decay rates and epsilon (Kingma & Ba 2015), and the floor
 # of a logarithm in the loss.
 BETA1, BETA2, EPSILON = 0.9, 0.999, 1e-8
@@ -184,6 +193,13 @@ def _blocks(vector: np.ndarray, rows: int, steps: int, loss: float, correct: int
     )
 
 
+def _collected(blocks: DataFrame) -> tuple[np.ndarray, dict]:
+    """The vector of collected blocks and the counts that came with them."""
+    rows = sorted(blocks.collect(), key=lambda b: b["block"])
+    values = [b["values"].toArray() if hasattr(b["values"], "toArray") else b["values"] for b in rows]
+    return np.concatenate(values), rows[0].asDict()
+
+
 _SHARD = "block int, values array<double>, n bigint, steps bigint, loss double, correct bigint"
 
 
@@ -193,6 +209,23 @@ def epoch_order(key: str, epoch: int | Column, seed: int) -> Column:
     return F.md5(F.concat_ws(":", F.col(key).cast("string"), epoch.cast("string"), F.lit(str(seed))))
 
 
+def place_in_epoch(rows: DataFrame, epoch: int | Column, seed: int, key: str = "id", out: str = "place") -> DataFrame:
+    """``rows`` plus their places (from 0) in the order of an epoch.
+
+    Places within a prefix of the hash plus the sizes of the prefixes before it: no
+    task sorts more than a prefix, and there are 16 ** PREFIX of them in an epoch.
+    """
+    epoch = F.lit(epoch) if isinstance(epoch, int) else epoch
+    hashed = rows.withColumn("_epoch", epoch).withColumn("_order", epoch_order(key, epoch, seed))
+    hashed = hashed.withColumn("_prefix", F.substring("_order", 1, PREFIX))
+    earlier = Window.partitionBy("_epoch").orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = hashed.groupBy("_epoch", "_prefix").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = sizes.select("_epoch", "_prefix", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    within = F.row_number().over(Window.partitionBy("_epoch", "_prefix").orderBy("_order", key)) - 1
+    placed = hashed.withColumn("_within", within).join(sizes, ["_epoch", "_prefix"])
+    return placed.select(*rows.columns, (F.col("_before") + F.col("_within")).alias(out))
+
+
 @dataclass
 class MlpModel:
     layers: list[int]
@@ -259,15 +292,15 @@ class MlpClassifier:
     rate: float = schema.LEARNING_RATE
     seed: int = schema.SEED
     standardize: bool = False
-    shards: int = schema.SHARDS
+    shards: int = schema.SHARDS  # tasks of a full-batch gradient, or replicas
+    synchronous: bool = True  # mini-batches of one global order
     start: np.ndarray | None = None  # weights to begin with; drawn with the seed if there are none
 
     def fit(self, train: DataFrame, val: DataFrame | None = None) -> MlpModel:
         """Train on (id, features, label); ``history`` has one row per epoch.
 
-        The rows are dealt out by a hash of their ids to ``shards`` replicas, whose
-        states are averaged after every epoch. The number is a parameter, so the same
-        rows give the same model on any cluster.
+        The same rows give the same model on any cluster: the batches follow from the
+        ids, and ``shards`` is a parameter.
         """
         spark = train.sparkSession
         rows = train.select("id", "features", F.col("label").cast("double").alias("label"))
@@ -278,8 +311,11 @@ class MlpClassifier:
                 raise ValueError("cannot train on an empty table")
             layers = self.layers or [len(one["features"]), *schema.LAYERS[1:]]
             scaler = Standardizer().fit(rows) if self.standardize else None
-            sharded = rows.repartition(self.shards, F.xxhash64("id")).persist()
-            held.append(sharded)
+            if self.batch_size is None or not self.synchronous:
+                rows = rows.repartition(self.shards, F.xxhash64("id"))
+            rows = rows.persist()
+            held.append(rows)
+            n = rows.count()
             if val is not None:
                 val = val.select("id", "features", "label").persist()
                 held.append(val)
@@ -288,7 +324,10 @@ class MlpClassifier:
             state = _State(start, np.zeros(size), np.zeros(size), 0)
             history = []
             for epoch in range(1, self.epochs + 1):
-                state, loss, share = self._epoch(sharded, state, layers, scaler, epoch)
+                if self.batch_size is None or not self.synchronous:
+                    state, loss, share = self._epoch(rows, state, layers, scaler, epoch)
+                else:
+                    state, loss, share = self._ordered_epoch(rows, n, state, layers, scaler, epoch)
                 model = MlpModel(layers, state.weights, scaler)
                 seen = model.validate(val).first() if val is not None else None
                 history.append(
@@ -304,6 +343,54 @@ class MlpClassifier:
         )
         return model
 
+    def _ordered_epoch(self, rows: DataFrame, n: int, state: _State, layers, scaler, epoch: int):
+        """One pass over the batches of the global order."""
+        size = self.batch_size
+        loss = correct = 0
+        if size <= RANGE_ROWS:
+            width = RANGE_ROWS // size * size
+            for part in self._ranges(rows, n, width, epoch):
+                run = _shard_epoch(state, layers, size, self.rate, scaler)
+                vector, one = _collected(part.drop("id").mapInArrow(run, _SHARD))
+                state = _State(*vector.reshape(3, -1), state.step + one["steps"])
+                loss, correct = loss + one["loss"], correct + one["correct"]
+        else:
+            for part in self._ranges(rows, n, size, epoch):
+                run = _shard_gradient(state.weights, layers, scaler)
+                sums = part.drop("id").mapInArrow(run, _SHARD).groupBy("block").agg(
+                    Summarizer.sum(array_to_vector("values")).alias("values"),
+                    *(F.sum(c).alias(c) for c in ("n", "loss", "correct")),
+                )
+                vector, one = _collected(sums)
+                state = _State(state.weights, state.first, state.second, state.step)
+                state.update(vector / one["n"], self.rate)
+                loss, correct = loss + one["loss"], correct + one["correct"]
+        return state, loss / n, correct / n
+
+    def _ranges(self, rows: DataFrame, n: int, width: int, epoch: int):
+        """The rows of an epoch's order in ranges of ``width``, each sorted within tasks.
+
+        Small tables are one range and are sorted by one task. Others are written
+        range by range, so that a lost executor costs the range it was in.
+        """
+        if n <= min(width, RANGE_ROWS):
+            yield rows.coalesce(1).sortWithinPartitions(epoch_order("id", epoch, self.seed), "id")
+            return
+        spark = rows.sparkSession
+        path = scratch_path(spark, "epoch")
+        placed = place_in_epoch(rows, epoch, self.seed).withColumn("_range", F.expr(f"place div {width}"))
+        dealt = placed.repartition("_range", F.expr(f"place div {RANGE_ROWS}") if width > RANGE_ROWS else F.lit(0))
+        dealt.sortWithinPartitions("_range", "place").write.partitionBy("_range").parquet(path)
+        columns = placed.drop("_range").schema
+        try:
+            for r in range(-(-n // width)):
+                part = spark.read.schema(columns).parquet(f"{path}/_range={r}")
+                if width <= RANGE_ROWS:
+                    part = part.coalesce(1).sortWithinPartitions("place")
+                yield part.drop("place")
+        finally:
+            remove_path(spark, path)
+
     def _epoch(self, sharded: DataFrame, state: _State, layers, scaler, epoch: int):
         """One pass in a new order of the rows of every shard."""
         shuffled = sharded.sortWithinPartitions(epoch_order("id", epoch, self.seed), "id")

@@ -3,7 +3,7 @@
 The ``_full`` queries fit the models in their real size; tests check them by
 property. The others fit the same operators where SQL can compute the result: two
 columns for principal components, nested groups for clusters, small
-nets and one full-batch step for the perceptron.
+nets over whole vectors and one full-batch step for the perceptron.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from inkgauge.operators.kmeans import (
     kmeans_fit_all,
 )
 from inkgauge.operators.kmeans import kmeans_grid_search as search_clusters
-from inkgauge.operators.mlp import MlpClassifier, MlpModel, epoch_order, initial_parameters
+from inkgauge.operators.mlp import MlpClassifier, MlpModel, initial_parameters, place_in_epoch
 from inkgauge.operators.pca import PcaReport
 from inkgauge.operators.scaling import Standardizer
 from inkgauge.operators.splits import split_random, split_stratified
@@ -33,19 +33,6 @@ from inkgauge.session import scratch_path
 from inkgauge.sources.corpus import scan_csv
 
 
-def place_in_epoch(rows):
-    """Rank by hash within an epoch: counts per hash prefix, then ranks within a prefix."""
-    from pyspark.sql import Window
-
-    prefixed = rows.withColumn("prefix", F.substring("order", 1, 3))
-    earlier = Window.partitionBy("epoch").orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = prefixed.groupBy("epoch", "prefix").agg(F.count("*").alias("n"))
-    sizes = sizes.select("epoch", "prefix", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    within = F.row_number().over(Window.partitionBy("epoch", "prefix").orderBy("order"))
-    placed = prefixed.withColumn("within", within).join(sizes, ["epoch", "prefix"])
-    return placed.select("epoch", "id", (F.col("before") + F.col("within")).cast("int").alias("place"))
-
-
 def _model_rows(spark, sf):
     return P.model_rows(processed(spark, sf))
 
@@ -197,10 +184,10 @@ def _(spark, sf):
        FROM embeddings, (SELECT unnest([1, 2]) AS epoch)""",
 )
 def _(spark, sf):
-    # place of each row in the training order of two epochs
+    # place of each row in the training order of two epochs, by the function training calls
     rows = vectors(spark, sf).select("id", F.explode(F.array(F.lit(1), F.lit(2))).alias("epoch"))
-    rows = rows.withColumn("order", epoch_order("id", F.col("epoch"), schema.SEED))
-    return place_in_epoch(rows)
+    placed = place_in_epoch(rows, F.col("epoch"), schema.SEED)
+    return placed.select("epoch", "id", (F.col("place") + 1).cast("int").alias("place"))
 
 
 # -- principal components of two columns -----------------------------------------------
@@ -401,28 +388,26 @@ def sql_w(i):
     return SQL_W.format(i=i)
 
 
-def _two_dims(spark, sf):
-    """The first two numbers of each vector."""
-    return vectors(spark, sf).withColumn("features", F.slice("features", 1, 2))
-
-
-SQL_DIMS = f"""two AS (SELECT id, label, split, v[1] AS a, v[2] AS b FROM ({sql_split(SQL_VECTORS)}))"""
-# one output unit: p = s(w0 a + w1 b + w2)
+DIMS = 64  # numbers in a vector of the embeddings table
+SQL_DIMS = f"""vecs AS (SELECT id, label, split, v FROM ({sql_split(SQL_VECTORS)}))"""
+# one output unit: p = s(w . v + c)
 SQL_LINEAR = f"""WITH {SQL_DIMS},
-start AS (SELECT *, 1 / (1 + exp(-(a * {sql_w(0)} + b * {sql_w(1)} + {sql_w(2)}))) AS p FROM two),
-grad AS (SELECT avg((p - label) * a) AS ga, avg((p - label) * b) AS gb, avg(p - label) AS gc FROM start WHERE split = 'train'),
-step AS (SELECT {sql_w(0)} - {schema.LEARNING_RATE}::DOUBLE * ga / (abs(ga) + 1e-8) AS wa,
-                {sql_w(1)} - {schema.LEARNING_RATE}::DOUBLE * gb / (abs(gb) + 1e-8) AS wb,
-                {sql_w(2)} - {schema.LEARNING_RATE}::DOUBLE * gc / (abs(gc) + 1e-8) AS wc FROM grad),
-after AS (SELECT id, label, split, 1 / (1 + exp(-(a * wa + b * wb + wc))) AS p FROM two, step)"""
+net AS (SELECT list({sql_w('i')} ORDER BY i) AS w, {sql_w(DIMS)} AS c FROM range({DIMS}) AS t(i)),
+start AS (SELECT *, 1 / (1 + exp(-(list_dot_product(v, w) + c))) AS p FROM vecs, net),
+grad AS (SELECT pos, avg((p - label) * x) AS g FROM
+    (SELECT p, label, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM start WHERE split = 'train') GROUP BY pos),
+step AS (SELECT list(net.w[pos] - {schema.LEARNING_RATE}::DOUBLE * g / (abs(g) + 1e-8) ORDER BY pos) AS w,
+    any_value(net.c) - any_value({schema.LEARNING_RATE}::DOUBLE * gc / (abs(gc) + 1e-8)) AS c
+    FROM grad, net, (SELECT avg(p - label) AS gc FROM start WHERE split = 'train')),
+after AS (SELECT id, label, split, 1 / (1 + exp(-(list_dot_product(v, step.w) + step.c))) AS p FROM vecs, step)"""
 SQL_LOSS = "round(avg(-(label * ln(p) + (1 - label) * ln(1 - p))), 8)"
 SQL_RIGHT = "round(avg(((p > 0.5)::INT = label)::INT)::DOUBLE, 8)"
 
 
 def _one_step(spark, sf):
     """A net of one unit after one full-batch epoch from the given start."""
-    train, val, test = P.parts(split_random(_two_dims(spark, sf)))
-    trainer = MlpClassifier([2, 1], epochs=1, batch_size=None, start=_start(3))
+    train, val, test = P.parts(split_random(vectors(spark, sf)))
+    trainer = MlpClassifier([DIMS, 1], epochs=1, batch_size=None, start=_start(DIMS + 1))
     return trainer.fit(train, val), val, test
 
 
@@ -432,15 +417,16 @@ def _rounded(df, *columns):
 
 @query(
     "mlp_forward",
-    f"""WITH {SQL_DIMS}, hidden AS (SELECT id,
-        greatest(0, a * {sql_w(0)} + b * {sql_w(2)} + {sql_w(4)}) AS g,
-        greatest(0, a * {sql_w(1)} + b * {sql_w(3)} + {sql_w(5)}) AS h FROM two),
-    p AS (SELECT id, 1 / (1 + exp(-(g * {sql_w(6)} + h * {sql_w(7)} + {sql_w(8)}))) AS p FROM hidden)
+    f"""WITH {SQL_DIMS}, net AS (SELECT list({sql_w('2 * i')} ORDER BY i) AS w, list({sql_w('(2 * i + 1)')} ORDER BY i) AS u
+        FROM range({DIMS}) AS t(i)),
+    hidden AS (SELECT id, greatest(0, list_dot_product(v, w) + {sql_w(2 * DIMS)}) AS g,
+        greatest(0, list_dot_product(v, u) + {sql_w(2 * DIMS + 1)}) AS h FROM vecs, net),
+    p AS (SELECT id, 1 / (1 + exp(-(g * {sql_w(2 * DIMS + 2)} + h * {sql_w(2 * DIMS + 3)} + {sql_w(2 * DIMS + 4)}))) AS p FROM hidden)
     SELECT id, round(p, 8) AS probability, (p > 0.5)::INT AS predicted FROM p""",
 )
 def _(spark, sf):
-    model = MlpModel([2, 2, 1], _start(9))
-    return _rounded(model.transform(_two_dims(spark, sf)).select("id", "probability", "predicted"), "probability")
+    model = MlpModel([DIMS, 2, 1], _start(2 * DIMS + 5))
+    return _rounded(model.transform(vectors(spark, sf)).select("id", "probability", "predicted"), "probability")
 
 
 @query(
@@ -448,8 +434,8 @@ def _(spark, sf):
     SQL_LINEAR + f" SELECT {SQL_LOSS} AS loss, {SQL_RIGHT} AS accuracy, count(*) AS total FROM start WHERE split = 'val'",
 )
 def _(spark, sf):
-    _, val, _ = P.parts(split_random(_two_dims(spark, sf)))
-    return _rounded(MlpModel([2, 1], _start(3)).validate(val), "loss", "accuracy")
+    _, val, _ = P.parts(split_random(vectors(spark, sf)))
+    return _rounded(MlpModel([DIMS, 1], _start(DIMS + 1)).validate(val), "loss", "accuracy")
 
 
 @query("epoch_loss", SQL_LINEAR + f" SELECT {SQL_LOSS} AS train_loss, {SQL_RIGHT} AS train_accuracy FROM start WHERE split = 'train'")
@@ -472,7 +458,7 @@ def _(spark, sf):
 @query("mlp_train", SQL_LINEAR + " SELECT id, round(p, 8) AS probability FROM after")
 def _(spark, sf):
     model = _one_step(spark, sf)[0]
-    return _rounded(model.transform(_two_dims(spark, sf)).select("id", "probability"), "probability")
+    return _rounded(model.transform(vectors(spark, sf)).select("id", "probability"), "probability")
 
 
 @query("mlp_evaluate", SQL_LINEAR + " SELECT id, label, (p > 0.5)::INT AS predicted FROM after WHERE split = 'test'")
@@ -490,5 +476,5 @@ def _(spark, sf):
     LEFT JOIN s ON s.label = a.x AND s.predicted = p.x GROUP BY a.x, p.x""",
 )
 def _(spark, sf):
-    net = {"layers": [2, 1], "batch_size": None, "start": _start(3)}
-    return P.mlp_run(_two_dims(spark, sf), epochs=1, **net)[2]
+    net = {"layers": [DIMS, 1], "batch_size": None, "start": _start(DIMS + 1)}
+    return P.mlp_run(vectors(spark, sf), epochs=1, **net)[2]

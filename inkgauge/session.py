@@ -96,13 +96,17 @@ def remove_copies(spark: SparkSession) -> int:
     job or of the session.
     """
     paths = _COPIES.pop(spark.sparkContext.applicationId, [])
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     for path in paths:
-        place = hadoop.Path(path)
-        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+        remove_path(spark, path)
     return len(paths)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared storage, if it exists."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use every core on an input of few files.
 

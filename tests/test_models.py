@@ -1,3 +1,4 @@
+import hashlib
 import weakref
 
 import numpy as np
@@ -168,6 +169,50 @@ def test_one_shard_is_plain_adam(spark):
     assert got == pytest.approx(w, abs=1e-12)
 
 
+def plain_training(df, layers, epochs, batch, rate=1e-3):
+    """A loop over the batches of each epoch's order."""
+    rows = df.collect()
+    state = mlp._State(mlp.initial_parameters(layers, 42), *np.zeros((2, mlp.n_parameters(layers))), 0)
+    losses = []
+    for epoch in range(1, epochs + 1):
+        rows.sort(key=lambda r: (hashlib.md5(f"{r.id}:{epoch}:42".encode()).hexdigest(), r.id))
+        x, y = np.array([r.features for r in rows]), np.array([[r.label] for r in rows])
+        loss = 0.0
+        for at in range(0, len(y), batch):
+            steps = mlp.forward(state.weights, layers, x[at : at + batch])
+            loss += mlp.loss_sum(steps[-1], y[at : at + batch])
+            state.update(mlp.gradient(state.weights, layers, steps, y[at : at + batch]), rate)
+        losses.append(loss / len(y))
+    return state.weights, losses
+
+
+@pytest.mark.parametrize(
+    "batch, rows, partitions, epochs",
+    [(16, 64, 5, 3), (24, 50, 2, 2), (64, 1 << 14, 3, 25), (60, 25, 4, 2)],  # the last: batches larger than a range
+)
+def test_synchronous_training_is_a_plain_loop(spark, monkeypatch, batch, rows, partitions, epochs):
+    monkeypatch.setattr(mlp, "RANGE_ROWS", rows)
+    df = moons(spark, 150)
+    got = mlp.MlpClassifier(LAYERS, epochs=epochs, batch_size=batch).fit(df.repartition(partitions))
+    weights, losses = plain_training(df, LAYERS, epochs, batch)
+    assert got.weights == pytest.approx(weights, abs=1e-9)
+    assert [h.train_loss for h in got.history.orderBy("epoch").collect()] == pytest.approx(losses, abs=1e-9)
+
+
+def test_places_are_the_order_of_training(spark):
+    df = moons(spark, 90).select("id")
+    order = [r.id for r in df.orderBy(mlp.epoch_order("id", 2, 42), "id").collect()]
+    placed = mlp.place_in_epoch(df.repartition(3), 2, 42).orderBy("place").collect()
+    assert [(r.id, r.place) for r in placed] == list(zip(order, range(90)))
+
+
+@pytest.mark.parametrize("shards", [1, 3])
+def test_replicas_are_averaged(spark, shards):
+    df = moons(spark)
+    trainer = mlp.MlpClassifier([4, 16, 8, 1], epochs=12, batch_size=16, rate=1e-2, shards=shards, synchronous=False)
+    assert trainer.fit(df, df).validate(df).first().accuracy > 0.9
+
+
 @pytest.mark.parametrize("shards", [1, 3])
 def test_full_batch_is_one_step_for_any_shards(spark, shards):
     df = moons(spark, 90)
