@@ -246,6 +246,50 @@ def _(spark, sf):
     return model.projection(rows).select("id", *sizes, "label")
 
 
+# -- principal components of all features by their properties ---------------------------
+
+# Scores are the principal components' if and only if they are a rotation of the
+# standardised features (lengths stay), uncorrelated, and of falling variance.
+_Z = {c: f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER ()" for c in schema.NUMERIC_COLS}
+SQL_PROPERTIES = f"""WITH f AS ({SQL_CHUNK_FEATURES}), z AS (SELECT id * (max(chunk_idx) OVER () + 1) + chunk_idx AS id,
+    {', '.join(f'{e} AS {c}' for c, e in _Z.items())} FROM f)
+SELECT 'squared length' AS property, id AS key, round({' + '.join(f'{c}^2' for c in _Z)}, 5) AS value FROM z
+UNION ALL SELECT 'covariance', 10 * i + j, 0.0::DOUBLE FROM range({len(_Z)}) a(i), range({len(_Z)}) b(j) WHERE i < j
+UNION ALL SELECT 'variance falls', i, 1.0::DOUBLE FROM range(1, {len(_Z)}) t(i)
+UNION ALL SELECT 'percent explained', 0, 100.0::DOUBLE"""
+
+
+@query("pca_properties", SQL_PROPERTIES)
+def _(spark, sf):
+    rows = processed(spark, sf)
+    chunks = rows.agg(F.max("chunk_idx").cast("bigint") + 1).scalar()
+    n = len(schema.NUMERIC_COLS)
+    rows = rows.select(
+        (F.col("id") * chunks + F.col("chunk_idx")).alias("id"),
+        F.array(*(F.col(c).cast("double") for c in schema.NUMERIC_COLS)).alias("features"),
+    )
+    model = PcaReport(n).fit(rows)
+    scored = model.transform(rows)
+    score = [F.col("pca")[i] for i in range(n)]
+    lengths = scored.select("id", rounded(sum(x * x for x in score), 5).alias("value"))
+    pairs = [(10 * i + j, F.covar_pop(score[i], score[j])) for i in range(n) for j in range(i + 1, n)]
+    falls = [(i, (F.var_pop(score[i - 1]) >= F.var_pop(score[i])).cast("double")) for i in range(1, n)]
+
+    def cells(name, found):
+        return F.array(*(F.struct(F.lit(name).alias("property"), F.lit(k).cast("bigint").alias("key"), rounded(v, 5).alias("value")) for k, v in found))
+
+    measured = scored.agg(
+        F.concat(
+            cells("covariance", pairs),
+            cells("variance falls", falls),
+            cells("percent explained", [(0, F.lit(100.0 * float(model.explained.sum())))]),
+        ).alias("cells")
+    )
+    return lengths.select(F.lit("squared length").alias("property"), F.col("id").alias("key"), "value").unionAll(
+        measured.select(F.inline("cells"))
+    )
+
+
 # -- clusters of nested groups --------------------------------------------------------
 
 # labelled documents in two halves of two languages each, a language in two groups by
