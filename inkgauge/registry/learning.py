@@ -251,7 +251,7 @@ def _(spark, sf):
 # Scores are the principal components' if and only if they are a rotation of the
 # standardised features (lengths stay), uncorrelated, and of falling variance.
 _Z = {c: f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER ()" for c in schema.NUMERIC_COLS}
-SQL_PROPERTIES = f"""WITH f AS ({SQL_CHUNK_FEATURES}), z AS (SELECT id * (max(chunk_idx) OVER () + 1) + chunk_idx AS id,
+SQL_PROPERTIES = f"""WITH f AS (SELECT id, chunk_idx, {', '.join(f'{c}::FLOAT::DOUBLE AS {c}' for c in _Z)} FROM ({SQL_CHUNK_FEATURES})), z AS (SELECT id * (max(chunk_idx) OVER () + 1) + chunk_idx AS id,
     {', '.join(f'{e} AS {c}' for c, e in _Z.items())} FROM f)
 SELECT 'squared length' AS property, id AS key, round({' + '.join(f'{c}^2' for c in _Z)}, 5) AS value FROM z
 UNION ALL SELECT 'covariance', 10 * i + j, 0.0::DOUBLE FROM range({len(_Z)}) a(i), range({len(_Z)}) b(j) WHERE i < j
