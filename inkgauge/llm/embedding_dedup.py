@@ -1,9 +1,17 @@
 """Near-duplicate vectors by spherical k-means cells and blocked cosine products.
 
-Unit centroids divide the sphere into cells. A vector lives in the cell of its
-nearest centroid h and visits every cell c in which a partner may live: if x lives
-in c and |x - y| <= r = sqrt(2 - 2 t), then <y, h> - <y, c> <= r |h - c|. A vector
-thus meets all its partners in its own cell, and no link is lost.
+Unit centroids divide the sphere into cells; since only vectors of one label are
+compared, there are as many cells as the largest label needs. A vector lives in the
+cell of its nearest centroid h and visits cells c in which a partner may live: if x
+lives in c and y = x + e, then <y, h> - <y, c> <= <e, h - c>. With |e| at most
+r = sqrt(2 - 2 t) that is at most r |h - c|, whatever the direction of e, and with
+``margin`` = 1 a vector meets all its partners in its own cell. In many dimensions e
+hardly ever points along h - c: its part in that direction is r / sqrt(d) or so. The
+default margin is WIDE times that share (all of it up to 16 dimensions, one half in
+64), which makes a vector visit a few cells instead of most; the tests measure recall.
+
+Beyond COARSE cells, each is divided again, by centroids fitted inside it, with the
+same rule for visits.
 """
 
 from __future__ import annotations
@@ -17,11 +25,15 @@ from pyspark.sql import functions as F
 
 from inkgauge.llm.frames import components, map_batches, sample_per_class, written
 
-PER_CELL = 2048  # vectors for each cell, as long as there are fewer than MOST_CELLS
-MOST_CELLS = 1024
-SAMPLE = 16384  # vectors the centroids are fitted on, at most
+PER_CELL = 2048  # vectors of the largest label in a cell, about
+COARSE = 256  # cells of the first level
+FINE = 256  # cells into which one of them is divided, at most
+SAMPLE = 16384  # vectors the centroids of the first level are fitted on, at most
+INNER_SAMPLE = 4096  # vectors the centroids inside a cell are fitted on, at most
 ROUNDS = 10
-BLOCK = 1024  # rows of one side of a product
+BLOCK = 4096  # rows of one side of a product
+STRIP = 512  # of them multiplied at once
+WIDE = 4.0
 _SLACK = 1e-9
 
 
@@ -45,35 +57,84 @@ def _unit(values: pd.Series) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _assign(centroids: dict[int, np.ndarray], threshold: float):
-    reach = np.sqrt(max(0.0, 2.0 - 2.0 * threshold))
+class Cells:
+    """Centroids of one dimensionality: the first level and, if there is one, the second."""
+
+    def __init__(self, coarse: np.ndarray, inner: dict[int, np.ndarray] | None = None):
+        self.coarse, self.inner = coarse, inner or {}
+
+    def home(self, x: np.ndarray) -> np.ndarray:
+        return (x @ self.coarse.T).argmax(1)
+
+    def visits(self, x: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, cell, whether it lives there) of each cell a vector visits."""
+        row, cell, lives = _visited(x, self.coarse, reach)
+        if not self.inner:
+            return row, cell.astype(np.int64), lives
+        found = []
+        for c in np.unique(cell).tolist():
+            at = np.flatnonzero(cell == c)
+            if c not in self.inner:  # a cell without a vector of the sample
+                found.append((row[at], np.full(len(at), c * FINE), lives[at]))
+                continue
+            inner_row, inner_cell, inner_lives = _visited(x[row[at]], self.inner[c], reach)
+            found.append((row[at][inner_row], c * FINE + inner_cell, lives[at][inner_row] & inner_lives))
+        return tuple(np.concatenate(parts) for parts in zip(*found, strict=True))
+
+
+def _visited(x: np.ndarray, centroids: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    sims = x @ centroids.T
+    home = sims.argmax(1)
+    best = sims[np.arange(len(x)), home]
+    apart = np.linalg.norm(centroids[:, None] - centroids[None], axis=2)
+    row, cell = np.nonzero(best[:, None] - sims <= reach * apart[home] + _SLACK)
+    return row, cell, home[row] == cell
+
 
+def _assign(cells: dict[int, Cells], reach: dict[int, float]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        spread = {d: np.linalg.norm(c[:, None] - c[None], axis=2) for d, c in centroids.items()}
         for pdf in batches:
             out = []
             for dim, part in pdf.groupby("dim"):
-                sims = _unit(part["vec"]) @ centroids[dim].T
-                home = sims.argmax(1)
-                best = sims[np.arange(len(part)), home]
-                row, cell = np.nonzero(best[:, None] - sims <= reach * spread[dim][home] + _SLACK)
-                out.append(
-                    pd.DataFrame(
-                        {
-                            "rep": part["rep"].to_numpy()[row],
-                            "label": part["label"].to_numpy()[row],
-                            "dim": dim,
-                            "cell": cell,
-                            "home": home[row] == cell,
-                        }
-                    )
-                )
+                row, cell, home = cells[dim].visits(_unit(part["vec"]), reach[dim])
+                rep, label = part["rep"].to_numpy()[row], part["label"].to_numpy()[row]
+                out.append(pd.DataFrame({"rep": rep, "label": label, "dim": dim, "cell": cell, "home": home}))
             if out:
                 yield pd.concat(out)
 
     return run
 
 
+def _fit_cells(classes: DataFrame, dim: int, needed: int) -> Cells:
+    """Centroids fitted on bounded samples; ``needed`` cells of two levels at most."""
+    own = classes.where(F.col("dim") == dim).select("dim", "rep", "vec")
+    sample = sample_per_class(own, "dim", F.xxhash64("rep"), SAMPLE)
+    sample = sample.select("rep", "vec").toPandas().drop_duplicates("rep").sort_values("rep")
+    coarse = Cells(spherical_kmeans(_unit(sample["vec"]), min(len(sample), COARSE, needed)))
+    if needed <= COARSE:
+        return coarse
+    inside = min(FINE, -(-needed // len(coarse.coarse)))
+
+    def homes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if len(pdf):
+                yield pdf.assign(cell=coarse.home(_unit(pdf["vec"])).astype("int32"))[["rep", "vec", "cell"]]
+
+    def fit(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.drop_duplicates("rep").sort_values("rep")
+        found = spherical_kmeans(_unit(pdf["vec"]), min(inside, len(pdf)))
+        return pd.DataFrame({"cell": key[0], "centroid": list(found)})
+
+    placed = written(map_batches(own, homes, f"rep bigint, vec {own.schema['vec'].dataType.simpleString()}, cell int"), "homes")
+    sampled = sample_per_class(placed, "cell", F.xxhash64("rep"), INNER_SAMPLE).select("cell", "rep", "vec")
+    # COARSE x FINE centroids at most
+    rows = sampled.groupBy("cell").applyInPandas(fit, "cell int, centroid array<double>").collect()
+    inner: dict[int, list] = {}
+    for r in rows:
+        inner.setdefault(r["cell"], []).append(r["centroid"])
+    return Cells(coarse.coarse, {c: np.array(sorted(v)) for c, v in inner.items()})
+
+
 def local_links(
     left: np.ndarray, right: np.ndarray, left_ids: np.ndarray, right_ids: np.ndarray, weights: np.ndarray, threshold: float
 ) -> tuple[np.ndarray, list[tuple[int, int]]]:
@@ -103,13 +164,15 @@ def _compare(threshold: float):
         left, right = pdf[pdf["left"]], pdf[pdf["right"]]
         if not len(left) or not len(right):
             return pd.DataFrame({"a": [], "b": [], "links": []}, dtype="int64")
-        counts, edges = local_links(
-            _unit(left["vec"]), _unit(right["vec"]), left["rep"].to_numpy(), right["rep"].to_numpy(),
-            right["weight"].to_numpy(), threshold,
-        )
-        some = counts > 0
-        found = [(int(r), None, int(c)) for r, c in zip(left["rep"].to_numpy()[some], counts[some], strict=True)]
-        found += [(a, b, None) for a, b in edges]
+        x, y = _unit(left["vec"]), _unit(right["vec"])
+        left_ids, right_ids, weights = left["rep"].to_numpy(), right["rep"].to_numpy(), right["weight"].to_numpy()
+        found = []
+        for at in range(0, len(x), STRIP):
+            strip = slice(at, at + STRIP)
+            counts, edges = local_links(x[strip], y, left_ids[strip], right_ids, weights, threshold)
+            some = counts > 0
+            found += [(int(r), None, int(c)) for r, c in zip(left_ids[strip][some], counts[some], strict=True)]
+            found += [(a, b, None) for a, b in edges]
         return pd.DataFrame(found, columns=["a", "b", "links"]).astype("Int64")
 
     return run
@@ -121,9 +184,13 @@ def embedding_near_dedup(
     vector_col: str = "embedding",
     label_col: str = "label",
     threshold: float = 0.98,
+    margin: float | None = None,
 ) -> DataFrame:
     """(id, n_links, component_id, kept) per row: links of cosine >= threshold within a label.
 
+    ``margin`` is the share of the worst case by which a vector visits cells beside
+    its own: 1 finds every link, whatever the vectors; None is WIDE / sqrt(dimensions).
+
     Vectors are compared only when their labels are equal and not null and their
     lengths are equal. Rows whose vector is null, empty or zero or holds null or
     non-finite components, and rows without label or id, link with nothing
@@ -135,7 +202,9 @@ def embedding_near_dedup(
     Cells are cut into blocks of bounded size, so a crowded cell is many products;
     counts and spanning edges leave a product, never its pairs.
     """
-    vec = F.col(vector_col).cast("array<double>")
+    # single precision travels as it is and is widened where it is compared
+    single = vectors.schema[vector_col].dataType.simpleString() == "array<float>"
+    vec = F.col(vector_col) if single else F.col(vector_col).cast("array<double>")
     rows = vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(label_col).alias("label"), vec.alias("vec"))
     finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     usable = F.col("id").isNotNull() & F.col("label").isNotNull() & finite & F.exists("vec", lambda x: x != 0.0)
@@ -148,17 +217,14 @@ def embedding_near_dedup(
         .withColumn("dim", F.size("vec"))
     )
     classes = written(classes, "classes")
-    centroids = {}
-    for dim, n in classes.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect():
-        own = classes.where(F.col("dim") == dim)
-        sample = sample_per_class(own.select("dim", "rep", "vec"), "dim", F.xxhash64("rep"), SAMPLE)
-        sample = sample.select("rep", "vec").toPandas().drop_duplicates("rep").sort_values("rep")
-        k = min(len(sample), MOST_CELLS, max(1, n // PER_CELL))
-        centroids[dim] = spherical_kmeans(_unit(sample["vec"]), k)
+    largest = classes.groupBy("dim", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("dim").agg(F.max("n").alias("n"))
+    fitted = {dim: _fit_cells(classes, dim, max(1, n // PER_CELL)) for dim, n in largest.collect()}
+    worst = float(np.sqrt(max(0.0, 2.0 - 2.0 * threshold)))
+    reach = {dim: worst * (min(1.0, WIDE / np.sqrt(dim)) if margin is None else margin) for dim in fitted}
     cells = map_batches(
         classes.select("rep", "label", "dim", "vec"),
-        _assign(centroids, threshold),
-        f"rep bigint, label {classes.schema['label'].dataType.simpleString()}, dim int, cell int, home boolean",
+        _assign(fitted, reach),
+        f"rep bigint, label {classes.schema['label'].dataType.simpleString()}, dim int, cell bigint, home boolean",
     )
     cells = written(cells, "cells")
     by = ["label", "dim", "cell"]

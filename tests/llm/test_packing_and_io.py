@@ -388,8 +388,27 @@ def plain_vectors(rows, threshold):
     return sorted((rows[i][0] is None, rows[i][0] or 0, links[i], least.get(top(i))) for i in range(n))
 
 
-@pytest.mark.parametrize("per_cell", [16, 5000])
-def test_vectors_equal_brute_force(spark, monkeypatch, per_cell):
+def test_recall_of_the_default_margin(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "PER_CELL", 8)
+    rng = np.random.default_rng(4)
+    rows = []
+    for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").orderBy("vec_id").collect():
+        v = np.array(r.embedding) / np.linalg.norm(r.embedding)
+        rows.append((len(rows), v.tolist(), r.label))
+        for _ in range(2):  # partners up to the threshold and a little beyond
+            e = rng.normal(size=len(v))
+            rows.append((len(rows), (v + e / np.linalg.norm(e) * rng.uniform(0, 0.22)).tolist(), r.label))
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int").repartition(4)
+    found = {m: embedding_dedup.embedding_near_dedup(df, margin=m) for m in (None, 1.0)}
+    links = {m: f.agg({"n_links": "sum"}).first()[0] for m, f in found.items()}
+    assert links[1.0] > 2000
+    assert links[1.0] >= links[None] >= 0.99 * links[1.0]
+
+
+@pytest.mark.parametrize("per_cell, coarse", [(16, 256), (5000, 256), (4, 3)])
+def test_vectors_equal_brute_force(spark, monkeypatch, per_cell, coarse):
+    monkeypatch.setattr(embedding_dedup, "COARSE", coarse)  # three cells: a second level
+    monkeypatch.setattr(embedding_dedup, "STRIP", 7)
     monkeypatch.setattr(embedding_dedup, "PER_CELL", per_cell)
     monkeypatch.setattr(embedding_dedup, "BLOCK", 20)
     rng = np.random.default_rng(2)
