@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkgauge.llm.frames import map_batches, ranked, written
-from inkgauge.llm.tokens import Tokens
+from inkgauge.llm.tokens import shared
 
 SLOTS = "slot_length int, first long, last long, sequence long, per long, used int"
 
@@ -64,7 +64,7 @@ def plan_slots(histogram: dict[int, int], capacity: int) -> list[tuple[int, int,
 
 def _pieces(path: str, capacity: int, end_id: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokens, end = Tokens(path), np.array([end_id], np.uint32)
+        tokens, end = shared(path), np.array([end_id], np.uint32)
         for pdf in batches:
             rows = []
             for key, text in zip(pdf["id"].astype(object), pdf["text"], strict=True):

@@ -21,7 +21,8 @@ from inkgauge.llm.packing import pack_best_fit
 from inkgauge.llm.quality import learn_quality, score_quality
 from inkgauge.llm.spelling import spelling_variants
 from inkgauge.llm.syncmers import fingerprint_edits
-from inkgauge.llm.token_matrix import matrix_digests, pack_token_matrix
+from inkgauge.llm.token_matrix import matrix_digests, read_matrix, write_matrix
+from inkgauge.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,8 +82,9 @@ def op9_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op10_token_matrix(spark: SparkSession, sf: str) -> DataFrame:
-    packed = pack_token_matrix(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
-    return matrix_digests(packed)
+    folder = scratch_path(spark, "matrix")
+    files = write_matrix(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), folder)
+    return matrix_digests(read_matrix(spark, folder, files))
 
 
 def op11_phrase_collocations(spark: SparkSession, sf: str) -> DataFrame:

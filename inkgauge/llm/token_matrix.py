@@ -3,21 +3,28 @@
 Documents are encoded, cut losslessly where they are longer than a sequence, and
 dealt out to shards of bounded size. Within a shard, pieces go in descending
 length to the open sequence with the least sufficient room, which a segment tree
-over the room left finds in a logarithmic number of steps.
+over the room left finds in a logarithmic number of steps. The task that packs a
+shard writes its matrix as one Parquet file (rows of ids and positions as
+little-endian bytes, with the ends of the segments) and returns the file's name, so
+nothing but names leaves it.
 """
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkgauge.llm.frames import map_batches
-from inkgauge.llm.tokens import Tokens
+from inkgauge.llm.frames import map_batches, written
+from inkgauge.llm.tokens import shared
 
 SHARD_BYTES = 8 << 20  # of text for each shard
 ID_TYPE = "<u4"
@@ -78,7 +85,7 @@ def best_fit_decreasing(lengths: list[int], capacity: int) -> list[list[int]]:
 
 def _encode(path: str, capacity: int, end_id: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokens, end = Tokens(path), np.array([end_id], np.uint32)
+        tokens, end = shared(path), np.array([end_id], np.uint32)
         for pdf in batches:
             rows = []
             for key, text in zip(pdf["id"].astype(object), pdf["text"], strict=True):
@@ -144,20 +151,61 @@ def pack_token_matrix(
     packed like others; in a shard, ties of length go by id, piece and content. An
     empty table gives an empty result.
 
-    The number of shards follows the bytes of text, and a piece's shard a hash of
-    id and piece, so a shard has a bounded size whatever the documents' lengths.
+    The number of shards follows the bytes of text, and a piece's shard a hash of its
+    id, number, ids and place in the input, so that a shard has a bounded size whatever
+    the documents' lengths, also where rows repeat or have no id.
     """
+    return _dealt(docs, tokenizer_path, id_col, text_col, capacity, end_id).applyInPandas(_pack(capacity, pad_id), SCHEMA)
+
+
+def _dealt(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, capacity: int, end_id: int):
+    """Pieces grouped by shard."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = -(-(size + 1) // SHARD_BYTES)
     cut = map_batches(rows, _encode(tokenizer_path, capacity, end_id), "id bigint, piece int, ids binary")
-    cut = cut.withColumn("shard", F.pmod(F.xxhash64("id", "piece"), F.lit(shards)).cast("int"))
-    return cut.groupBy("shard").applyInPandas(_pack(capacity, pad_id), SCHEMA)
+    spot = F.xxhash64("id", "piece", "ids", F.monotonically_increasing_id())
+    return cut.withColumn("shard", F.pmod(spot, F.lit(shards)).cast("int")).groupBy("shard")
+
+
+def write_matrix(
+    docs: DataFrame,
+    tokenizer_path: str,
+    folder: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    capacity: int = 2048,
+    end_id: int = 0,
+    pad_id: int = 0,
+) -> DataFrame:
+    """Pack as ``pack_token_matrix`` does and write the matrix: (shard, file, sequences) of each file.
 
+    Every attempt of a task has a file of its own; the returned rows name those that
+    count. ``folder`` is one that all executors reach (local, HDFS, S3, GCS).
+    """
+    pack = _pack(capacity, pad_id)
+    kinds = [pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary(), pa.binary()]
+    schema = pa.schema(list(zip((c.split()[0] for c in SCHEMA.split(", ")), kinds, strict=True)))
 
-def write_matrix(packed: DataFrame, path: str) -> None:
-    """Write the packed rows as Parquet, a folder per shard range left to Spark."""
-    packed.write.parquet(path)
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        local = not ("://" in folder or folder.startswith("file:"))
+        store, root = (fs.LocalFileSystem(), folder) if local else fs.FileSystem.from_uri(folder)
+        store.create_dir(root, recursive=True)
+        table = pa.Table.from_pandas(pack(key, pdf), schema, preserve_index=False)
+        name = f"{key[0]:06d}-{uuid.uuid4().hex}.parquet"
+        pq.write_table(table, f"{root}/{name}", compression="zstd", use_dictionary=False, filesystem=store)
+        return pd.DataFrame({"shard": [key[0]], "file": [name], "sequences": [table.num_rows]})
+
+    dealt = _dealt(docs, tokenizer_path, id_col, text_col, capacity, end_id)
+    return written(dealt.applyInPandas(run, "shard int, file string, sequences bigint"), "matrix-files")
+
+
+def read_matrix(spark: SparkSession, folder: str, files: DataFrame) -> DataFrame:
+    """The rows of a written matrix, of the files that count."""
+    if files.isEmpty():
+        return spark.createDataFrame([], SCHEMA)
+    rows = spark.read.schema(SCHEMA).parquet(folder).withColumn("file", F.col("_metadata.file_name"))
+    return rows.join(files.select("file"), "file", "left_semi").drop("file")
 
 
 def matrix_digests(packed: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from array import array
 
 import numpy as np
 
-REMEMBERED = 700_000  # words in a generation of one worker's memory
+REMEMBERED = 500_000  # words in a generation of one worker's memory
 CUT = 1 << 18  # code points handled at once
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # without the apostrophe, which begins contractions
 _SAFE = re.compile(r"(?<=\S)(?= \S)")
@@ -114,3 +114,14 @@ class Tokens:
         if at < len(text):
             out.append(self._short(text[at:]))
         return np.frombuffer(b"".join(out), np.uint32)
+
+
+_SHARED: dict[str, Tokens] = {}
+
+
+def shared(path: str) -> Tokens:
+    """The worker's tokenizer of a file; the words it knows never change the ids it gives."""
+    if path not in _SHARED:
+        _SHARED.clear()
+        _SHARED[path] = Tokens(path)
+    return _SHARED[path]

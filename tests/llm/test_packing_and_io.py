@@ -3,6 +3,8 @@
 import hashlib
 import random
 import zlib
+from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -330,12 +332,14 @@ def test_room_tree_finds_the_least_room():
 def test_token_matrix_is_lossless(spark, monkeypatch):
     monkeypatch.setattr(token_matrix, "SHARD_BYTES", 20_000)
     rows, df = odd_documents(spark)
-    packed = token_matrix.pack_token_matrix(df, PATH, capacity=64)
     path = scratch_path(spark, "matrix")
-    token_matrix.write_matrix(packed, path)
-    packed = spark.read.parquet(path)
+    files = token_matrix.write_matrix(df, PATH, path, capacity=64)
+    # a file that an attempt left behind does not count
+    left = next(Path(path.removeprefix("file:")).glob("*.parquet"))
+    (left.parent / f"left-{left.name}").write_bytes(left.read_bytes())
+    packed = token_matrix.read_matrix(spark, path, files)
     lines = packed.collect()
-    assert len({r.shard for r in lines}) > 1
+    assert len({r.shard for r in lines}) > 1 and len(lines) == files.agg(F.sum("sequences")).first()[0]
     for r in lines:
         ends, positions = r.cu_seqlens, np.frombuffer(bytes(r.position_ids), "<u4")
         assert ends[0] == 0 and len(bytes(r.input_ids)) == 64 * 4 and ends[-1] <= 64
@@ -355,6 +359,17 @@ def test_token_matrix_is_lossless(spark, monkeypatch):
     for sequences in by_shard.values():
         assert len(sequences) == plain_sequences([n for s in sequences for n in s], 64)
     assert token_matrix.pack_token_matrix(df.limit(0), PATH).count() == 0
+    nothing = token_matrix.write_matrix(df.limit(0), PATH, path + "0")
+    assert token_matrix.read_matrix(spark, path + "0", nothing).collect() == []
+
+
+def test_rows_without_id_spread_over_the_shards(spark, monkeypatch):
+    monkeypatch.setattr(token_matrix, "SHARD_BYTES", 1000)
+    rows = [(None, "the same text of every row")] * 400 + [(i, f"text {i}") for i in range(10)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    packed = token_matrix.pack_token_matrix(df, PATH, capacity=16).collect()
+    sizes = Counter(r.shard for r in packed for _ in r.doc_ids)
+    assert sum(sizes.values()) == 410 and len(sizes) > 8 and max(sizes.values()) < 3 * 410 / len(sizes)
 
 
 # -- vectors -----------------------------------------------------------------------
