@@ -20,6 +20,9 @@ import numpy as np
 REMEMBERED = 500_000  # words in a generation of one worker's memory
 CUT = 1 << 18  # code points handled at once
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # without the apostrophe, which begins contractions
+# punctuation behind a letter or digit is looked up apart from the word; _CUT marks it
+_CUT = "\x01"
+_BEHIND = re.compile(r"(?<=[^\W_])(?=[!\"#$%&()*+,.:;<=>?@\[\]^`{|}~])")
 _SAFE = re.compile(r"(?<=\S)(?= \S)")
 
 
@@ -42,7 +45,7 @@ class Tokens:
     def _atoms(word: str) -> list[str]:
         """Parts of a word that are encoded alone; the first one follows the space."""
         lines = word.split("\n") if "\n" in word else [word]
-        if len(lines) > 1 and len(word.split()) != len(lines):
+        if len(lines) > 1 and any(line.split() != [line] for line in lines):
             return [word]
         out = []
         for i, line in enumerate(lines):
@@ -57,12 +60,15 @@ class Tokens:
 
     def _learn(self, words: set[str]) -> bool:
         """Remember the words; False if one of them must be encoded with what precedes it."""
-        cut, spaced, bare, known, older = {}, set(), set(), self.words, self.older
+        cut, marked, spaced, bare, known, older = {}, {}, set(), set(), self.words, self.older
         for word in words:
             if word in older:
                 known[word] = older[word]
             elif word.isalnum():
                 spaced.add(word)
+            elif word.startswith(_CUT):
+                marked[word] = atoms = self._atoms(word[1:])
+                bare.update(atoms)
             elif not word or word[0].isspace():
                 return False
             else:
@@ -78,6 +84,8 @@ class Tokens:
         self._learn_bare(bare)
         for word, atoms in cut.items():
             known[word] = known[atoms[0]] + b"".join([self.bare[a] for a in atoms[1:]])
+        for word, atoms in marked.items():
+            known[word] = b"".join([self.bare[a] for a in atoms])
         return True
 
     def _learn_bare(self, parts: set[str]) -> None:
@@ -89,7 +97,9 @@ class Tokens:
     def _short(self, text: str) -> bytes:
         if len(self.words) > REMEMBERED:
             self.words, self.older = {}, self.words
-        head, *rest = text.split(" ")
+        if _CUT in text:
+            return self._encode([text])[0]
+        head, *rest = _BEHIND.sub(" " + _CUT, text).split(" ")
         found = list(map(self.words.get, rest))
         try:
             tail = b"".join(found)

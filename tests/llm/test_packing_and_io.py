@@ -236,8 +236,8 @@ def test_ids_in_parts_are_the_ids_of_the_whole(monkeypatch):
     tokenizer = Tokenizer.from_file(PATH)
     tokenizer.encode_special_tokens = True
     tokens, rng = Tokens(PATH), random.Random(3)
-    marks = [*"abAB01 .,!'_-\n\n  \té中́|*²½", "'s", " '", "<|endoftext|>", " ", "　"]
-    for i in range(4000):
+    marks = [*"abAB01 .,!&)'_-\x01\n\n  \té中́|*²½", "'s", " '", "<|endoftext|>", " ", "　"]
+    for i in range(20_000):
         monkeypatch.setattr("inkgauge.llm.tokens.CUT", 7 if i % 2 else 1 << 18)
         text = "".join(rng.choice(marks) for _ in range(rng.randrange(25)))
         assert tokens.ids(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, ascii(text)
