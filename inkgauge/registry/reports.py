@@ -89,6 +89,22 @@ def _(spark, sf):
     return splits.split_stratified(rows, "customer").select("id", "split")
 
 
+@query(
+    "split_stratified_groups",
+    """WITH counts AS (SELECT conv_id, role, count(*) AS n FROM conversations GROUP BY ALL),
+    classes AS (SELECT conv_id, string_agg(role || ':' || n, ',' ORDER BY role || ':' || n) AS cls FROM counts GROUP BY conv_id),
+    ranked AS (SELECT conv_id, row_number() OVER (ORDER BY cls, md5(conv_id || ':42')) - 1 AS r FROM classes),
+    dealt AS (SELECT *, r * 200000 // 1000000 AS q FROM ranked)
+    SELECT conv_id, turn, role, CASE WHEN (r + 1) * 200000 // 1000000 = q THEN 'train'
+      WHEN (q + 1) * 100000 // 200000 > q * 100000 // 200000 THEN 'test' ELSE 'val' END AS split
+    FROM conversations JOIN dealt USING (conv_id)""",
+)
+def _(spark, sf):
+    # the turns of a conversation stay together, as the chunks of a document must
+    rows = scan_table(spark, sf, "conversations").select("conv_id", "turn", "role")
+    return splits.split_stratified(rows, "role", group_col="conv_id")
+
+
 @query(
     "label_distribution",
     f"""SELECT generated AS label, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (), 2) AS percentage

@@ -35,6 +35,27 @@ def test_split_by_group(spark):
     assert sizes(got.select("doc", "split").distinct()) == {("train",): 40, ("val",): 5, ("test",): 5}
 
 
+@pytest.mark.parametrize("shares", [(0.8, 0.1, 0.1), (0.5, 0.3, 0.2), (1.0, 0.0, 0.0)])
+def test_groups_stay_whole_and_labels_keep_their_shares(spark, shares):
+    # documents of one to three chunks; a third of all rows in one document, some without any
+    rows = [(i // 2, i % 2) for i in range(400)] + [(1000 + i, 1) for i in range(90)]
+    rows += [(2000 + i // 3, int(i % 3 == 0)) for i in range(300)] + [(5000, 0)] * 400 + [(None, 1)] * 5 + [(6000, None)]
+    df = spark.createDataFrame(rows, "doc int, y int").repartition(4)
+    got = split_stratified(df, "y", shares=shares, group_col="doc")
+    assert got.columns == ["doc", "y", "split"] and got.count() == len(rows)
+    found = {}
+    for r in got.collect():
+        found.setdefault(r.doc, set()).add(r.split)
+    assert all(len(parts) == 1 for parts in found.values())
+    for lo, hi in ((0, 200), (1000, 1090), (2000, 2100)):  # one class of equal documents each
+        docs = [d for d in found if d is not None and lo <= d < hi]
+        for part, share in zip(("train", "val", "test"), shares, strict=True):
+            assert abs(sum(part in found[d] for d in docs) - share * len(docs)) <= 1 + 1e-9
+    again = split_stratified(df.repartition(2), "y", shares=shares, group_col="doc").collect()
+    assert {r.doc: r.split for r in again} == {d: next(iter(p)) for d, p in found.items()}
+    assert split_stratified(df.limit(0), "y", group_col="doc").count() == 0
+
+
 def test_split_stratified(spark):
     df = spark.range(205).withColumn("y", F.when(F.col("id") < 1, 2).when(F.col("id") < 55, 1).otherwise(0))
     got = sizes(split_stratified(df, "y"), "y")
