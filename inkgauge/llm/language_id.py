@@ -30,8 +30,11 @@ _OTHER = re.compile(r"[\W\d_]+")
 
 
 def letters_of(text: str | None) -> str:
-    """What is encoded: lower-case letters, all else as single spaces."""
-    return _OTHER.sub(" ", (text or "").lower()).strip()
+    """What is encoded: lower-case letters (category L), all else as single spaces."""
+    found = _OTHER.sub(" ", (text or "").lower())
+    if not found.replace(" ", "a").isalpha():  # numerals that are no decimal digits, as in one half
+        found = " ".join("".join(c if c.isalpha() else " " for c in found).split())
+    return found.strip()
 
 
 def learn_dictionaries(docs: DataFrame, text_col: str, lang_col: str, order_col: str) -> dict[str, bytes]:

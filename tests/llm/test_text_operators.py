@@ -295,3 +295,12 @@ def test_queries_read_whole_tables(spark):
     for name in ("op3_language_id", "op5_ngram_jaccard_join"):
         assert QUERIES[name](spark, SF).count() == n
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_numerals_are_no_letters(spark):
+    assert language_id.letters_of("½ ² Ⅷ ① ٣ _ 4") == ""
+    assert language_id.letters_of("½Ab² É_x") == "ab é x"
+    learned = {"en": b"the of and to in a is that it was", "de": "der die und in den von zu das mit".encode()}
+    df = spark.createDataFrame([(1, "½ ² Ⅷ ①"), (2, "the and ½")], "doc_id bigint, text string")
+    found = {r.doc_id: (r.lang_pred, r.score) for r in language_id.identify_language(df, learned).collect()}
+    assert found[1] == ("und", 0.0) and found[2][0] == "en"
