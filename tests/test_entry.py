@@ -1,5 +1,9 @@
 """The driver contract, and a share of the queries against their SQL on the smallest data."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import duckdb
 import numpy as np
 import pytest
@@ -127,3 +131,18 @@ def test_whole_statistics_report(spark):
     assert sum(k[0] == "pca_projection" for k in got) == 3 * len(vectors)
     pc1 = np.array([got["pca_projection", r.id, "pc1"] for r in vectors])
     assert np.abs(pc1) == pytest.approx(np.abs(z @ axes[0]), abs=1e-4)
+
+
+def test_a_missing_library_of_the_optional_part_leaves_the_rest():
+    program = (
+        "import sys, warnings\n"
+        "sys.modules['public_tokenizers'] = None\n"
+        "with warnings.catch_warnings(record=True) as said:\n"
+        "    warnings.simplefilter('always')\n"
+        "    import __spark_entry__ as e\n"
+        "assert any('public_tokenizers' in str(w.message) for w in said)\n"
+        "names = set(e.queries())\n"
+        "assert 'text_features' in names and not any(n.startswith('op') for n in names) and 'pipeline' not in names\n"
+    )
+    root = Path(entry.__file__).parent
+    subprocess.run([sys.executable, "-c", program], cwd=root, check=True, timeout=120)
