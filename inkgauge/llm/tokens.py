@@ -124,14 +124,3 @@ class Tokens:
         if at < len(text):
             out.append(self._short(text[at:]))
         return np.frombuffer(b"".join(out), np.uint32)
-
-
-_SHARED: dict[str, Tokens] = {}
-
-
-def shared(path: str) -> Tokens:
-    """The worker's tokenizer of a file; the words it knows never change the ids it gives."""
-    if path not in _SHARED:
-        _SHARED.clear()
-        _SHARED[path] = Tokens(path)
-    return _SHARED[path]
