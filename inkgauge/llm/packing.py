@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkgauge.llm.frames import map_batches, ranked, written
-from inkgauge.llm.tokens import Tokens
+from inkgauge.llm.tokens import tokens_of
 
 SLOTS = "slot_length int, first long, last long, sequence long, per long, used int"
 
@@ -62,9 +62,9 @@ def plan_slots(histogram: dict[int, int], capacity: int) -> list[tuple[int, int,
     return slots
 
 
-def _pieces(path: str, capacity: int, end_id: int):
+def _pieces(path: str, capacity: int, end_id: int, keep_words: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokens, end = Tokens(path), np.array([end_id], np.uint32)
+        tokens, end = tokens_of(path, keep_words), np.array([end_id], np.uint32)
         for pdf in batches:
             rows = []
             for key, text in zip(pdf["id"].astype(object), pdf["text"], strict=True):
@@ -84,19 +84,21 @@ def pack_best_fit(
     text_col: str = "text",
     capacity: int = 2048,
     end_id: int = 0,
+    keep_words: bool = False,
 ) -> DataFrame:
     """(id, piece, start, length, ids_crc32, sequence_id, offset) per piece.
 
     A document is its ids and ``end_id``; only documents longer than the capacity
     are cut, losslessly. Null and empty texts are the end id alone. Repeated rows
     and null ids are packed like others; pieces of equal length are interchangeable,
-    and their ranks follow a hash of id and piece. One length may hold most pieces,
+    and their ranks follow a hash of id and piece. ``keep_words`` lets Python workers keep
+    their word memory from task to task: less work, more memory. One length may hold most pieces,
     since ranks are salted. What the driver sees is one count per length. An empty
     table gives an empty result.
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     schema = "id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
-    cut = map_batches(rows, _pieces(tokenizer_path, capacity, end_id), schema)
+    cut = map_batches(rows, _pieces(tokenizer_path, capacity, end_id, keep_words), schema)
     cut = written(cut.withColumn("draw", F.xxhash64("id", "piece")), "pieces")
     histogram = {r.length: r["n"] for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     # bounded by the capacity: safe to broadcast

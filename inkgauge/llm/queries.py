@@ -74,7 +74,7 @@ def op7_mixing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op8_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
-    return pack_best_fit(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pack_best_fit(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), keep_words=True)
 
 
 def op9_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkgauge.llm.frames import map_batches, written
-from inkgauge.llm.tokens import Tokens
+from inkgauge.llm.tokens import tokens_of
 
 SHARD_BYTES = 8 << 20  # of text for each shard
 ID_TYPE = "<u4"
@@ -85,7 +85,7 @@ def best_fit_decreasing(lengths: list[int], capacity: int) -> list[list[int]]:
 
 def _encode(path: str, capacity: int, end_id: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokens, end = Tokens(path), np.array([end_id], np.uint32)
+        tokens, end = tokens_of(path, True), np.array([end_id], np.uint32)
         for pdf in batches:
             rows = []
             for key, text in zip(pdf["id"].astype(object), pdf["text"], strict=True):

@@ -124,3 +124,16 @@ class Tokens:
         if at < len(text):
             out.append(self._short(text[at:]))
         return np.frombuffer(b"".join(out), np.uint32)
+
+
+_KEPT: dict[str, Tokens] = {}
+
+
+def tokens_of(path: str, kept: bool) -> Tokens:
+    """A tokenizer of a file; a kept memory never changes the ids, but occupies some 200 MB of a worker."""
+    if not kept:
+        return Tokens(path)
+    if path not in _KEPT:
+        _KEPT.clear()
+        _KEPT[path] = Tokens(path)
+    return _KEPT[path]
