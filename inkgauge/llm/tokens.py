@@ -22,7 +22,7 @@ CUT = 1 << 18  # code points handled at once
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # without the apostrophe, which begins contractions
 # punctuation behind a letter or digit is looked up apart from the word; _CUT marks it
 _CUT = "\x01"
-_BEHIND = re.compile(r"(?<=[^\W_])(?=[!\"#$%&()*+,.:;<=>?@\[\]^`{|}~])")
+_BEHIND = re.compile(r"([!\"#$%&()*+,.:;<=>?@\[\]^`{|}~])(?<=[^\W_].)")
 _SAFE = re.compile(r"(?<=\S)(?= \S)")
 
 
@@ -99,7 +99,7 @@ class Tokens:
             self.words, self.older = {}, self.words
         if _CUT in text:
             return self._encode([text])[0]
-        head, *rest = _BEHIND.sub(" " + _CUT, text).split(" ")
+        head, *rest = _BEHIND.sub(f" {_CUT}\\1", text).split(" ")
         found = list(map(self.words.get, rest))
         try:
             tail = b"".join(found)
