@@ -1,16 +1,20 @@
 """Quality, language, fingerprints and the n-gram join on small tables."""
 
+import base64
+import bisect
+import functools
 import hashlib
 import random
 import zlib
 
 import numpy as np
 import pytest
+import xxhash
 
 from inkgauge.llm import language_id, quality
 from inkgauge.llm.ngram_join import band_limits, ngram_jaccard_join, signatures
 from inkgauge.llm.shingles import BLOCK, shingle_set, word_hashes
-from inkgauge.llm.syncmers import INNER, K, S, UNIT_CHARS, fingerprint_edits
+from inkgauge.llm.syncmers import BITS, CUTS, GRID, INNER, SPACES, K, S, anchors, fingerprint_edits, likeness, numbered
 from inkgauge.session import scratch_path
 
 SF = "/root/testdata/sf0.001"
@@ -243,10 +247,104 @@ def test_quality_of_odd_rows(spark):
 
 
 def plain_units(text):
-    units = []
-    for word in "".join(" " if c in " \t\n\x0b\x0c\r" else c for c in text).split(" "):
-        units += [word[i : i + UNIT_CHARS] for i in range(0, len(word), UNIT_CHARS)]
-    return units
+    units, unit = [], b""
+    for byte in (text or "").encode():
+        if byte not in SPACES:
+            unit += bytes([byte])
+        if unit and (byte in SPACES or byte in CUTS):
+            units.append(unit)
+            unit = b""
+    return units + [unit] * bool(unit)
+
+
+def plain_hash(*values):
+    seed = 42
+    for v in values:
+        data = v if isinstance(v, bytes) else v.to_bytes(8, "little", signed=True)
+        seed = xxhash.xxh64_intdigest(data, seed)
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+def plain_anchors(text):
+    """Anchors in order, by the definition."""
+    hashes = [plain_hash(u.decode("latin-1").encode()) for u in plain_units(text)]
+    inner = []
+    for i in range(len(hashes) - S + 1):
+        inner.append(plain_hash(hashes[i], hashes[i + 1]))
+    assert S == 2
+    found = []
+    for i in range(len(hashes) - K + 1):
+        here = inner[i : i + INNER]
+        if min(here) in (here[0], here[-1]):
+            found.append(functools.reduce(plain_hash, [*here[:-1:S], here[-1]]) % (1 << BITS))
+    if not found and hashes:
+        return [plain_hash(*hashes) % (1 << BITS)]  # an array is hashed element by element
+    return found
+
+
+def plain_likeness(a, b):
+    """nth occurrences paired, then the longest sequence of pairs whose blocks do not fall."""
+    if not a and not b:
+        return 1.0
+    places = {}
+    for at, value in enumerate(b):
+        places.setdefault(value, []).append(at)
+    longer, pairs, seen = max(len(a), len(b)), [], {}
+    for at, value in enumerate(a):
+        n = seen[value] = seen.get(value, -1) + 1
+        if n < len(places.get(value, ())):
+            pairs.append((at * GRID // longer, places[value][n] * GRID // longer))
+    tails = []
+    for _, column in sorted(pairs):
+        i = bisect.bisect_right(tails, column)
+        tails[i : i + 1] = [column]
+    return 2 * len(tails) / (len(a) + len(b))
+
+
+def test_fingerprints_equal_the_plain_model(spark):
+    rng = random.Random(17)
+    han = "".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(2000))
+    code = "".join(rng.choice("ABCDEFGHabcdefghijklmnop0123456789+/") for _ in range(3000))
+    text = words(rng, 2000, 3000)
+    passages = [text.split()[i : i + 20] for i in range(0, 2000, 20)]
+    rng.shuffle(passages)
+    lines = "the very same line stands here\n"
+    cases = {
+        "same": (text, text),
+        "shuffled": (text, " ".join(w for p in passages for w in p)),
+        "five": (text, " ".join([text] * 5)),
+        "han": (han, han[:3] + "\u5b57" + han[3:]),
+        "code": (code, "x" + code),
+        "header": (text, words(rng, 150, 3000) + " " + text),
+        "lines": (lines * 50, "first\n" + lines * 40),
+        "few": ("a b c", "a b c"),
+        "other": (text, words(random.Random(3), 900, 9000) + " q"),
+        "long": ("x" * 500_000, "x" * 500_000 + "y"),
+        "null": (None, " \n"),
+        "half": ("", text),
+    }
+    rows = spark.createDataFrame([(k, *v) for k, v in cases.items()], "name string, a string, b string").repartition(3)
+    rows = rows.select("name", anchors(rows.a).alias("a"), anchors(rows.b).alias("b"))
+    got = {r.name: r for r in rows.select("*", likeness(numbered(rows.a), numbered(rows.b)).alias("near")).collect()}
+    for name, (a, b) in cases.items():
+        assert got[name].a == plain_anchors(a) and got[name].b == plain_anchors(b), name
+        assert got[name].near == pytest.approx(plain_likeness(got[name].a, got[name].b), abs=1e-12), name
+    assert got["same"].near == 1.0 and got["null"].near == 1.0 and got["half"].near == 0.0
+    assert got["shuffled"].near < 0.4 and got["five"].near < 0.4
+    assert got["han"].near > 0.95 and got["code"].near > 0.95 and got["header"].near > 0.9
+
+
+def test_rows_without_ids_are_spread(spark):
+    rows = [(None, f"text without id {i} " + "and words " * (i % 7)) for i in range(400)] + [(1, "the only one")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = fingerprint_edits(df, buckets=16).collect()
+    # first the row with an id, then the others by their hashes
+    texts = ["the only one"] + [t for _, t in sorted((plain_hash(t.encode()), t) for _, t in rows[:-1])]
+    expected = []
+    for i, text in enumerate(texts):
+        cut = len(text) // 3
+        expected.append(hashlib.sha256((text[: len(text) - cut] + texts[(i + 1) % 401][:cut]).encode()).hexdigest())
+    assert sorted(r.edited_sha256 for r in got) == sorted(expected)
 
 
 def test_edits_and_likeness(spark):
@@ -273,7 +371,9 @@ def test_anchors_are_closed_syncmers(spark):
     rng = random.Random(8)
     text = words(rng, 200)
     df = spark.createDataFrame([(1, text), (2, "zzz " * 3 + text)], "doc_id bigint, text string")
-    a, b = (r.fingerprint.split() for r in fingerprint_edits(df, buckets=2).orderBy("doc_id").collect())
+    prints = [r.fingerprint for r in fingerprint_edits(df, buckets=2).orderBy("doc_id").collect()]
+    a, b = ([p[i : i + 4] for i in range(0, len(p), 4)] for p in prints)
+    assert base64.b64decode(prints[0]) == b"".join(x.to_bytes(3, "big") for x in plain_anchors(text))
     runs = len(plain_units(text)) - K + 1
     assert 0.9 * 2 / INNER < len(a) / runs < 1.2 * 2 / INNER and S < K
     assert b[-len(a) :] == a  # context-free: what stands in front changes no later anchor
