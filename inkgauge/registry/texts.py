@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from inkgauge import schema
@@ -10,6 +12,7 @@ from inkgauge.operators import cleaning
 from inkgauge.operators.chunking import chunk_by_tokens
 from inkgauge.operators.embedding import HashingEncoder, embed_text
 from inkgauge.plans.corpus import chunk_features, clean_corpus, corpus_subset, prepare_corpus
+from inkgauge.plans.increments import add_to_corpus, stored
 from inkgauge.registry.base import *  # noqa: F403
 from inkgauge.session import scratch_path, written
 from inkgauge.sources import corpus as S
@@ -370,6 +373,33 @@ def _(spark, sf):
     )
 
 
+SQL_ADDED = f"""
+SELECT text, generated, row_number() OVER (ORDER BY part, md5(source_pos || ':' || row_key || ':42')) - 1 AS id
+FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY part, source_pos, row_key) AS copy
+      FROM (SELECT *, row_key % 2 AS part FROM ({SQL_MERGED})) WHERE len({SQL_SPACE_WORDS}) BETWEEN 100 AND 1000)
+WHERE copy = 1
+"""
+
+
+@query(
+    "add_to_corpus",
+    sql_features(sql_chunks(SQL_ADDED, "id, generated"), "id, generated, chunk_idx", 5, "FLOAT"),
+)
+def _(spark, sf):
+    # the rows arrive in two parts: even keys, then odd keys
+    store = scratch_path(spark, "store")
+    for part in (0, 1):
+        add_to_corpus([replace(c, df=c.df.where(F.col(c.key) % 2 == part)) for c in corpora(spark, sf)], store)
+    return stored(spark, store, "processed").select(
+        "id",
+        F.col("generated").cast("int").alias("generated"),
+        F.col("chunk_idx").cast("int").alias("chunk_idx"),
+        "word_count",
+        "character_count",
+        *(rounded(c, 5).alias(c) for c in schema.NUMERIC_COLS[2:]),
+    )
+
+
 @query(
     "prepare_corpus_chunks",
     sql_features(sql_chunks(SQL_CLEANED, "id, generated"), "id, generated, chunk_idx, text").replace(
