@@ -70,9 +70,10 @@ def hash_cutoffs(
         .where((F.col("rest") >= 1) & (F.col("rest") <= F.col("n")))
         .select("cls", "prefix", "cut", "rest")
     )
-    prefixes = edges.agg(F.collect_set("prefix")).scalar()
+    # looked up by hash: many classes have cuts in all 65,536 prefixes
+    prefixes = F.broadcast(edges.select("prefix").distinct())
     last = (
-        keys.where(F.array_contains(prefixes, F.col("prefix")))
+        keys.join(prefixes, "prefix", "left_semi")
         .join(edges, ["cls", "prefix"])
         .withColumn("place", F.row_number().over(Window.partitionBy("cls", "cut").orderBy("h")))
         .where(F.col("place") == F.col("rest"))

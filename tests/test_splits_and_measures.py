@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from inkgauge.operators import evaluation as E
+from inkgauge.operators.ranking import hash_cutoffs, order_hash
 from inkgauge.operators.splits import split_random, split_stratified
 
 
@@ -67,6 +68,19 @@ def test_split_stratified(spark):
         split_stratified(df, "y", shares=(0.8, 0.1, 0.2))
 
 
+def test_many_classes_are_cut_without_a_list_of_prefixes(spark, capsys):
+    df = spark.range(3000).withColumn("y", F.col("id") % 700)
+    got = split_stratified(df, "y")
+    assert sum(sizes(got).values()) == 3000 and min(sizes(got, "y").values()) > 0
+    held = got.where("split <> 'train'").groupBy("y").count().collect()
+    assert {r["count"] for r in held} == {1} and len(held) == 700  # of 4 or 5 rows
+    cuts = hash_cutoffs(df, order_hash("id", seed=42), {"half": lambda n: n / 2}, by=F.col("y"))
+    capsys.readouterr()
+    cuts.explain()
+    plan = capsys.readouterr().out
+    assert "array_contains" not in plan and "LeftSemi" in plan  # each row looked its prefix up in a list of 65,536
+
+
 def test_votes(spark):
     df = spark.createDataFrame([(0, 0), (0, 1), (1, 0), (1, 0), (1, 1), (2, 1)], "cluster int, label int")
     classes = E.cluster_majority(df)
