@@ -33,7 +33,8 @@ def clean_corpus(corpora: list[Corpus], sample: int | None = None) -> DataFrame:
     ingest = ["source_pos", "row_key"]
     if sample is not None:
         df = sample_n(df, sample, key=ingest)
-    df = filter_word_count(df)
+    # counting words costs more than a copy of the rows that stay: they are read twice
+    df = written(filter_word_count(df), "filtered")
     # narrow keys are deduplicated and numbered; the texts move once, to meet them
     keys = written(first_keys(df, ingest, "text", ingest), "keys")
     numbered = add_unique_id(keys, order_hash_hex=order_hash(*ingest, seed=schema.SEED))
@@ -56,10 +57,22 @@ def prepare_corpus(
     """The whole preparation. Returns the processed table as read back from ``processed_path``.
 
     The cleaned corpus is written once and feeds both the CSV copy and the chunks.
-    Raw rows are read twice: for the keys of the first copies, and for their texts.
+    The rows that pass the filter are written, too, and read twice: for the keys of the
+    first copies, and for their texts.
     """
-    spark = corpora[0].df.sparkSession
     cleaned = written(clean_corpus(corpora, sample), "cleaned")
+    return process_cleaned(cleaned, processed_path, cleaned_path, encoder, batch_size)
+
+
+def process_cleaned(
+    cleaned: DataFrame,
+    processed_path: str,
+    cleaned_path: str | None = None,
+    encoder=None,
+    batch_size: int = schema.BATCH_SIZE,
+) -> DataFrame:
+    """The preparation from a written cleaned corpus on."""
+    spark = cleaned.sparkSession
     if cleaned_path:
         write_cleaned(cleaned, cleaned_path)
     features = compact_types(chunk_features(cleaned))

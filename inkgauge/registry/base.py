@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from inkgauge.functions.vectors import assemble_features
 from inkgauge.operators.splits import split_random
-from inkgauge.plans.corpus import prepare_corpus
+from inkgauge.plans.corpus import clean_corpus, process_cleaned
 from inkgauge.session import scratch_path, ship_package, written
 from inkgauge.sources.corpus import Corpus, scan_table, scan_text_table
 
@@ -89,15 +89,26 @@ def vector_parts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, Da
     return tuple(rows.where(F.col("split") == s).drop("split") for s in ("train", "val", "test"))
 
 
+_CLEANED: dict[tuple[str, str], str] = {}
 _PROCESSED: dict[tuple[str, str], str] = {}
 
 
+def cleaned_corpus(spark: SparkSession, sf: str) -> DataFrame:
+    """The cleaned corpus of the corpora; prepared once per session and folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _CLEANED:
+        path = scratch_path(spark, "cleaned")
+        clean_corpus(corpora(spark, sf)).write.parquet(path)
+        _CLEANED[key] = path
+    return spark.read.parquet(_CLEANED[key])
+
+
 def processed(spark: SparkSession, sf: str) -> DataFrame:
     """The processed table of the corpora; prepared once per session and folder."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _PROCESSED:
         path = scratch_path(spark, "processed")
-        prepare_corpus(corpora(spark, sf), path)
+        process_cleaned(cleaned_corpus(spark, sf), path)
         _PROCESSED[key] = path
     return spark.read.parquet(_PROCESSED[key])
 

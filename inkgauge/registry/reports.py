@@ -167,7 +167,7 @@ def _(spark, sf):
     SELECT 'labels_after', generated::INT, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (), 2) FROM f GROUP BY generated""",
 )
 def _(spark, sf):
-    cleaned = written(clean_corpus(corpora(spark, sf)), "cleaned")
+    cleaned = cleaned_corpus(spark, sf)
     tables = corpus_statistics(cleaned, processed(spark, sf))
     return (
         tables["labels_before"]
@@ -183,7 +183,7 @@ def _(spark, sf):
 @query("corpus_statistics_full")
 def _(spark, sf):
     # all nine tables, cell by cell; SQL cannot express the two of the PCA
-    cleaned = written(clean_corpus(corpora(spark, sf)), "cleaned")
+    cleaned = cleaned_corpus(spark, sf)
     cleaned = cleaned.withColumn("generated", F.col("generated").cast("int"))
     # a document has several chunks: the row key names the chunk
     after = processed(spark, sf).withColumn("generated", F.col("generated").cast("int"))

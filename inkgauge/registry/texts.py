@@ -61,7 +61,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     path = scratch_path(spark, "before")
-    S.write_cleaned(clean_corpus(corpora(spark, sf)), path)
+    S.write_cleaned(cleaned_corpus(spark, sf), path)
     after = scratch_path(spark, "after")
     S.write_processed(processed(spark, sf), after)
     return S.stage_counts(*S.load_before_after(spark, path, after))

@@ -108,3 +108,12 @@ def test_spread_leaves_wide_inputs_alone(spark, tmp_path):
     assert session.spread(many) is many
     spark.range(100).coalesce(1).write.parquet(str(tmp_path / "one"))
     assert session.spread(spark.read.parquet(str(tmp_path / "one"))).rdd.getNumPartitions() == 4
+
+
+def test_words_are_counted_once(spark, capsys):
+    df = spark.range(40).select("id", F.expr("repeat(concat('w', id % 30, ' '), 100 + int(id % 3))").alias("text"), F.lit(1).alias("generated"))
+    cleaned = clean_corpus([S.Corpus("c", df, key="id")])
+    capsys.readouterr()
+    cleaned.explain()
+    assert "regexp_extract_all" not in capsys.readouterr().out  # was in it twice
+    assert sorted(r.id for r in cleaned.collect()) == list(range(30))
