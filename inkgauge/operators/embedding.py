@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,12 +18,47 @@ from inkgauge.functions import text as X
 from inkgauge.functions.vectors import list_array, row_lengths
 
 
+RUN_BYTES, RUN_ROWS = 1 << 20, 512  # encoded at once
+
+
+def _runs(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(first, number) of rows encoded at once: their memory does not follow the Arrow batch."""
+    ends, at = np.cumsum(sizes, dtype=np.int64), 0
+    while at < len(sizes):
+        before = ends[at - 1] if at else 0
+        n = int(np.searchsorted(ends, before + RUN_BYTES, "right")) - at
+        n = min(max(n, 1), RUN_ROWS, len(sizes) - at)
+        yield at, n
+        at += n
+
+
+def _cells(words: pa.Array, dim: int, known: dict[str, tuple[int, float]]) -> pa.Array:
+    """Vectors of some rows of words; ``known`` remembers the dimension and sign of words."""
+    lengths = row_lengths(words)
+    coded = words.flatten().dictionary_encode()
+    slot, sign = np.zeros(len(coded.dictionary), dtype=np.int64), np.zeros(len(coded.dictionary))
+    for i, w in enumerate(coded.dictionary.to_pylist()):
+        if w not in known:
+            digest = hashlib.md5(w.encode()).hexdigest()
+            known[w] = int(digest[:8], 16) % dim, 1.0 if digest[8] >= "8" else -1.0
+        slot[i], sign[i] = known[w]
+    code = coded.indices.to_numpy()
+    row = np.repeat(np.arange(len(words)), lengths)
+    cells = np.bincount(row * dim + slot[code], weights=sign[code], minlength=len(words) * dim)
+    # counts of an empty batch come back as integers
+    cells = cells.astype(np.float64).reshape(len(words), dim)
+    norm = np.linalg.norm(cells, axis=1, keepdims=True)
+    unit = np.divide(cells, norm, out=np.zeros_like(cells), where=norm > 0)
+    return list_array(unit.astype(np.float32), pa.float32())
+
+
 class HashingEncoder:
     """Signed feature hashing of regex words (Weinberger et al. 2009), scaled to unit length.
 
     md5 of a word gives its dimension (first 8 hex digits modulo ``dim``) and its
-    sign (9th digit). Words are cut in the JVM; an Arrow batch is encoded as one
-    weighted count over (row, dimension), hashing each distinct word once.
+    sign (9th digit). Words are cut in the JVM; an Arrow batch is encoded in runs of
+    bounded size, each one weighted count over (row, dimension), hashing each distinct
+    word of the batch once.
     Text without a word gives the zero vector.
     """
 
@@ -33,23 +70,13 @@ class HashingEncoder:
 
         @F.arrow_udf("array<float>")
         def encode(words: pa.Array) -> pa.Array:
-            lengths = row_lengths(words)
-            coded = words.flatten().dictionary_encode()
-            digests = [hashlib.md5(w.encode()).hexdigest() for w in coded.dictionary.to_pylist()]
-            slot = np.array([int(d[:8], 16) % dim for d in digests], dtype=np.int64)
-            sign = np.array([1.0 if d[8] >= "8" else -1.0 for d in digests])
-            code = coded.indices.to_numpy()
-            row = np.repeat(np.arange(len(words)), lengths)
-            cells = np.bincount(
-                row * dim + slot[code], weights=sign[code], minlength=len(words) * dim
-            )
-            # counts of an empty batch come back as integers
-            cells = cells.astype(np.float64).reshape(len(words), dim)
-            norm = np.linalg.norm(cells, axis=1, keepdims=True)
-            unit = np.divide(cells, norm, out=np.zeros_like(cells), where=norm > 0)
-            return list_array(unit.astype(np.float32), pa.float32())
-
-        return encode(X.regex_words(F.lower(X._col(text))))
+            known = {"": (0, 0.0)}  # what splitting a text without words gives
+            sizes = pc.fill_null(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)
+            parts = [_cells(pc.split_pattern(words.slice(at, n), " "), dim, known) for at, n in _runs(sizes)]
+            return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.float32()))
+
+        # one string a row: a list would bring an offset for every word
+        return encode(F.array_join(X.regex_words(F.lower(X._col(text))), " "))
 
 
 class BatchModelEncoder:

@@ -43,7 +43,8 @@ class PcaModel:
 
         @F.arrow_udf("array<double>")
         def project(vectors: pa.Array) -> pa.Array:
-            return list_array(scaler.apply(matrix(vectors)) @ components.T, pa.float64())
+            parts = [scaler.apply(matrix(vectors.slice(at, SLICE))) @ components.T for at in range(0, len(vectors), SLICE)]
+            return list_array(np.concatenate(parts) if parts else np.zeros((0, len(components))), pa.float64())
 
         return df.withColumn(out, project(F.col(features)))
 

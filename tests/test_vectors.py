@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from inkgauge.functions import vectors as V
-from inkgauge.operators.embedding import BatchModelEncoder, HashingEncoder, embed_text
+from inkgauge.operators import mlp
+from inkgauge.operators.embedding import BatchModelEncoder, HashingEncoder, _runs, embed_text
 from inkgauge.operators.kmeans import nearest_centroid
 from inkgauge.operators.pca import PcaReport
 from inkgauge.operators.scaling import Standardizer
@@ -97,3 +98,23 @@ def test_pca_against_svd(spark):
     assert [r.pc for r in table] == ["PC1", "PC2", "PC3"]
     assert table[2].cumulative_variance_pct == pytest.approx((s**2 / (s**2).sum())[:3].sum() * 100, abs=0.006)
     assert model.projection(df).columns == ["id", "pc1", "pc2", "label"]
+
+
+def test_encoding_runs_do_not_follow_the_batch():
+    sizes = np.array([0, 5, 3 << 20, *[2000] * 9000, 0])
+    runs = list(_runs(sizes))
+    assert [at for at, _ in runs] == np.cumsum([0, *(n for _, n in runs)])[:-1].tolist() and sum(n for _, n in runs) == len(sizes)
+    assert all(n == 1 or (n <= 512 and sizes[at : at + n].sum() <= 1 << 20) for at, n in runs)
+    assert list(_runs(sizes[:0])) == []
+
+
+def test_long_batches_are_encoded_and_scored_in_runs(spark):
+    # more rows in one Arrow batch than a slice, some of them without a word
+    df = spark.range(3000).coalesce(1).withColumn("text", F.expr("repeat(concat(' w', id % 70), int(id % 5))"))
+    got = collected(embed_text(df, HashingEncoder(8)), "embedding")
+    assert len(got) == 3000 and not got[::5].any() and np.linalg.norm(got[1::5], axis=1) == pytest.approx(1)
+    assert (got[1] == got[71]).all()
+    net = mlp.MlpModel([8, 3, 1], mlp.initial_parameters([8, 3, 1], 1))
+    rows = embed_text(df, HashingEncoder(8)).withColumn("features", F.col("embedding").cast("array<double>"))
+    want = mlp.forward(net.weights, net.layers, got)[-1][:, 0]
+    assert collected(net.transform(rows), "probability") == pytest.approx(want, abs=1e-6)
