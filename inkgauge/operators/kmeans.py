@@ -35,7 +35,8 @@ SLICE = 1024  # rows compared with all centroids at once
 ROUNDS = 2  # of oversampling
 OVERSAMPLING = 2  # candidates a round draws, as a multiple of k
 CLOSE = 1e-10  # relative gap of two distances below which they are summed exactly
-LIMB = 2.0**26  # a number is kept as two integers up to this size
+LIMB_BITS = 26
+LIMB = 2.0**LIMB_BITS  # a number is kept as two integers up to this size
 
 
 @dataclass(frozen=True)
@@ -61,14 +62,17 @@ def _squared(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray((x - y) ** 2).sum(axis=1)
 
 
-def nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    """Number of the nearest centre of each row; the lower number among equals."""
+def nearest(x: np.ndarray, centres: np.ndarray, squares: np.ndarray | None = None) -> np.ndarray:
+    """Number of the nearest centre of each row; the lower number among equals.
+
+    ``squares`` has the rows' squared lengths where they are known.
+    """
     lengths = (centres**2).sum(axis=1)
     distance = lengths - 2.0 * (x @ centres.T)  # a row's own length changes nothing
     found = distance.argmin(axis=1)
     if len(centres) == 1:
         return found
-    gap = CLOSE * ((x**2).sum(axis=1) + lengths.max())
+    gap = CLOSE * (((x**2).sum(axis=1) if squares is None else squares) + lengths.max())
     close = distance <= (distance[np.arange(len(x)), found] + gap)[:, None]
     for row in np.flatnonzero(close.sum(axis=1) > 1):
         rivals = np.flatnonzero(close[row])
@@ -96,6 +100,20 @@ def _limbs(x: np.ndarray, scale: float) -> np.ndarray:
     return np.concatenate([high, low], axis=1).astype(np.int64)
 
 
+def _whole(x: np.ndarray, scale: float) -> np.ndarray:
+    """Both limbs of each number as one integer, below 2 ** 53: a slice of rows can be summed."""
+    rest = x / scale * LIMB
+    high = np.rint(rest)
+    rest -= high
+    rest *= LIMB
+    return (high.astype(np.int64) << LIMB_BITS) + np.rint(rest, out=rest).astype(np.int64)
+
+
+def _halves(whole: np.ndarray) -> np.ndarray:
+    """Limbs, side by side, of integers."""
+    return np.concatenate([whole >> LIMB_BITS, whole & ((1 << LIMB_BITS) - 1)], axis=1)
+
+
 def _number(limbs: np.ndarray, scale: float) -> np.ndarray:
     half = limbs.shape[-1] // 2
     return (limbs[..., :half] + limbs[..., half:] / LIMB) / LIMB * scale
@@ -156,9 +174,10 @@ def _sample(rows: DataFrame, candidates: list[np.ndarray | None], sizes: list[in
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple | None] = [None] * len(sizes)
         for hashes, x in _slices(batches):
+            squares = _squared(x, 0.0)
             for m, (known, size, salt) in enumerate(zip(candidates, sizes, salts, strict=True)):
                 with np.errstate(divide="ignore"):
-                    weight = 1.0 if known is None else _squared(x, known[nearest(x, known)])
+                    weight = 1.0 if known is None else _squared(x, known[nearest(x, known, squares)])
                     priority = -np.log(_draw(hashes, salt)) / weight
                 held[m] = _first(held[m], priority, hashes, x, size)
         for m, found in enumerate(held):
@@ -206,19 +225,20 @@ def _cluster_sums(rows: DataFrame, centres: list[np.ndarray], scale: float, vect
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, sums = np.zeros(last + 1, np.int64), np.zeros((last + 1, width), np.int64)
         for _, x in _slices(batches):
+            squares = _squared(x, 0.0)
             if vectors:
-                exact = _limbs(x, scale)
+                exact = _whole(x, scale)
                 counts[last] += len(x)
-                sums[last, :2] += _limbs(_squared(x, 0.0)[:, None], whole).sum(axis=0)
+                sums[last, :2] += _limbs(squares[:, None], whole).sum(axis=0)
             for begin, known in zip(begins, centres, strict=False):
-                at = nearest(x, known)
+                at = nearest(x, known, squares)
                 n = np.bincount(at, minlength=len(known))
                 counts[begin : begin + len(known)] += n
                 if vectors:
                     order = np.argsort(at, kind="stable")
                     present = np.flatnonzero(n)
                     starts = np.concatenate([[0], np.cumsum(n[present])[:-1]])
-                    sums[begin + present] += np.add.reduceat(exact[order], starts, axis=0)
+                    sums[begin + present] += _halves(np.add.reduceat(exact[order], starts, axis=0))
         kept = np.flatnonzero(counts)
         if len(kept):
             yield _sums_batch(kept, counts[kept], sums[kept])
@@ -295,9 +315,10 @@ def kmeans_fit_all(
     if largest is None:
         raise ValueError("cannot cluster an empty table")
     scale = largest or 1.0
-    # every pass starts its tasks anew: no more of them than the cores or the rows' bytes ask for
+    # every pass starts its tasks anew: no more of them than the cores or the rows' bytes ask for,
+    # of equal size, since all wait for the largest
     tasks = max(df.sparkSession.sparkContext.defaultParallelism, n * dims * 8 // TASK_BYTES)
-    rows = rows.coalesce(tasks).persist()
+    rows = rows.repartition(tasks).persist()
     try:
         centres = _starts(rows, models, seed, scale)
         cost = [0.0] * len(models)
