@@ -279,3 +279,24 @@ def test_half_is_class_zero(spark):
 def test_saturated_loss_is_finite(spark):
     model = mlp.MlpModel([1, 1], np.array([1e6, 0.0]))
     assert model.validate(frame(spark, [[1.0]], [0])).first().loss == 100.0
+
+
+def test_sums_of_clusters_take_one_integer_a_number():
+    x = np.random.default_rng(3).normal(size=(1024, 5)) * [1, 1e-9, 1e6, 0, -3]
+    x[0] = -1e7
+    scale = np.abs(x).max()
+    whole = kmeans._whole(x, scale)
+    assert whole.shape == x.shape and np.abs(whole).max() <= 2**53
+    limbs, halves = kmeans._limbs(x, scale).sum(axis=0), kmeans._halves(whole.sum(axis=0, keepdims=True))[0]
+    assert (kmeans._number(limbs, scale) == kmeans._number(halves, scale)).all()
+    centres = x[:7]
+    assert (kmeans.nearest(x, centres) == kmeans.nearest(x, centres, (x**2).sum(axis=1))).all()
+
+
+def test_a_step_makes_no_new_state():
+    state = mlp._State(np.ones(3), np.zeros(3), np.zeros(3), 0)
+    held = [state.weights, state.first, state.second]
+    before, copy = state.weights.copy(), state.copy()
+    state.update(np.array([1.0, -2.0, 0.0]), 0.1)
+    assert all(a is b for a, b in zip(held, [state.weights, state.first, state.second], strict=True))
+    assert state.weights == pytest.approx([0.9, 1.1, 1.0]) and (copy.weights == before).all()
