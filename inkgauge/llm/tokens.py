@@ -3,7 +3,9 @@
 The byte-level pre-tokenizer never lets a token run across a space that stands
 before a visible character, nor across a single line end between two of them, nor
 from a letter or digit into the punctuation behind it. A text can thus be encoded
-in such parts, and a part that was met before is looked up. Texts in which a space
+in such parts, and a part that was met before is looked up. A part of letters alone is
+one piece for the pre-tokenizer, so a new one goes straight to the model, which
+costs a third of a call of the whole tokenizer. Texts in which a space
 is followed by white space are encoded whole. The memory has two generations: when
 the younger is full it becomes the older, whose words are taken over as they come up
 again.
@@ -24,6 +26,14 @@ _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # without the apostrophe, which be
 _CUT = "\x01"
 _BEHIND = re.compile(r"([!\"#$%&()*+,.:;<=>?@\[\]^`{|}~])(?<=[^\W_].)")
 _SAFE = re.compile(r"(?<=\S)(?= \S)")
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+")
+# the characters by which byte-level models write bytes that are not visible
+_UNSEEN = [b for b in range(256) if not (33 <= b < 127 or 161 <= b < 173 or b > 173)]
+_WRITTEN = {b: 256 + i for i, b in enumerate(_UNSEEN)}
+
+
+def _as_bytes(text: str) -> str:
+    return text.encode().decode("latin-1").translate(_WRITTEN)
 
 
 class Tokens:
@@ -33,6 +43,7 @@ class Tokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model = self.tokenizer.model if self._one_piece(" aBcéÉ") and self._one_piece("aBcéÉ") else None
         self.words: dict[str, bytes] = {}  # ids of a space and the word
         self.older: dict[str, bytes] = {}
         self.bare: dict[str, bytes] = {}  # ids of what no space precedes
@@ -41,6 +52,32 @@ class Tokens:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", f.ids).tobytes() for f in found]
 
+    def _one_piece(self, letters: str) -> bool:
+        """Whether letters reach the model as one piece of byte-level characters."""
+        cut, added = self.tokenizer.pre_tokenizer, self.tokenizer.get_added_tokens_decoder().values()
+        if self.tokenizer.normalizer is not None or cut is None or not all(t.special for t in added):
+            return False
+        return [piece for piece, _ in cut.pre_tokenize_str(letters)] == [_as_bytes(letters)]
+
+    def _encode_parts(self, parts: list[str], before: str = "") -> list[bytes]:
+        """Ids of each part behind ``before``, which is a space or nothing."""
+        if self.model is None:
+            return self._encode([before + p for p in parts])
+        tokenize, first, out, rest = self.model.tokenize, _as_bytes(before), [], []
+        for i, part in enumerate(parts):
+            if part.isascii() and part.isalpha():
+                found = tokenize(first + part)
+            elif _LETTERS.fullmatch(part):
+                found = tokenize(first + _as_bytes(part))
+            else:
+                found = ()
+                rest.append(i)
+            out.append(array("I", [t.id for t in found]).tobytes())
+        if rest:
+            for i, ids in zip(rest, self._encode([before + parts[i] for i in rest]), strict=True):
+                out[i] = ids
+        return out
+
     @staticmethod
     def _atoms(word: str) -> list[str]:
         """Parts of a word that are encoded alone; the first one follows the space."""
@@ -80,7 +117,7 @@ class Tokens:
         for word in spaced & older.keys():
             known[word] = older[word]
         fresh = list(spaced.difference(known))
-        known.update(zip(fresh, self._encode([" " + w for w in fresh]), strict=True))
+        known.update(zip(fresh, self._encode_parts(fresh, " "), strict=True))
         self._learn_bare(bare)
         for word, atoms in cut.items():
             known[word] = known[atoms[0]] + b"".join([self.bare[a] for a in atoms[1:]])
@@ -92,7 +129,7 @@ class Tokens:
         if len(self.bare) > REMEMBERED:
             self.bare.clear()
         fresh = [p for p in parts if p not in self.bare]
-        self.bare.update(zip(fresh, self._encode(fresh), strict=True))
+        self.bare.update(zip(fresh, self._encode_parts(fresh), strict=True))
 
     def _short(self, text: str) -> bytes:
         if len(self.words) > REMEMBERED:
@@ -104,13 +141,15 @@ class Tokens:
         try:
             tail = b"".join(found)
         except TypeError:  # a word is not known
-            if not self._learn({w for w, ids in zip(rest, found, strict=True) if ids is None}):
+            new = [i for i, ids in enumerate(found) if ids is None]
+            if not self._learn({rest[i] for i in new}):
                 return self._encode([text])[0]
-            known = self.words
-            tail = b"".join([known[w] if ids is None else ids for w, ids in zip(rest, found, strict=True)])
+            for i in new:
+                found[i] = self.words[rest[i]]
+            tail = b"".join(found)
         if not head:
             return tail
-        return self._encode([head])[0] + tail
+        return self._encode_parts([head])[0] + tail
 
     def ids(self, text: str | None) -> np.ndarray:
         """All ids of a text (null: none), as unsigned 32-bit numbers."""

@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 import zstandard
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Regex, Tokenizer, normalizers, pre_tokenizers
 
 from inkgauge.llm import chat, embedding_dedup, mixing, packing, token_matrix, warc
 from inkgauge.llm.frames import components, indexed, ranked
@@ -243,6 +243,33 @@ def test_ids_in_parts_are_the_ids_of_the_whole(monkeypatch):
         assert tokens.ids(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, ascii(text)
 
 
+def test_new_words_of_letters_go_straight_to_the_model(monkeypatch):
+    rng = random.Random(5)
+    letters = [chr(c) for c in range(0x250) if chr(c).isalpha() and chr(c) not in "ªµº"]
+    words = ["".join(rng.choices(letters if i % 2 else letters[:52], k=rng.randint(1, 14))) for i in range(4000)]
+    texts = [" ".join(words[i : i + 40]) for i in range(0, len(words), 40)]
+    tokens = Tokens(PATH)
+    monkeypatch.setattr(tokens, "_encode", lambda found: pytest.fail(f"the whole tokenizer was called for {found}"))
+    for text in texts:
+        assert tokens.ids(text).tolist() == whole_ids(text), text
+
+
+def test_tokenizers_that_cut_letters_are_not_bypassed(tmp_path):
+    path, text = str(tmp_path / "tokenizer.json"), " oneWord twoWords Ünder, one\n"
+    for cut in (
+        pre_tokenizers.ByteLevel(False),
+        pre_tokenizers.Sequence([pre_tokenizers.Split(Regex("(?=[A-Z])"), "isolated"), pre_tokenizers.ByteLevel(False)]),
+    ):
+        for normalizer, added in ((None, []), (normalizers.Sequence([normalizers.Lowercase()]), []), (None, ["Wor"])):
+            tokenizer = Tokenizer.from_file(PATH)
+            tokenizer.pre_tokenizer = cut
+            if normalizer is not None:
+                tokenizer.normalizer = normalizer
+            tokenizer.add_tokens(added)
+            tokenizer.save(path)
+            assert Tokens(path).ids(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_memory_for_words_is_bounded(monkeypatch):
     monkeypatch.setattr("inkgauge.llm.tokens.REMEMBERED", 50)
     tokens = Tokens(PATH)
