@@ -2,8 +2,10 @@
 
 All numbers of clusters and all restarts are fitted together: each pass over the rows
 serves every model that has not converged yet, with one matrix product per slice of
-rows, and returns one sum per model and cluster. Restarts begin with k-means|| (Bahmani
-et al. 2012), whose samples are drawn by hashes of the rows.
+rows, and returns one sum per model and cluster; after the first pass only rows that
+changed their cluster are summed. Products are in single precision with a bound of their
+error, and rows it does not decide are compared again in double precision. Restarts begin
+with k-means|| (Bahmani et al. 2012), whose samples are drawn by hashes of the rows.
 
 Results do not depend on how the rows are stored or partitioned. Samples and ties are
 decided by hash and by exactly summed distances; centroids are means of sums in
@@ -13,6 +15,7 @@ integers (two of them per number, as exact as a double), which no order changes.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import ExitStack
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -29,11 +32,14 @@ from inkgauge.operators.evaluation import (
     cluster_majority,
     f1_positive,
 )
+from inkgauge.session import arrow_batches
 
-TASK_BYTES = 1 << 26  # of vectors in a task
+TASK_BYTES = 1 << 27  # of vectors in a task, which reads them in batches of BLOCK_BYTES
 SLICE = 1024  # rows compared with all centroids at once
+BLOCK_BYTES = 1 << 22  # of vectors that are kept as one value
 ROUNDS = 2  # of oversampling
 OVERSAMPLING = 2  # candidates a round draws, as a multiple of k
+SLACK = 1e-5  # of the lengths, by which a margin is taken for less than it is
 CLOSE = 1e-10  # relative gap of two distances below which they are summed exactly
 LIMB_BITS = 26
 LIMB = 2.0**LIMB_BITS  # a number is kept as two integers up to this size
@@ -80,6 +86,84 @@ def nearest(x: np.ndarray, centres: np.ndarray, squares: np.ndarray | None = Non
     return found
 
 
+class _Nearest:
+    """``nearest`` for the centres of many models, by one product in single precision.
+
+    With n numbers in a vector, lengths |x| and at most L, and u = 2 ** -24, a distance less
+    |x| ** 2 is off by less than u ((2 n + 10) |x| L + 4 L ** 2), for any order of the sum. Rows
+    whose least distance is not less than all others by twice that and more, or within what
+    ``nearest`` takes for close, go to ``nearest`` itself: the result is always its own.
+    """
+
+    def __init__(self, models: list[np.ndarray], scale: float):
+        centres = np.concatenate(models) / scale  # at most 1 each, as the rows' numbers
+        lengths = (centres**2).sum(axis=1)
+        self.models, self.scale = models, scale
+        begins = np.cumsum([0, *map(len, models)]).tolist()
+        # neighbours of one size are looked at together: (first column, size, numbers of the models)
+        self.alike = []
+        for m, (known, begin) in enumerate(zip(models, begins, strict=False)):
+            if self.alike and self.alike[-1][1] == len(known):
+                self.alike[-1][2].append(m)
+            else:
+                self.alike.append((begin, len(known), [m]))
+        self.apart = [_Nearest([m], scale) for m in models] if len(models) > 1 else [self]
+        self.turned = np.ascontiguousarray(-2.0 * centres.T, dtype=np.float32)
+        self.lengths = lengths.astype(np.float32)
+        self.longest = [lengths[a:b].max() for a, b in zip(begins, begins[1:])]
+
+    def __call__(
+        self, x: np.ndarray, squares: np.ndarray, drifts: list[np.ndarray] | None = None
+    ) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
+        """Model by model the number of each row's nearest centre.
+
+        With ``drifts``, how far each centre has come (as shares of the scale), also whether
+        it was surely the nearest one before: the others are further away by more than they
+        and it have moved (Elkan 2003). What products are rounded by is taken off, and far more
+        than ``nearest`` takes for close.
+        """
+        moved = np.concatenate(drifts).astype(np.float32) if drifts else None
+        dims = x.shape[1]
+        u, lost = 2.0**-24, dims * 2.0**-124  # rounding, and what gets too small for its range
+        distance = (x / self.scale).astype(np.float32) @ self.turned
+        distance += self.lengths
+        own = (squares / self.scale / self.scale)[:, None]
+        for first, size, models in self.alike:
+            part = distance[:, first : first + size * len(models)].reshape(len(x), len(models), size)
+            found = part.argmin(axis=2)
+            at = found[:, :, None]
+            least = np.take_along_axis(part, at, axis=2)[:, :, 0]
+            np.put_along_axis(part, at, np.float32(np.inf), axis=2)
+            longest = np.array([self.longest[m] for m in models])
+            error = u * ((2 * dims + 10) * np.sqrt(own * longest) + 4 * longest) + lost
+            decided = part.min(axis=2) > least + (2.2 * error + 2 * CLOSE * (own + longest))
+            stayed = None
+            if drifts:
+                drift = moved[first : first + size * len(models)].reshape(len(models), size)
+                part += (own - error)[:, :, None].astype(np.float32)
+                np.sqrt(np.maximum(part, 0, out=part), out=part)
+                part -= drift
+                reach = np.sqrt(np.maximum(least + own + error, 0.0)) + np.take_along_axis(drift[None], at, axis=2)[:, :, 0]
+                reach += SLACK * (np.sqrt(own + longest) + drift.max(axis=1))
+                stayed = decided & (part.min(axis=2) > reach)
+            for i, m in enumerate(models):
+                open_ = np.flatnonzero(~decided[:, i])
+                if len(open_) and size > 1:
+                    found[open_, i] = nearest(x[open_], self.models[m], squares[open_])
+                yield found[:, i], stayed[:, i] if drifts else None
+
+    def were(self, x: np.ndarray, squares: np.ndarray, now: list[tuple]) -> list[np.ndarray]:
+        """The same, where ``now`` has been found with the drifts from these centres."""
+        doubts = [np.flatnonzero(~stayed) for _, stayed in now]
+        if 4 * sum(map(len, doubts)) > len(x) * len(now):
+            return [at for at, _ in self(x, squares)]
+        found = [at.copy() for at, _ in now]
+        for at, of, one in zip(found, doubts, self.apart, strict=True):
+            if len(of):
+                at[of] = next(one(x[of], squares[of]))[0]
+        return found
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     """Scramble 64-bit values (Steele et al. 2014)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -119,11 +203,28 @@ def _number(limbs: np.ndarray, scale: float) -> np.ndarray:
     return (limbs[..., :half] + limbs[..., half:] / LIMB) / LIMB * scale
 
 
+_BLOCK = "rows binary, features binary"
+
+
+def _blocks(rows: DataFrame, tasks: int, dims: int) -> DataFrame:
+    """Hashes and vectors of up to SLICE rows as two values, which every pass takes as they are."""
+    size = max(1, min(SLICE, BLOCK_BYTES // (8 * max(dims, 1))))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), size):
+                part = batch.slice(at, size)
+                values = part.column(0).to_numpy().tobytes(), matrix(part.column(1)).tobytes()
+                yield pa.record_batch([pa.array([v], pa.binary()) for v in values], ["rows", "features"])
+
+    return rows.repartition(tasks).mapInArrow(pack, _BLOCK)
+
+
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     for batch in batches:
-        for at in range(0, len(batch), SLICE):
-            part = batch.slice(at, SLICE)
-            yield part.column(0).to_numpy().view(np.uint64), matrix(part.column(1))
+        for rows, features in zip(batch.column(0), batch.column(1), strict=True):
+            hashes = np.frombuffer(rows.as_buffer(), np.uint64)
+            yield hashes, np.frombuffer(features.as_buffer(), np.float64).reshape(len(hashes), -1)
 
 
 def _reduced(rows: DataFrame, fn: Callable, columns: str, key: str, merge: Callable) -> pa.Table:
@@ -153,6 +254,11 @@ def _drawn_batch(model: int, priority: np.ndarray, hashes: np.ndarray, x: np.nda
 
 def _first(held: tuple | None, priority: np.ndarray, hashes: np.ndarray, x: np.ndarray, n: int) -> tuple:
     """The ``n`` rows of least priority; a row drawn twice counts once."""
+    if held is not None and len(held[0]) == n:
+        may = np.flatnonzero(priority <= held[0][-1])
+        if not len(may):
+            return held
+        priority, hashes, x = priority[may], hashes[may], x[may]
     if held is not None:
         priority, hashes = np.concatenate([held[0], priority]), np.concatenate([held[1], hashes])
         x = np.concatenate([held[2], x])
@@ -164,20 +270,25 @@ def _first(held: tuple | None, priority: np.ndarray, hashes: np.ndarray, x: np.n
     return priority[order], hashes[order], x[order]
 
 
-def _sample(rows: DataFrame, candidates: list[np.ndarray | None], sizes: list[int], salts: list[int]) -> list[np.ndarray]:
+def _sample(
+    rows: DataFrame, candidates: list[np.ndarray] | None, sizes: list[int], salts: list[int], scale: float
+) -> list[np.ndarray]:
     """Draw rows for each model, with chances by their squared distance to its candidates.
 
+    Without candidates all rows have the same chance.
+
     The rows of least -ln(u) / weight are a weighted sample without replacement
     (Efraimidis and Spirakis 2006), so a round needs one pass and no total.
     """
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple | None] = [None] * len(sizes)
+        finder = _Nearest(candidates, scale) if candidates else None
         for hashes, x in _slices(batches):
-            squares = _squared(x, 0.0)
-            for m, (known, size, salt) in enumerate(zip(candidates, sizes, salts, strict=True)):
+            near = finder(x, _squared(x, 0.0)) if finder else [(None, None)] * len(sizes)
+            for m, ((at, _), size, salt) in enumerate(zip(near, sizes, salts, strict=True)):
                 with np.errstate(divide="ignore"):
-                    weight = 1.0 if known is None else _squared(x, known[nearest(x, known, squares)])
+                    weight = 1.0 if at is None else _squared(x, candidates[m][at])
                     priority = -np.log(_draw(hashes, salt)) / weight
                 held[m] = _first(held[m], priority, hashes, x, size)
         for m, found in enumerate(held):
@@ -203,19 +314,34 @@ def _sample(rows: DataFrame, candidates: list[np.ndarray | None], sizes: list[in
 
 # -- sums by model and cluster ------------------------------------------------------------
 
-_SUMS = "slot int, n bigint, sums array<bigint>"
+_SUMS = "slot int, n bigint, sums binary"
 
 
 def _sums_batch(slots: np.ndarray, counts: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
-    columns = [pa.array(slots.astype(np.int32)), pa.array(counts.astype(np.int64)), list_array(sums, pa.int64())]
+    columns = [pa.array(slots.astype(np.int32)), pa.array(counts.astype(np.int64)), pa.array([s.tobytes() for s in sums], pa.binary())]
     return pa.record_batch(columns, ["slot", "n", "sums"])
 
 
-def _cluster_sums(rows: DataFrame, centres: list[np.ndarray], scale: float, vectors: bool = True) -> tuple:
+def _sums_of(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.int64).reshape(-1, width)
+
+
+def _grouped(at: np.ndarray, exact: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Clusters that rows are in, and the limbs of the sums of their rows."""
+    order = np.argsort(at, kind="stable")
+    present, starts = np.unique(at[order], return_index=True)
+    return present, _halves(np.add.reduceat(exact[order], starts, axis=0))
+
+
+def _cluster_sums(
+    rows: DataFrame, centres: list[np.ndarray], scale: float, vectors: bool = True, before: list[np.ndarray] | None = None
+) -> tuple:
     """Rows and, with ``vectors``, sums of each model's clusters in one pass over the rows.
 
     Slot by slot in the order of the centres; the last slot has all rows and, in its
-    first two numbers, the sum of their squared lengths.
+    first two numbers, the sum of their squared lengths. With ``before``, the centres
+    these ones came from, it is what they add to the counts and sums found with those
+    (less than nothing where rows left): only rows that changed their cluster are summed.
     """
     begins = np.cumsum([0, *map(len, centres)]).tolist()
     last, dims = begins[-1], centres[0].shape[1]
@@ -224,29 +350,39 @@ def _cluster_sums(rows: DataFrame, centres: list[np.ndarray], scale: float, vect
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, sums = np.zeros(last + 1, np.int64), np.zeros((last + 1, width), np.int64)
+        finder = _Nearest(centres, scale)
+        earlier = _Nearest(before, scale) if before else None
+        drifts = [np.sqrt(_squared(a / scale, b / scale)) for a, b in zip(centres, before, strict=True)] if before else []
         for _, x in _slices(batches):
             squares = _squared(x, 0.0)
-            if vectors:
-                exact = _whole(x, scale)
+            found = list(finder(x, squares, drifts))
+            was = earlier.were(x, squares, found) if before else [None] * len(found)
+            now = [at for at, _ in found]
+            if vectors and not before:
                 counts[last] += len(x)
                 sums[last, :2] += _limbs(squares[:, None], whole).sum(axis=0)
-            for begin, known in zip(begins, centres, strict=False):
-                at = nearest(x, known, squares)
-                n = np.bincount(at, minlength=len(known))
-                counts[begin : begin + len(known)] += n
-                if vectors:
-                    order = np.argsort(at, kind="stable")
-                    present = np.flatnonzero(n)
-                    starts = np.concatenate([[0], np.cumsum(n[present])[:-1]])
-                    sums[begin + present] += _halves(np.add.reduceat(exact[order], starts, axis=0))
-        kept = np.flatnonzero(counts)
+            moved = [np.arange(len(x)) if b is None else np.flatnonzero(a != b) for a, b in zip(now, was, strict=True)]
+            if vectors:
+                place = np.zeros(len(x), np.int64)  # of a row among those that are summed
+                some = np.unique(np.concatenate(moved))
+                place[some] = np.arange(len(some))
+                exact = _whole(x[some], scale)
+            for begin, known, a, b, of in zip(begins, centres, now, was, moved, strict=False):
+                for at, sign in ((a, 1), (b, -1)):
+                    if at is None or not len(of):
+                        continue
+                    counts[begin : begin + len(known)] += sign * np.bincount(at[of], minlength=len(known))
+                    if vectors:
+                        present, added = _grouped(at[of], exact[place[of]])
+                        sums[begin + present] += sign * added
+        kept = np.flatnonzero((counts != 0) | (sums != 0).any(axis=1))
         if len(kept):
             yield _sums_batch(kept, counts[kept], sums[kept])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, list] = {}
         for batch in batches:
-            numbers = batch.column(2).flatten().to_numpy().reshape(len(batch), -1)
+            numbers = _sums_of(batch.column(2), width)
             for i, (slot, n) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
                 held = total.setdefault(slot, [0, np.zeros(width, np.int64)])
                 held[0] += n
@@ -259,7 +395,7 @@ def _cluster_sums(rows: DataFrame, centres: list[np.ndarray], scale: float, vect
     slots = table["slot"].to_numpy()
     counts[slots] = table["n"].to_numpy()
     if len(slots):
-        sums[slots] = table["sums"].combine_chunks().flatten().to_numpy().reshape(len(slots), -1)
+        sums[slots] = _sums_of(table["sums"], width)
     return begins, counts, sums, float(_number(sums[last, :2], whole)[0])
 
 
@@ -316,20 +452,29 @@ def kmeans_fit_all(
         raise ValueError("cannot cluster an empty table")
     scale = largest or 1.0
     # every pass starts its tasks anew: no more of them than the cores or the rows' bytes ask for,
-    # of equal size, since all wait for the largest
-    tasks = max(df.sparkSession.sparkContext.defaultParallelism, n * dims * 8 // TASK_BYTES)
-    rows = rows.repartition(tasks).persist()
-    try:
+    # of equal size and as many for every core, since all wait for the last
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    tasks = cores * max(1, -(-n * dims * 8 // (TASK_BYTES * cores)))
+    rows = _blocks(rows, tasks, dims).persist()
+    with arrow_batches(df.sparkSession, BLOCK_BYTES), ExitStack() as end:
+        end.callback(rows.unpersist)
         centres = _starts(rows, models, seed, scale)
         cost = [0.0] * len(models)
         active = list(range(len(models)))
+        before, held, lengths = {}, {}, None  # centres, and counts and sums of the pass before
         for _ in range(max_iter):
-            begins, counts, sums, lengths = _cluster_sums(rows, [centres[m] for m in active], scale)
+            known = [before[m] for m in active] if before else None
+            begins, counts, sums, squares = _cluster_sums(rows, [centres[m] for m in active], scale, before=known)
+            lengths = squares if lengths is None else lengths
             still = []
             enough = None
             for i, m in enumerate(active):
-                n = counts[begins[i] : begins[i + 1], None]
-                total = _number(sums[begins[i] : begins[i + 1]], scale)
+                of = slice(begins[i], begins[i + 1])
+                held[m] = (held[m][0] + counts[of], held[m][1] + sums[of]) if before else (counts[of], sums[of])
+            before = {m: centres[m] for m in active}
+            for m in active:
+                n = held[m][0][:, None]
+                total = _number(held[m][1], scale)
                 moved = np.where(n > 0, total / np.maximum(n, 1), centres[m])
                 if enough is None:
                     mean = total.sum(axis=0) / n.sum()
@@ -341,8 +486,6 @@ def kmeans_fit_all(
             active = still
             if not active:
                 break
-    finally:
-        rows.unpersist()
     best: dict[int, KMeansModel] = {}
     for (k, _), found, paid in zip(models, centres, cost, strict=True):
         if k not in best or paid < best[k].cost:
@@ -356,9 +499,9 @@ def _starts(rows: DataFrame, models: list[tuple[int, int]], seed: int, scale: fl
     def salts(step: int) -> list[int]:
         return [int(np.random.SeedSequence([seed, k, run, step]).generate_state(1, np.uint64)[0]) for k, run in models]
 
-    found = _sample(rows, [None] * len(models), [1] * len(models), salts(0))
+    found = _sample(rows, None, [1] * len(models), salts(0), scale)
     for step in range(1, ROUNDS + 1):
-        more = _sample(rows, found, [OVERSAMPLING * k for k, _ in models], salts(step))
+        more = _sample(rows, found, [OVERSAMPLING * k for k, _ in models], salts(step), scale)
         found = [np.unique(np.concatenate([a, b]), axis=0) if len(b) else a for a, b in zip(found, more, strict=True)]
     begins, counts, _, _ = _cluster_sums(rows, found, scale, vectors=False)
     return [

@@ -300,3 +300,54 @@ def test_a_step_makes_no_new_state():
     state.update(np.array([1.0, -2.0, 0.0]), 0.1)
     assert all(a is b for a, b in zip(held, [state.weights, state.first, state.second], strict=True))
     assert state.weights == pytest.approx([0.9, 1.1, 1.0]) and (copy.weights == before).all()
+
+
+def test_products_in_single_precision_find_what_nearest_finds():
+    rng = np.random.default_rng(8)
+    for scale in (1.0, 1e-30, 1e30):
+        x = rng.normal(size=(600, 9)) * scale
+        x[100:200] = x[:100] * (1 + 1e-9)  # closer together than single precision tells
+        x[200] = 0.0
+        models = [x[[0, 100, 1, 101]], x[[5]], x[[0, 0, 300]], np.zeros((2, 9)), np.vstack([x[400:440], x[:20] * (1 + 3e-9)])]
+        squares = (x**2).sum(axis=1)
+        found = kmeans._Nearest(models, np.abs(x).max())(x, squares)
+        for known, (at, _) in zip(models, found, strict=True):
+            assert (at == kmeans.nearest(x, known, squares)).all()
+
+
+def test_rows_within_the_margin_are_where_they_were():
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(800, 6)) + 6 * rng.integers(0, 3, size=(800, 1))
+    squares, scale = (x**2).sum(axis=1), np.abs(x).max()
+    for step in (0.0, 1e-9, 1e-3, 0.1, 3.0):
+        before = [x[:3].copy(), x[10:40].copy(), x[50:51].copy()]
+        now = [c + rng.normal(size=c.shape) * step for c in before]
+        drifts = [np.sqrt(((a - b) ** 2).sum(axis=1)) / scale for a, b in zip(now, before, strict=True)]
+        were = kmeans._Nearest(before, scale).were(x, squares, list(kmeans._Nearest(now, scale)(x, squares, drifts)))
+        assert all((at == kmeans.nearest(x, c)).all() for at, c in zip(were, before, strict=True))
+
+
+def test_later_passes_sum_only_rows_that_changed_their_cluster(spark, monkeypatch):
+    rng = np.random.default_rng(10)
+    x = rng.normal(size=(500, 4))
+    rows = kmeans._blocks(kmeans.kmeans_rows(frame(spark, x)), 3, 4)
+    scale = np.abs(x).max()
+    before = [x[:5], x[5:7]]
+    now = [c + 0.05 for c in before]
+    _, counts, sums, lengths = kmeans._cluster_sums(rows, before, scale)
+    _, more, added, _ = kmeans._cluster_sums(rows, now, scale, before=before)
+    _, want, total, _ = kmeans._cluster_sums(rows, now, scale)
+    moved = sum((kmeans.nearest(x, a) != kmeans.nearest(x, b)).sum() for a, b in zip(before, now, strict=True))
+    assert 0 < np.abs(more).sum() <= 2 * moved < 200  # the rows of a pass were 1,000 before
+    assert (counts + more == want).all() and lengths == pytest.approx((x**2).sum())
+    assert (kmeans._number(sums + added, scale) == kmeans._number(total, scale)).all()
+
+
+def test_arrow_batches_are_small_only_meanwhile(spark):
+    from inkgauge.session import ARROW_BYTES, arrow_batches
+
+    before = spark.conf.get(ARROW_BYTES, None)
+    with pytest.raises(KeyError), arrow_batches(spark, 1234):
+        assert spark.conf.get(ARROW_BYTES) == "1234"
+        raise KeyError
+    assert spark.conf.get(ARROW_BYTES, None) == before
