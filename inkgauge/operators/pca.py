@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
@@ -15,9 +16,11 @@ from pyspark.sql import functions as F
 from inkgauge import schema
 from inkgauge.functions.vectors import list_array, matrix
 from inkgauge.operators.scaling import Standardizer, StandardizerModel
+from inkgauge.session import arrow_batches
 
 OVERSAMPLED = 10  # directions beyond the components asked for
 SLICE = 1024  # rows multiplied at once
+BLOCK_BYTES = 1 << 22  # of vectors that are kept as one value, and of a batch sent to Python
 PART = 4096  # numbers of a sum that travel as one row
 FAN_IN = 32  # triangles factorised together
 
@@ -75,12 +78,14 @@ class PcaReport:
 
     def fit(self, df: DataFrame, features: str = "features") -> PcaModel:
         scaler = Standardizer().fit(df, features)
-        rows = df.select(F.col(features).alias("features")).persist()
-        try:
-            found, total = self._directions(rows, scaler)
-            triangle = _triangle(rows, scaler, found)
-        finally:
-            rows.unpersist()
+        with arrow_batches(df.sparkSession, BLOCK_BYTES):
+            # on disk: in memory the rows of a large table fill the heaps beside what the tasks need
+            rows = _blocks(df.select(features), len(scaler.mean)).persist(StorageLevel.DISK_ONLY)
+            try:
+                found, total = self._directions(rows, scaler)
+                triangle = _triangle(rows, scaler, found)
+            finally:
+                rows.unpersist()
         _, sizes, turn = np.linalg.svd(triangle)
         k = min(self.k, len(sizes))
         components = turn[:k] @ found.T
@@ -121,10 +126,23 @@ def _orthogonal(block: np.ndarray, basis: np.ndarray) -> np.ndarray:
     return np.linalg.qr(fresh)[0][:, : max(0, len(basis) - basis.shape[1])]
 
 
+def _blocks(vectors: DataFrame, dims: int) -> DataFrame:
+    """Vectors of up to SLICE rows as one value, which every pass takes as it is."""
+    size = max(1, min(SLICE, BLOCK_BYTES // (8 * max(dims, 1))))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), size):
+                value = matrix(batch.column(0).slice(at, size)).tobytes()
+                yield pa.record_batch([pa.array([value], pa.binary())], ["features"])
+
+    return vectors.mapInArrow(pack, "features binary")
+
+
 def _scaled(batches: Iterator[pa.RecordBatch], scaler: StandardizerModel) -> Iterator[np.ndarray]:
     for batch in batches:
-        for at in range(0, len(batch), SLICE):
-            yield scaler.apply(matrix(batch.column(0).slice(at, SLICE)))
+        for value in batch.column(0):
+            yield scaler.apply(np.frombuffer(value.as_buffer(), np.float64).reshape(-1, len(scaler.mean)))
 
 
 def _covariance_times(rows: DataFrame, scaler: StandardizerModel, block: np.ndarray) -> tuple[np.ndarray, float]:

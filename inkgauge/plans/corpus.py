@@ -15,7 +15,7 @@ from inkgauge.operators.cleaning import (
 )
 from inkgauge.operators.embedding import embed_text
 from inkgauge.operators.ranking import order_hash
-from inkgauge.session import written
+from inkgauge.session import arrow_batches, written
 from inkgauge.sources.corpus import (
     Corpus,
     merge_corpora,
@@ -76,7 +76,8 @@ def process_cleaned(
     if cleaned_path:
         write_cleaned(cleaned, cleaned_path)
     features = compact_types(chunk_features(cleaned))
-    write_processed(embed_text(features, encoder, batch_size), processed_path)
+    with arrow_batches(spark):
+        write_processed(embed_text(features, encoder, batch_size), processed_path)
     return spark.read.parquet(processed_path)
 
 

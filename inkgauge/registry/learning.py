@@ -29,7 +29,7 @@ from inkgauge.operators.scaling import Standardizer
 from inkgauge.operators.splits import split_random, split_stratified
 from inkgauge.plans import models as P
 from inkgauge.registry.base import *  # noqa: F403
-from inkgauge.session import scratch_path
+from inkgauge.session import arrow_batches, scratch_path
 from inkgauge.sources.corpus import scan_csv
 
 
@@ -49,9 +49,11 @@ def _pca(spark, sf):
 def _(spark, sf):
     rows, model = _pca(spark, sf)
     scored = model.transform(rows).select("label", F.posexplode("pca").alias("component", "score"))
-    return scored.groupBy("label", "component").agg(
+    means = scored.groupBy("label", "component").agg(
         F.count("*").alias("n"), rounded(F.avg("score"), 4).alias("mean_score")
     )
+    with arrow_batches(spark):  # vectors of 10,000 rows at once take hundreds of MB beside the heap
+        return written(means, "scores")
 
 
 @query("pca_variance_table_full")

@@ -91,11 +91,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+BATCH_BYTES = 1 << 22
 ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 @contextmanager
-def arrow_batches(spark: SparkSession, size: int) -> Iterator[None]:
+def arrow_batches(spark: SparkSession, size: int = BATCH_BYTES) -> Iterator[None]:
     """Let queries planned meanwhile send Python batches of ``size`` bytes, a speed and memory matter only.
 
     Batches of wide vectors are some 30 to 60 MB else, and each is copied several times on its way.

@@ -5,6 +5,8 @@ import pytest
 
 from inkgauge.operators import pca
 from inkgauge.operators.pca import PcaReport
+from inkgauge.registry import QUERIES, learning
+from inkgauge.session import ARROW_BYTES, BATCH_BYTES
 from tests.test_vectors import frame
 
 
@@ -62,3 +64,35 @@ def test_few_rows_few_columns_and_constants(spark, x):
     assert found.components.shape == (min(5, x.shape[1]), x.shape[1])
     assert np.isfinite(found.components).all() and (found.explained >= 0).all()
     assert found.explained.sum() == pytest.approx(1.0 if x.std() > 0 else 0.0)
+
+
+def test_rows_are_kept_on_disk_in_blocks_of_bounded_size(spark, monkeypatch):
+    x = factors(np.random.default_rng(5), 700, 30)
+    levels, sizes = [], []
+    times = pca._covariance_times
+
+    def seen(rows, scaler, block):
+        levels.append(rows.storageLevel)
+        sizes.extend(len(r.features) for r in rows.collect())
+        return times(rows, scaler, block)
+
+    monkeypatch.setattr(pca, "_covariance_times", seen)
+    monkeypatch.setattr(pca, "BLOCK_BYTES", 8 * 30 * 100)
+    found = PcaReport(3).fit(frame(spark, x).repartition(2))
+    assert found.explained == pytest.approx(exact(x, 3)[1], abs=1e-12)
+    assert all(level.useDisk and not level.useMemory for level in levels) and max(sizes) <= pca.BLOCK_BYTES
+
+
+@pytest.mark.parametrize("name, module", [("pca_fit_full", learning)])
+def test_scores_of_the_full_queries_come_in_small_batches(spark, name, module, monkeypatch):
+    seen = []
+
+    def held(df, kind, real=module.written):
+        seen.append((kind, spark.conf.get(ARROW_BYTES)))
+        return real(df, kind)
+
+    monkeypatch.setattr(module, "written", held)
+    before = spark.conf.get(ARROW_BYTES, None)
+    assert QUERIES[name](spark, "/root/testdata/sf0.001").count()
+    assert [size for kind, size in seen if kind == "scores"] == [str(BATCH_BYTES)]
+    assert spark.conf.get(ARROW_BYTES, None) == before
