@@ -11,7 +11,7 @@ from inkgauge.operators import splits, stats
 from inkgauge.plans.corpus import chunk_features, clean_corpus
 from inkgauge.plans.statistics import corpus_statistics, long_form
 from inkgauge.registry.base import *  # noqa: F403
-from inkgauge.session import written
+from inkgauge.session import arrow_batches, written
 from inkgauge.sources.corpus import scan_table
 
 
@@ -188,7 +188,10 @@ def _(spark, sf):
     # a document has several chunks: the row key names the chunk
     after = processed(spark, sf).withColumn("generated", F.col("generated").cast("int"))
     after = after.withColumn("id", F.concat_ws(":", "id", "chunk_idx"))
-    cells = long_form(corpus_statistics(cleaned, after))
+    tables = corpus_statistics(cleaned, after)
+    with arrow_batches(spark):  # as in pca_fit_full
+        tables["pca_projection"] = written(tables["pca_projection"], "projection")
+    cells = long_form(tables)
     digits = F.when(F.col("report") == "length_density", rounded("number", 10)).otherwise(rounded("number", 6))
     return cells.withColumn("number", digits)
 

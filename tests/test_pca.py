@@ -5,7 +5,7 @@ import pytest
 
 from inkgauge.operators import pca
 from inkgauge.operators.pca import PcaReport
-from inkgauge.registry import QUERIES, learning
+from inkgauge.registry import QUERIES, learning, reports
 from inkgauge.session import ARROW_BYTES, BATCH_BYTES
 from tests.test_vectors import frame
 
@@ -83,7 +83,7 @@ def test_rows_are_kept_on_disk_in_blocks_of_bounded_size(spark, monkeypatch):
     assert all(level.useDisk and not level.useMemory for level in levels) and max(sizes) <= pca.BLOCK_BYTES
 
 
-@pytest.mark.parametrize("name, module", [("pca_fit_full", learning)])
+@pytest.mark.parametrize("name, module", [("pca_fit_full", learning), ("corpus_statistics_full", reports)])
 def test_scores_of_the_full_queries_come_in_small_batches(spark, name, module, monkeypatch):
     seen = []
 
@@ -94,5 +94,5 @@ def test_scores_of_the_full_queries_come_in_small_batches(spark, name, module, m
     monkeypatch.setattr(module, "written", held)
     before = spark.conf.get(ARROW_BYTES, None)
     assert QUERIES[name](spark, "/root/testdata/sf0.001").count()
-    assert [size for kind, size in seen if kind == "scores"] == [str(BATCH_BYTES)]
+    assert [size for kind, size in seen if kind in ("scores", "projection")] == [str(BATCH_BYTES)]
     assert spark.conf.get(ARROW_BYTES, None) == before
