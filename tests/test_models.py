@@ -351,3 +351,19 @@ def test_arrow_batches_are_small_only_meanwhile(spark):
         assert spark.conf.get(ARROW_BYTES) == "1234"
         raise KeyError
     assert spark.conf.get(ARROW_BYTES, None) == before
+
+
+@pytest.mark.parametrize("batch", [32, None])
+def test_training_sends_small_batches_and_vectors_without_lists(spark, batch, monkeypatch):
+    from inkgauge.session import ARROW_BYTES, BATCH_BYTES
+
+    seen, validate = [], mlp.MlpModel.validate
+    monkeypatch.setattr(mlp.MlpModel, "validate", lambda self, df: seen.append(spark.conf.get(ARROW_BYTES)) or validate(self, df))
+    df = moons(spark, 90)
+    mlp.MlpClassifier(LAYERS, epochs=2, batch_size=batch).fit(df, df)
+    assert seen == [str(BATCH_BYTES)] * 2
+    for n in (1, mlp.BLOCK, mlp.BLOCK + 1, 2 * mlp.BLOCK):
+        vector = np.arange(float(n))
+        found = mlp._blocks(vector, 3, 1, 0.5, 2)
+        assert [len(v) for v in found.column("values").to_pylist()] == [min(mlp.BLOCK, n - at) for at in range(0, n, mlp.BLOCK)]
+        assert (found.column("values").flatten().to_numpy() == vector).all() and set(found.column("n").to_pylist()) == {3}
